@@ -1 +1,238 @@
-"""Placeholder."""
+"""Entity chains over customers (owners), parts and suppliers."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from recordloom.catalog.registry import query
+from recordloom.catalog.tables import entity, plain, table
+from recordloom.functions import text as X
+from recordloom.operators import mapping as M
+from recordloom.operators.records import build_records, union_records, with_metadata
+from recordloom.operators.resolving import containing_texts, resolve_names
+
+
+def bom(spark, sf):
+    """Owner-part links: the parts on a customer's orders."""
+    from recordloom.operators.skew import lookup_join
+
+    orders = plain(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    lines = plain(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
+    return lookup_join(lines, orders, ["l_orderkey"], "inner").select("o_custkey", "l_partkey")
+
+
+def purchases(spark, sf):
+    return plain(spark, sf, "lineitem").select("l_partkey", "l_suppkey")
+
+
+def owners(spark, sf):
+    return plain(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+
+
+def part_names(spark, sf):
+    return plain(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("part_name"))
+
+
+def supplier_names(spark, sf):
+    return plain(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+
+
+_LINKS = """bom AS (SELECT DISTINCT o_custkey, l_partkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
+  bought AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)"""
+
+
+@query(
+    """SELECT l_partkey, count(DISTINCT l_suppkey) AS n_suppliers,
+         array_to_string(list_sort(list(DISTINCT l_suppkey)), ',') AS suppliers FROM lineitem GROUP BY l_partkey"""
+)
+def vendor_sets(spark, sf):
+    sets = M.supplier_sets(purchases(spark, sf), "l_partkey", "l_suppkey")
+    return sets.select(
+        "l_partkey",
+        F.size("suppliers").cast("bigint").alias("n_suppliers"),
+        F.concat_ws(",", F.col("suppliers").cast("array<string>")).alias("suppliers"),
+    )
+
+
+@query(
+    f"""WITH {_LINKS} SELECT c_custkey AS o_custkey, l_partkey FROM customer LEFT JOIN bom ON c_custkey = o_custkey"""
+)
+def bom_expansion(spark, sf):
+    return M.bill_of_parts(owners(spark, sf), bom(spark, sf), "o_custkey", "l_partkey")
+
+
+@query(
+    f"""WITH {_LINKS} SELECT l_partkey, l_suppkey, coalesce(s_name, CAST(l_suppkey AS VARCHAR)) AS vendor_name
+        FROM bought LEFT JOIN supplier ON s_suppkey = l_suppkey AND s_acctbal > 0"""
+)
+def vendor_names(spark, sf):
+    known = plain(spark, sf, "supplier").filter(F.col("s_acctbal") > 0)
+    known = known.select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    pairs = M.links(purchases(spark, sf), "l_partkey", "l_suppkey")
+    return M.with_name(pairs, known, "l_suppkey", "s_name", "vendor_name")
+
+
+@query(
+    """SELECT l_partkey, coalesce(max(CASE WHEN l_returnflag = 'R' THEN l_linestatus || ' return' END), any_value(p_name),
+         CAST(l_partkey AS VARCHAR)) AS part_name
+       FROM lineitem LEFT JOIN part ON p_partkey = l_partkey AND p_size > 20 GROUP BY l_partkey
+       UNION ALL SELECT p_partkey, p_name FROM part WHERE p_size > 20 AND p_partkey NOT IN (SELECT l_partkey FROM lineitem)"""
+)
+def material_names(spark, sf):
+    notes = plain(spark, sf, "lineitem").select(
+        "l_partkey",
+        F.when(F.col("l_returnflag") == "R", F.concat("l_linestatus", F.lit(" return"))).alias("note"),
+    )
+    parts = plain(spark, sf, "part").filter(F.col("p_size") > 20)
+    parts = parts.select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    listed = parts.unionByName(
+        notes.select("l_partkey", F.lit(None).cast("string").alias("p_name")).dropDuplicates(["l_partkey"])
+    )
+    return M.part_names(listed, notes, "l_partkey", "note", "p_name")
+
+
+@query(
+    """SELECT l_partkey, array_to_string(list_sort(list(DISTINCT coalesce(s_name, CAST(l_suppkey AS VARCHAR)))), ', ') AS vendors
+       FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey GROUP BY l_partkey"""
+)
+def vendor_name_lists(spark, sf):
+    pairs = M.links(purchases(spark, sf), "l_partkey", "l_suppkey")
+    named = M.with_name(pairs, supplier_names(spark, sf), "l_suppkey", "s_name", "vendor_name")
+    vendor = F.struct("vendor_name")
+    from recordloom.operators.skew import nested_lists
+
+    lists = nested_lists(named, ["l_partkey"], vendor, "vendors", sized_by=pairs)
+    return lists.select("l_partkey", M.vendor_name_list(F.col("vendors")).alias("vendors"))
+
+
+_NESTED = f"""WITH {_LINKS}, vendors AS (
+    SELECT l_partkey, list(struct_pack(vendor_id := l_suppkey, vendor_name := coalesce(s_name, CAST(l_suppkey AS VARCHAR)))
+           ORDER BY l_suppkey) AS vendors
+    FROM bought LEFT JOIN supplier ON s_suppkey = l_suppkey GROUP BY l_partkey),
+  entries AS (
+    SELECT o_custkey, coalesce(p_name, CAST(b.l_partkey AS VARCHAR)) AS material, b.l_partkey AS material_id, vendors
+    FROM bom b LEFT JOIN part ON p_partkey = b.l_partkey LEFT JOIN vendors v ON v.l_partkey = b.l_partkey),
+  nested AS (
+    SELECT o_custkey, list(struct_pack(material := material, material_id := material_id, vendors := vendors)
+           ORDER BY material, material_id) AS materials,
+           count(*) AS n_materials, sum(len(vendors)) AS n_links FROM entries GROUP BY o_custkey)"""
+
+
+@query(
+    _NESTED
+    + """ SELECT c_custkey AS o_custkey, c_name, coalesce(n_materials, 0) AS n_materials,
+         CAST(coalesce(n_links, 0) AS BIGINT) AS n_vendor_links,
+         md5(coalesce(CAST(to_json(materials) AS VARCHAR), '[]')) AS materials_md5
+       FROM customer LEFT JOIN nested ON o_custkey = c_custkey"""
+)
+def entity_mapping(spark, sf):
+    nested = M.nested_mapping(
+        owners(spark, sf),
+        bom(spark, sf),
+        purchases(spark, sf),
+        part_names(spark, sf),
+        supplier_names(spark, sf),
+        "o_custkey",
+        "c_name",
+        "l_partkey",
+        "l_suppkey",
+        "s_name",
+    )
+    links = F.aggregate("materials", F.lit(0), lambda total, m: total + F.size(m["vendors"]))
+    return nested.select(
+        "o_custkey",
+        "c_name",
+        F.size("materials").cast("bigint").alias("n_materials"),
+        links.cast("bigint").alias("n_vendor_links"),
+        F.md5(F.to_json("materials")).alias("materials_md5"),
+    )
+
+
+@query(
+    f"""WITH {_LINKS}, held AS (SELECT * FROM customer LEFT JOIN bom ON c_custkey = o_custkey),
+         sold AS (SELECT l_partkey, count(*) AS n FROM bought GROUP BY 1)
+       SELECT count(DISTINCT c_custkey) AS owners, count(DISTINCT o_custkey) AS owners_with_materials,
+         count(h.l_partkey) AS materials, CAST(coalesce(sum(n), 0) AS BIGINT) AS vendor_links
+       FROM held h LEFT JOIN sold s ON h.l_partkey = s.l_partkey"""
+)
+def mapping_totals(spark, sf):
+    bill = M.bill_of_parts(owners(spark, sf), bom(spark, sf), "o_custkey", "l_partkey")
+    return M.mapping_totals(bill, purchases(spark, sf), "o_custkey", "l_partkey", "l_suppkey")
+
+
+@query(
+    f"""WITH {_LINKS}, held AS (SELECT l_partkey, count(*) AS n FROM bom GROUP BY 1)
+       SELECT l_suppkey, CAST(sum(n) AS BIGINT) AS relationships, count(*) AS materials
+       FROM bought JOIN held USING (l_partkey) GROUP BY l_suppkey"""
+)
+def vendor_distribution(spark, sf):
+    held = M.links(bom(spark, sf), "o_custkey", "l_partkey")
+    return M.vendor_distribution(held, purchases(spark, sf), "l_partkey", "l_suppkey")
+
+
+@query(
+    f"""WITH {_LINKS} SELECT c_custkey AS o_custkey, count(*) AS materials FROM customer JOIN bom ON c_custkey = o_custkey
+        GROUP BY 1"""
+)
+def mapped_owners(spark, sf):
+    from recordloom.operators.skew import nested_lists
+
+    held = M.links(bom(spark, sf), "o_custkey", "l_partkey")
+    lists = nested_lists(held, ["o_custkey"], F.col("l_partkey"), "materials")
+    everyone = owners(spark, sf).join(lists, "o_custkey", "left")
+    return M.with_materials(everyone).select("o_custkey", F.size("materials").cast("bigint").alias("materials"))
+
+
+# ------------------------------------------------------------------- names to records
+
+
+@query(
+    """SELECT b.item_id, d.doc_id FROM benchmark b JOIN documents d ON contains(lower(d.text), lower(b.text))"""
+)
+def containment(spark, sf):
+    names = plain(spark, sf, "benchmark")
+    pairs = containing_texts(names, "text", plain(spark, sf, "documents"), "text", "doc_id")
+    keyed = names.select("item_id", F.lower("text").alias("name_key"))
+    return keyed.join(pairs, "name_key").select("item_id", F.col("text_id").alias("doc_id"))
+
+
+@query(
+    """WITH names AS (SELECT DISTINCT text AS name FROM benchmark UNION SELECT DISTINCT text FROM documents WHERE n_chars < 200),
+         exact AS (SELECT name, max(doc_id) AS doc_id FROM names JOIN documents ON text = name GROUP BY 1),
+         inside AS (SELECT name, max(doc_id) AS doc_id FROM names JOIN documents ON contains(lower(text), lower(name))
+                    WHERE name NOT IN (SELECT name FROM exact) GROUP BY 1)
+       SELECT md5(n.name) AS name_md5, md5(coalesce(CAST(e.doc_id AS VARCHAR), CAST(i.doc_id AS VARCHAR), n.name)) AS record_md5,
+         CASE WHEN e.doc_id IS NOT NULL THEN 'exact' WHEN i.doc_id IS NOT NULL THEN 'contained' ELSE 'unresolved' END AS how
+       FROM names n LEFT JOIN exact e ON e.name = n.name LEFT JOIN inside i ON i.name = n.name"""
+)
+def name_resolution(spark, sf):
+    documents = table(spark, sf, "documents").select("doc_id", "text", "n_chars", "row_number")
+    names = plain(spark, sf, "benchmark").select("text").union(documents.filter("n_chars < 200").select("text"))
+    found = resolve_names(names, "text", documents, "text", "text", "doc_id", "row_number")
+    return found.select(F.md5("name").alias("name_md5"), F.md5("record_id").alias("record_md5"), "how")
+
+
+@query(
+    """SELECT p_name, max(p_partkey) AS last_key, arg_max(p_brand, p_partkey) AS last_brand FROM part GROUP BY p_name"""
+)
+def last_match(spark, sf):
+    parts = table(spark, sf, "part")
+    return parts.groupBy("p_name").agg(
+        F.max_by("p_partkey", "row_number").alias("last_key"), F.max_by("p_brand", "row_number").alias("last_brand")
+    )
+
+
+@query(
+    """SELECT 'Equipment' AS type, 'equipment' AS kind, CAST(c_custkey AS VARCHAR) AS value FROM customer
+       UNION ALL SELECT 'Materials', 'material', 'MAT-' || p_partkey FROM part
+       UNION ALL SELECT 'Vendors', 'vendor', 'V-' || s_suppkey FROM supplier"""
+)
+def id_sets(spark, sf):
+    parts = entity(spark, sf, "Materials").withColumn("Material_ID", F.concat(F.lit("MAT-"), "Material_ID"))
+    sellers = entity(spark, sf, "Vendors").withColumn("Vendor_ID", F.concat(F.lit("V-"), "Vendor_ID"))
+    records = union_records([build_records(t) for t in (entity(spark, sf, "Equipment"), parts, sellers)])
+    found = with_metadata(records)
+    # Suppliers have no identifier key of their own, so their record id is taken from the supplier key.
+    seller = F.element_at("json_data", "Vendor_ID")
+    named = found.withColumn("id", F.coalesce(seller, F.col("id")))
+    return M.mapping_id_sets(named, "type")

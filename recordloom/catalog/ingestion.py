@@ -1 +1,49 @@
-"""Placeholder."""
+"""Incremental ingestion of the event table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from recordloom.catalog.registry import query
+from recordloom.catalog.tables import COLUMNS, sql_statement, sql_structured
+from recordloom.operators.records import build_records
+from recordloom.session import fresh_folder
+from recordloom.streaming.incremental import ingest, ingested
+
+EVENTS = COLUMNS["events"]
+
+
+def _judged(batch):
+    """Records of a micro-batch; events of type error with a high value fail."""
+    records = build_records(batch, EVENTS)
+    data = F.col("json_data")
+    lost = (F.element_at(data, "event_type") == "error") & (F.element_at(data, "value").cast("double") > 10)
+    return records.withColumn("status", F.when(lost, "failed").otherwise("ok")).drop("json_data")
+
+
+def _ingest(spark, sf):
+    folder = fresh_folder(spark, "ingest")
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    ingest(spark, sf, schema, _judged, f"{folder}/out", f"{folder}/progress", "parquet", "events.parquet")
+    return f"{folder}/out"
+
+
+@query(
+    f"""SELECT 'events.parquet' AS source_file, row_number() OVER (ORDER BY event_id) AS row_number,
+         {sql_statement(EVENTS)} AS semantic_statement, {sql_statement(EVENTS)} || ' | ' || {sql_structured(EVENTS)} AS combined_text,
+         CASE WHEN event_type = 'error' AND value > 10 THEN 'failed' ELSE 'ok' END AS status FROM events"""
+)
+def incremental_ingest(spark, sf):
+    output = _ingest(spark, sf)
+    rows = ingested(spark, output).unionByName(ingested(spark, output, "failed"))
+    return rows.select("source_file", "row_number", "semantic_statement", "combined_text", "status")
+
+
+@query(
+    """SELECT CASE WHEN event_type = 'error' AND value > 10 THEN 'failed' ELSE 'ok' END AS status, count(*) AS records
+       FROM events GROUP BY 1"""
+)
+def incremental_split(spark, sf):
+    output = _ingest(spark, sf)
+    parts = [ingested(spark, output, kind).groupBy("status").agg(F.count(F.lit(1)).alias("records")) for kind in ("ok", "failed")]
+    return parts[0].unionByName(parts[1])

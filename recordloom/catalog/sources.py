@@ -1 +1,408 @@
-"""Placeholder."""
+"""Sources, sinks and whole runs, on files that Spark writes from the benchmark tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from recordloom.catalog import chains
+from recordloom.catalog.registry import query
+from recordloom.catalog.tables import (
+    ENTITIES,
+    ORDER_KEYS,
+    entity,
+    entity_records,
+    plain,
+    sql_json,
+    sql_statement,
+    sql_structured,
+)
+from recordloom.functions import text as X
+from recordloom.operators import mapping as M
+from recordloom.operators.describing import describe
+from recordloom.operators.records import union_records
+from recordloom.plans import processing
+from recordloom.session import fresh_folder
+from recordloom.sinks import envelopes as E
+from recordloom.sinks import vectors as V
+from recordloom.sources import delimited as D
+
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def _csv(rows, path: str) -> None:
+    rows.write.options(header=True, escape='"', quote='"').csv(path)
+
+
+def _once(spark, sf: str, purpose: str, write) -> str:
+    """A folder filled by ``write(folder)`` once per session and input."""
+    key = (spark.sparkContext.applicationId, sf, purpose)
+    if key not in _WRITTEN:
+        folder = fresh_folder(spark, purpose)
+        write(folder)
+        _WRITTEN[key] = folder
+    return _WRITTEN[key]
+
+
+def _dated(rows):
+    """Timestamps as plain dates, as delimited files of the domain carry them."""
+    dates = [c for c, t in rows.dtypes if t.startswith("timestamp")]
+    return rows.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in dates})
+
+
+def csv_folder(spark, sf) -> str:
+    """Every entity table as ``<Type>.csv``."""
+
+    def write(folder):
+        for kind in ENTITIES:
+            cells = _dated(entity(spark, sf, kind)).drop("source_file", "source_type", "row_number")
+            _csv(cells, f"{folder}/{kind}.csv")
+
+    return _once(spark, sf, "entities", write)
+
+
+def patchy_csv(spark, sf) -> str:
+    """Orders with missing owners, a missing-value token and dates."""
+
+    def write(folder):
+        rows = _dated(plain(spark, sf, "orders"))
+        _csv(
+            rows.select(
+                "o_orderkey",
+                F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("o_custkey"),
+                "o_totalprice",
+                "o_orderdate",
+                F.when(F.col("o_orderpriority") == "5-LOW", "N/A").otherwise(F.col("o_orderpriority")).alias("o_orderpriority"),
+                F.concat(F.lit('size 4" x '), "o_orderstatus", F.lit(", "), "o_orderkey").alias("note"),
+            ),
+            f"{folder}/patchy.csv",
+        )
+
+    return _once(spark, sf, "patchy", write)
+
+
+_DATED = {"Work_Orders": {"o_orderdate": "strftime(o_orderdate, '%Y-%m-%d')"}}
+
+
+def _entity_sql(kind: str, number: bool = True) -> str:
+    """The CSV form of an entity as SQL with its own headers."""
+    name, headers = ENTITIES[kind]
+    cells = ", ".join(f"{_DATED.get(kind, {}).get(c, c)} AS {h}" for c, h in headers.items())
+    return f"SELECT {cells}, row_number() OVER (ORDER BY {ORDER_KEYS[name]}) AS row_number FROM {name}"
+
+
+def _records_sql(kinds=tuple(ENTITIES)) -> str:
+    """CTE ``entities`` over the CSV forms."""
+    parts = []
+    for kind in kinds:
+        headers = list(ENTITIES[kind][1].values())
+        statement, text = sql_statement(headers), sql_structured(headers)
+        parts.append(
+            f"SELECT '{kind}' AS source_type, '{kind}.csv' AS source_file, row_number, {sql_json(headers)} AS json_data, "
+            f"{statement} AS semantic_statement, {statement} || ' | ' || {text} AS combined_text FROM ({_entity_sql(kind)})"
+        )
+    return "entities AS (\n" + "\nUNION ALL\n".join(parts) + ")"
+
+
+_TEXTS = ", ".join(f"CAST({h} AS VARCHAR) AS {h}" for h in ENTITIES["Work_Orders"][1].values())
+
+
+@query(
+    f"""SELECT {_TEXTS}, row_number, 'Work_Orders.csv' AS source_file, 'Work_Orders' AS source_type
+        FROM ({_entity_sql('Work_Orders')})"""
+)
+def csv_untyped_scan(spark, sf):
+    return D.read_untyped(spark, f"{csv_folder(spark, sf)}/Work_Orders.csv").drop("source_dir")
+
+
+@query(
+    """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey::DOUBLE END AS o_custkey, o_totalprice,
+         strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, nullif(o_orderpriority, '5-LOW') AS o_orderpriority,
+         'size 4" x ' || o_orderstatus || ', ' || o_orderkey AS note, row_number() OVER (ORDER BY o_orderkey) AS row_number
+       FROM orders"""
+)
+def csv_typed_scan(spark, sf):
+    return D.read_typed(spark, f"{patchy_csv(spark, sf)}/patchy.csv").drop("source_file", "source_type", "source_dir")
+
+
+@query(f"WITH {_records_sql()} SELECT source_type, source_file, row_number, json_data, combined_text FROM entities")
+def folder_scan(spark, sf):
+    tables = D.read_folder(spark, csv_folder(spark, sf))
+    from recordloom.operators.records import build_records
+
+    records = union_records([build_records(t) for t in tables.values()])
+    return records.select(
+        "source_type", "source_file", "row_number", X.json_text(F.col("json_data")).alias("json_data"), "combined_text"
+    )
+
+
+@query(
+    """SELECT 'Vendors.csv' AS source_file, count(*) AS records FROM supplier
+       UNION ALL SELECT 'Materials.csv', count(*) FROM part UNION ALL SELECT 'Manuals.csv', 0"""
+)
+def whitelist_scan(spark, sf):
+    wanted = ["Vendors.csv", "Materials.csv", "Manuals.csv"]
+    tables, missing = D.read_whitelist(spark, csv_folder(spark, sf), wanted)
+    found = union_records([t.select("source_file") for t in tables.values()])
+    absent = spark.createDataFrame([(m, 0) for m in missing], "source_file string, records bigint")
+    return found.groupBy("source_file").agg(F.count(F.lit(1)).alias("records")).unionByName(absent)
+
+
+@query(
+    "\nUNION ALL\n".join(
+        f"SELECT '{k}.csv' AS source_file, count(*) AS records FROM {ENTITIES[k][0]}"
+        for k in ENTITIES
+        if k not in ("Vendors", "Functional_Locations")
+    )
+)
+def skip_processed(spark, sf):
+    """Rows of the files that an earlier run has not written envelopes for."""
+    from recordloom.streaming.incremental import unprocessed_files
+
+    folder = csv_folder(spark, sf)
+
+    def write(done):
+        tables, _ = D.read_whitelist(spark, folder, ["Vendors.csv", "Functional_Locations.csv"], typed=True)
+        E.write_envelopes(E.envelopes(processing.process_tables(tables).outcomes, 10), done)
+
+    done = E.read_processed(spark, _once(spark, sf, "earlier", write))
+    manifest = done.select(F.concat("source_type", F.lit(".csv")).alias("source_file"))
+    files = D.list_files(spark, folder).select(F.col("file_name").alias("source_file")).distinct()
+    waiting = [r["source_file"] for r in unprocessed_files(files, manifest).collect()]
+    tables, _ = D.read_whitelist(spark, folder, waiting)
+    rows = union_records([t.select("source_file") for t in tables.values()])
+    return rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("records"))
+
+
+@query(
+    f"""SELECT row_number, Equipment_ID, Equipment_Name, FL_ID, Nameplate_Power_kW, Criticality,
+         (SELECT count(*) FROM customer) AS total_rows FROM ({_entity_sql('Equipment')}) WHERE row_number <= 5"""
+)
+def preview_scan(spark, sf):
+    rows = D.read_typed(spark, f"{csv_folder(spark, sf)}/Equipment.csv")
+    total = rows.agg(F.count(F.lit(1)).alias("total_rows"), F.lit(1).alias("_one"))
+    shown = D.preview(rows).drop("source_file", "source_type", "source_dir").withColumn("_one", F.lit(1))
+    # Five rows against one.
+    return shown.join(total, "_one").drop("_one")
+
+
+# ------------------------------------------------------------------------------ sinks
+
+
+def _envelope_folder(spark, sf) -> str:
+    """Envelopes of all entities, with the rows an order limit refuses as failed ones."""
+    from recordloom.catalog.outcomes import LIMIT
+
+    def refuse(rows):
+        from recordloom.operators.describing import template_describer
+
+        if any(float(r.get("Cost") or 0) > LIMIT for r in rows):
+            raise ValueError("total over the limit")
+        return template_describer(rows)
+
+    def write(folder):
+        records = entity_records(spark, sf).drop("semantic_statement", "combined_text")
+        E.write_envelopes(E.envelopes(describe(records, refuse, 20, "split"), 20), folder)
+
+    return _once(spark, sf, "envelopes", write)
+
+
+_BAD = "source_type = 'Work_Orders' AND json_extract_string(json_data, 'Cost')::DOUBLE > 495000"
+
+
+def _table_records_sql() -> str:
+    from recordloom.catalog.tables import sql_entities
+
+    return sql_entities()
+
+
+@query(
+    f"""WITH {_table_records_sql()} SELECT source_type, source_type || '_processed.json' AS source_file, row_number, json_data,
+         semantic_statement, semantic_statement || ' | ' || structured_text AS combined_text FROM entities WHERE NOT ({_BAD})"""
+)
+def envelope_roundtrip(spark, sf):
+    rows = E.read_processed(spark, _envelope_folder(spark, sf))
+    return rows.withColumn("json_data", X.json_text(F.col("json_data")))
+
+
+@query(
+    f"""WITH {_table_records_sql()}, parts AS (
+         SELECT source_type, CAST(floor((row_number - 1) / 10000.0) AS BIGINT) AS part, count(*) FILTER (WHERE NOT ({_BAD})) AS ok,
+           count(*) FILTER (WHERE {_BAD}) AS lost FROM entities GROUP BY 1, 2)
+       SELECT source_type, ok AS total_records, lost AS failed_records, round(ok / (ok + lost) * 100, 6) AS success_rate,
+         20 AS batch_size, ok AS listed_records, lost AS listed_failures FROM parts"""
+)
+def envelope_metadata(spark, sf):
+    loaded = spark.read.schema(E.ENVELOPE + ",processed string").json(_envelope_folder(spark, sf))
+    return loaded.select(
+        F.regexp_replace("processed", "_processed.json$", "").alias("source_type"),
+        "metadata.total_records",
+        "metadata.failed_records",
+        F.round("metadata.success_rate", 6).alias("success_rate"),
+        "metadata.batch_size",
+        F.size("records").cast("bigint").alias("listed_records"),
+        F.size("failed_rows").cast("bigint").alias("listed_failures"),
+    )
+
+
+@query(
+    f"""WITH {_table_records_sql()} SELECT source_file, count(*) AS records, CAST(sum(row_number) AS BIGINT) AS row_sum
+        FROM entities GROUP BY 1"""
+)
+def separate_output(spark, sf):
+    folder = _once(spark, sf, "separate", lambda f: E.write_per_source(entity_records(spark, sf), f))
+    rows = spark.read.parquet(folder)
+    return rows.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("records"), F.sum("row_number").alias("row_sum")
+    )
+
+
+@query(f"WITH {_table_records_sql()} SELECT count(DISTINCT source_file) AS total_files, count(*) AS total_records FROM entities")
+def consolidated_output(spark, sf):
+    folder = _once(spark, sf, "consolidated", lambda f: E.write_consolidated(entity_records(spark, sf), f))
+    return E.consolidated_metadata(spark.read.parquet(folder))
+
+
+@query(
+    """WITH files AS (SELECT 'customer' AS t, count(*) AS n FROM customer UNION ALL SELECT 'nation', count(*) FROM nation
+         UNION ALL SELECT 'part', count(*) FROM part UNION ALL SELECT 'supplier', count(*) FROM supplier
+         UNION ALL SELECT 'orders', count(*) FROM orders)
+       SELECT count(*) AS total_files, count(*) AS successful_files, CAST(0 AS BIGINT) AS failed_files,
+         CAST(sum(n) AS BIGINT) AS total_rows, CAST(sum(ceil(n / 20.0)) AS BIGINT) AS total_calls, count(*) AS listed FROM files"""
+)
+def folder_summary(spark, sf):
+    run = processing.process_tables({k: entity(spark, sf, k) for k in ENTITIES}, 20)
+    folder = _once(
+        spark, sf, "summary", lambda f: E.write_json(E.folder_summary(run.file_results, run.totals), f)
+    )
+    return spark.read.json(folder).select(
+        "statistics.total_files",
+        "statistics.successful_files",
+        "statistics.failed_files",
+        "statistics.total_rows",
+        "statistics.total_calls",
+        F.size("files").cast("bigint").alias("listed"),
+    )
+
+
+@query(
+    """SELECT 'label ' || label AS type, count(*) AS records FROM embeddings GROUP BY 1
+       UNION ALL SELECT '(all)', count(*) FROM embeddings"""
+)
+def vector_table_roundtrip(spark, sf):
+    from recordloom.catalog.retrieval import corpus
+
+    vectors = corpus(spark, sf).withColumn("type", F.concat(F.lit("label "), "label"))
+    folder = _once(spark, sf, "vectors", lambda f: V.write_vectors(vectors, f))
+    return V.vector_statistics(V.read_vectors(spark, folder))
+
+
+@query(
+    """WITH bom AS (SELECT DISTINCT o_custkey, l_partkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey)
+       SELECT c_custkey AS owner, c_name AS equipment, count(l_partkey) AS materials
+       FROM customer LEFT JOIN bom ON o_custkey = c_custkey GROUP BY 1, 2"""
+)
+def mapping_json_roundtrip(spark, sf):
+    """The nested mapping written as JSON and read back; parts of one order stand in for a part's suppliers."""
+    people = chains.owners(spark, sf)
+    held = M.links(chains.bom(spark, sf), "o_custkey", "l_partkey")
+    from recordloom.operators.skew import nested_lists
+
+    lists = nested_lists(held, ["o_custkey"], F.struct(F.col("l_partkey").alias("material_id")), "materials")
+    nested = people.join(lists.drop("chunk"), "o_custkey", "left").select(
+        F.col("c_name").alias("equipment"), F.col("o_custkey").alias("owner"), "materials"
+    )
+    folder = _once(spark, sf, "mapping", lambda f: E.write_json(nested, f))
+    schema = "equipment string, owner bigint, materials array<struct<material_id:bigint>>"
+    back = spark.read.schema(schema).json(folder)
+    return back.select("owner", "equipment", F.coalesce(F.size("materials"), F.lit(0)).cast("bigint").alias("materials"))
+
+
+# ------------------------------------------------------------------------- whole runs
+
+
+@query(
+    f"""WITH {_records_sql(('Materials',))} SELECT source_file, row_number, CAST(floor((row_number - 1) / 10.0) AS BIGINT) AS batch_id,
+         'ok' AS status, semantic_statement, combined_text FROM entities"""
+)
+def process_file(spark, sf):
+    run = processing.process_file(spark, f"{csv_folder(spark, sf)}/Materials.csv")
+    return run.outcomes.select(
+        "source_file", "row_number", "batch_id", "status", "semantic_statement", "combined_text"
+    )
+
+
+_RUN_SQL = "files AS (" + " UNION ALL ".join(
+    f"SELECT '{k}.csv' AS source_file, count(*) AS n FROM {ENTITIES[k][0]}" for k in ENTITIES
+) + ")"
+
+
+@query(
+    f"""WITH {_RUN_SQL} SELECT count(*) AS total_files, count(*) AS successful_files, CAST(0 AS BIGINT) AS failed_files,
+         CAST(sum(n) AS BIGINT) AS total_rows, CAST(sum(n) AS BIGINT) AS processed_rows,
+         CAST(sum(ceil(n / 10.0)) AS BIGINT) AS total_calls, 100.0::DOUBLE AS success_rate,
+         round(sum(n) / sum(ceil(n / 10.0)), 6) AS rows_per_call FROM files"""
+)
+def process_folder(spark, sf):
+    run = processing.process_folder(spark, csv_folder(spark, sf))
+    return run.totals.withColumn("rows_per_call", F.round("rows_per_call", 6))
+
+
+@query(
+    f"""WITH {_RUN_SQL} SELECT source_file, n AS total_rows, n AS processed_rows, true AS success FROM files"""
+)
+def process_auto(spark, sf):
+    run = processing.process_auto(spark, csv_folder(spark, sf))
+    return run.file_results.select("source_file", "total_rows", "processed_rows", "success")
+
+
+@query()
+def file_modes(spark, sf):
+    folder = csv_folder(spark, sf)
+    counts = union_records([t.select("source_file") for t in D.read_folder(spark, folder, typed=False).values()])
+    rows = counts.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
+    return processing.file_modes(spark, folder, "*.csv", rows)
+
+
+def _analysis_sql() -> str:
+    parts = []
+    for kind in ENTITIES:
+        headers = list(ENTITIES[kind][1].values())
+        chars = " + ".join(f"coalesce(length(CAST({h} AS VARCHAR)), 0)" for h in headers)
+        parts.append(
+            f"""SELECT '{kind}' AS source_type, count(*) AS rows, {len(headers)} AS columns,
+                (sum({chars}) FILTER (WHERE row_number <= 5))::DOUBLE / least(count(*), 5) AS avg_chars,
+                max({chars}) FILTER (WHERE row_number <= 5) AS max_chars FROM ({_entity_sql(kind)})"""
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+@query(
+    f"""WITH profiles AS ({_analysis_sql()}), stepped AS (SELECT *, CASE WHEN avg_chars / 4 + 50 < 100 THEN 20
+           WHEN avg_chars / 4 + 50 < 200 THEN 15 WHEN avg_chars / 4 + 50 < 400 THEN 10 ELSE 5 END AS b FROM profiles),
+         sized AS (SELECT *, CAST(trunc(CASE WHEN rows < 10 THEN least(b, rows) WHEN rows < 50 THEN least(b, 10) ELSE b END * 0.8) AS INTEGER)
+           AS batch_size FROM stepped)
+       SELECT source_type, rows, columns, round(avg_chars, 6) AS avg_chars, max_chars, batch_size,
+         CAST(ceil(rows / batch_size) AS BIGINT) AS calls FROM sized"""
+)
+def analyze_folder(spark, sf):
+    plan, _ = processing.analyze(D.read_folder(spark, csv_folder(spark, sf)))
+    return plan.select(
+        "source_type", "rows", "columns", F.round("avg_chars", 6).alias("avg_chars"), "max_chars", "batch_size", "calls"
+    )
+
+
+@query(
+    """SELECT row_number() OVER (ORDER BY conv_id, turn) AS row_number, conv_id, turn, role, text FROM conversations"""
+)
+def quoted_line_breaks(spark, sf):
+    """Texts with line breaks, quotes and commas through a delimited file and back."""
+
+    def write(folder):
+        _csv(plain(spark, sf, "conversations"), f"{folder}/conversations.csv")
+
+    folder = _once(spark, sf, "turns", write)
+    rows = D.read_untyped(spark, f"{folder}/conversations.csv")
+    return rows.select(
+        "row_number", F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), "role", "text"
+    )
+

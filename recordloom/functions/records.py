@@ -62,6 +62,12 @@ def folder_name_of(path: Column) -> Column:
     return F.url_decode(F.element_at(F.split(path, "/"), -2))
 
 
+def logical_file_of(path: Column, ending: str = ".csv") -> Column:
+    """The name a table goes by: its file, or the folder ``<name>.csv`` whose part files make it up."""
+    folder = folder_name_of(path)
+    return F.when(folder.endswith(ending), folder).otherwise(file_name_of(path))
+
+
 def id_kind(identifier: Column) -> Column:
     """Which set an identifier belongs to by its prefix; null when neither."""
     return F.when(identifier.startswith("MAT-"), F.lit("material")).when(

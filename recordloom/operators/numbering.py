@@ -26,18 +26,21 @@ def with_scan_position(scan: DataFrame) -> DataFrame:
     )
 
 
-def numbered_by_split(positioned: DataFrame, max_splits: int | None = None) -> DataFrame:
-    """1-based ``row_number`` per file, in file order, for a scan of splittable files.
+def numbered_by_split(
+    positioned: DataFrame, file: str = "_path", max_splits: int | None = None
+) -> DataFrame:
+    """1-based ``row_number`` per ``file``, in file order, for a scan of splittable files.
 
+    ``file`` may name several physical files, which then count on in name order.
     Each split is counted once (a column-pruned pass that shuffles one row per
-    split); the running count of the earlier splits of the same file then shifts
-    every row's position. Rows themselves are never shuffled while the offsets,
-    one row per split, are few enough to broadcast.
+    split); the running count of the earlier splits shifts every row's position.
+    Rows themselves are never shuffled while the offsets, one row per split, are
+    few enough to broadcast.
     """
-    splits = positioned.groupBy("_path", "_block").agg(
+    splits = positioned.groupBy(*{file: 0, "_path": 0}, "_block").agg(
         F.min("_position").alias("_first"), F.count(F.lit(1)).alias("_rows")
     )
-    earlier = W.partitionBy("_path").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy(file).orderBy("_path", "_block").rowsBetween(W.unboundedPreceding, -1)
     offsets = splits.select(
         "_path", "_block", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift")
     )

@@ -14,52 +14,75 @@ from recordloom.functions import text as X
 from recordloom.operators.records import cell_columns
 
 
-def profile(table: DataFrame, name: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row describing a numbered table: size, nulls, characters of its first rows, column kinds.
+KINDS = ["source_type", "columns", "text_columns", "numeric_columns"]
+
+
+def _cell_facts(table: DataFrame, name: str, columns: Sequence[str]) -> tuple[DataFrame, tuple]:
+    """Narrow per-row facts of one table, and its column counts."""
+    types = {f.name: f.dataType.typeName() for f in table.schema.fields}
+    nulls = " + ".join(["0", *[f"int({X.column_sql(c)} IS NULL)" for c in columns]])
+    texts = X.field_texts(table, columns).values()
+    chars = " + ".join(["0", *[f"coalesce(length({t}), 0)" for t in texts]])
+    counts = (
+        name,
+        len(columns),
+        sum(types[c] == "string" for c in columns),
+        sum(types[c] in ("long", "integer", "short", "double", "float") for c in columns),
+    )
+    sampled = f"row_number <= {SAMPLE_ROWS}"
+    rows = table.select(
+        *[F.lit(v).alias(k) for k, v in zip(KINDS, counts)],
+        F.lit(1).alias("_rows"),
+        F.expr(nulls).alias("_nulls"),
+        F.expr(f"if({sampled}, {chars}, NULL)").alias("_chars"),
+    )
+    return rows, counts
+
+
+def profiles(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per numbered table: size, nulls, characters of its first rows, column kinds.
 
     Character counts look at the first ``SAMPLE_ROWS`` rows, which is the rule;
-    nulls and rows are counted over the whole table in the same pass.
+    rows and nulls are counted over whole tables. All tables share one scan stage
+    and one exchange, to which every task sends one partial row per table.
     """
-    columns = list(columns) if columns is not None else cell_columns(table)
-    types = {f.name: f.dataType.typeName() for f in table.schema.fields}
-    sampled = F.col("row_number") <= SAMPLE_ROWS
-    fields = X.field_texts(table, columns)
-    nulls = F.expr(" + ".join(["0", *[f"int({X.column_sql(c)} IS NULL)" for c in columns]]))
-    chars = F.expr(" + ".join(["0", *[f"coalesce(length({t}), 0)" for t in fields.values()]]))
-    numeric = [c for c in columns if types[c] in ("long", "integer", "short", "double", "float")]
-    textual = [c for c in columns if types[c] == "string"]
-    facts = table.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(nulls).alias("null_cells"),
-        F.count_if(sampled).alias("sample_rows"),
-        F.sum(F.when(sampled, nulls)).alias("sample_nulls"),
-        F.sum(F.when(sampled, chars)).alias("sample_chars"),
-        F.max(F.when(sampled, chars)).alias("max_chars"),
+    facts = [_cell_facts(t, n, cell_columns(t)) for n, t in tables.items()]
+    spark = facts[0][0].sparkSession
+    # A table without rows still gets its profile.
+    present = spark.createDataFrame(
+        [(*counts, 0, 0, None) for _, counts in facts],
+        "source_type string, columns int, text_columns int, numeric_columns int, _rows int, _nulls int, _chars int",
     )
-    count = F.lit(len(columns))
-    null_cells = F.coalesce("null_cells", F.lit(0))
-    return facts.select(
-        F.lit(name).alias("source_type"),
+    sampled = F.col("_chars").isNotNull()
+    sums = (
+        reduce(lambda a, b: a.unionByName(b), [present, *[rows for rows, _ in facts]])
+        .groupBy(*KINDS)
+        .agg(
+            F.sum("_rows").alias("rows"),
+            F.sum("_nulls").alias("null_cells"),
+            F.count_if(sampled).alias("_sample"),
+            F.coalesce(F.sum(F.when(sampled, F.col("_nulls"))), F.lit(0)).alias("_sample_nulls"),
+            F.coalesce(F.sum("_chars"), F.lit(0)).alias("_sample_chars"),
+            F.coalesce(F.max("_chars"), F.lit(0)).alias("max_chars"),
+        )
+    )
+    sample_cells = F.col("_sample") * F.col("columns")
+    return sums.select(
+        "source_type",
         "rows",
-        count.alias("columns"),
-        F.lit(len(textual)).alias("text_columns"),
-        F.lit(len(numeric)).alias("numeric_columns"),
-        null_cells.alias("null_cells"),
-        P.percent(null_cells, F.col("rows") * count).alias("null_percent"),
-        P.ratio(F.coalesce("sample_chars", F.lit(0)), F.col("sample_rows")).alias("avg_chars"),
-        F.coalesce("max_chars", F.lit(0)).alias("max_chars"),
-        (
-            F.when(
-                (F.col("sample_rows") > 0) & (count > 0),
-                1 - F.coalesce("sample_nulls", F.lit(0)) / (F.col("sample_rows") * count),
-            ).otherwise(F.lit(0.5))
-        ).alias("density"),
+        "columns",
+        "text_columns",
+        "numeric_columns",
+        "null_cells",
+        P.percent(F.col("null_cells"), F.col("rows") * F.col("columns")).alias("null_percent"),
+        P.ratio(F.col("_sample_chars"), F.col("_sample")).alias("avg_chars"),
+        "max_chars",
+        F.when(sample_cells > 0, 1 - F.col("_sample_nulls") / sample_cells).otherwise(F.lit(0.5)).alias("density"),
     )
 
 
-def profiles(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """The profile rows of several tables; one scan each."""
-    return reduce(lambda a, b: a.unionByName(b), [profile(t, n) for n, t in tables.items()])
+def profile(table: DataFrame, name: str) -> DataFrame:
+    return profiles({name: table})
 
 
 def batch_plan(profile_rows: DataFrame) -> DataFrame:

@@ -98,8 +98,10 @@ def file_modes(spark: SparkSession, folder: str, pattern: str, rows: DataFrame)
 
     ``rows`` has ``source_file, rows``; a file missing there counts as unreadable.
     """
-    files = list_files(spark, folder, pattern).select(
-        F.col("file_name").alias("source_file"), (F.col("length") / (1024 * 1024)).alias("size_mb")
+    files = (
+        list_files(spark, folder, pattern)
+        .groupBy(F.col("file_name").alias("source_file"))
+        .agg((F.sum("length") / (1024 * 1024)).alias("size_mb"))
     )
     mode = P.detected_mode(F.lit(False), F.lower("source_file").endswith(".csv"), F.col("rows"), F.col("size_mb"))
     return files.join(rows, "source_file", "left").select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordloom.constants import NULL_TOKENS
-from recordloom.functions.records import file_name_of, folder_name_of, source_type_of
+from recordloom.functions.records import folder_name_of, logical_file_of, source_type_of
 from recordloom.functions.text import tokens_to_null
 from recordloom.operators.numbering import numbered_by_split, with_scan_position
 
@@ -21,9 +21,17 @@ NUMBER_CELL = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[iI]nf(in
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """``path``, ``file_name``, ``length`` of the matching files. Contents are not read."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    return listing.select("path", file_name_of(F.col("path")).alias("file_name"), "length")
+    """``path``, ``file_name``, ``length`` of the matching files. Contents are not read.
+
+    The parts of a table written by Spark as a folder ``<name>.csv`` carry that name.
+    """
+    reader = spark.read.format("binaryFile").options(pathGlobFilter=pattern, recursiveFileLookup=True)
+    own = folder.rstrip("/").rsplit("/", 1)[-1]
+    steps = F.split("path", "/")
+    directly = F.url_decode(F.element_at(steps, -2)) == own
+    as_part = F.element_at(steps, -2).endswith(".csv") & (F.url_decode(F.element_at(steps, -3)) == own)
+    listing = reader.load(folder).filter(directly | as_part)
+    return listing.select("path", logical_file_of(F.col("path")).alias("file_name"), "length")
 
 
 def spans_lines(spark: SparkSession, paths: Sequence[str]) -> bool:
@@ -45,19 +53,19 @@ def read_untyped(
         multi_line = spans_lines(spark, paths)
     scan = spark.read.options(header=True, escape='"', multiLine=multi_line).csv(paths)
     cells = scan.columns
-    positioned = with_scan_position(scan)
+    positioned = with_scan_position(scan).withColumn("source_file", logical_file_of(F.col("_path")))
     if numbered:
         # Every split belongs to one task, and tasks are packed from whole splits.
         most_splits = len(scan.inputFiles()) + scan.rdd.getNumPartitions()
-        positioned = numbered_by_split(positioned, most_splits)
+        positioned = numbered_by_split(positioned, "source_file", most_splits)
     else:
         positioned = positioned.withColumn("row_number", F.lit(None).cast("long")).drop("_block", "_position")
-    name = file_name_of(F.col("_path"))
+    inside = F.expr("left(_path, locate(concat('/', source_file), _path) - 1)")
     return positioned.select(
         *[F.col(f"`{c}`") for c in cells],
-        name.alias("source_file"),
-        source_type_of(name).alias("source_type"),
-        folder_name_of(F.col("_path")).alias("source_dir"),
+        "source_file",
+        source_type_of(F.col("source_file")).alias("source_type"),
+        folder_name_of(F.concat(inside, F.lit("/"))).alias("source_dir"),
         "row_number",
     )
 
@@ -138,8 +146,10 @@ def read_whitelist(
 
 def _read_each(spark: SparkSession, listing: DataFrame, typed: bool) -> dict[str, DataFrame]:
     reader = read_typed if typed else read_untyped
-    files = sorted((r["file_name"], r["path"]) for r in listing.select("file_name", "path").collect())
-    return {name.rsplit(".", 1)[0]: reader(spark, path) for name, path in files}
+    paths: dict[str, list[str]] = {}
+    for name, path in sorted((r["file_name"], r["path"]) for r in listing.select("file_name", "path").collect()):
+        paths.setdefault(name.rsplit(".", 1)[0], []).append(path)
+    return {stem: reader(spark, found) for stem, found in paths.items()}
 
 
 def preview(table: DataFrame, rows: int = 5) -> DataFrame:
