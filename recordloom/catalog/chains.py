@@ -14,11 +14,9 @@ from recordloom.operators.resolving import containing_texts, resolve_names
 
 def bom(spark, sf):
     """Owner-part links: the parts on a customer's orders."""
-    from recordloom.operators.skew import lookup_join
-
     orders = plain(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     lines = plain(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
-    return lookup_join(lines, orders, ["l_orderkey"], "inner").select("o_custkey", "l_partkey")
+    return lines.join(orders, "l_orderkey").select("o_custkey", "l_partkey")
 
 
 def purchases(spark, sf):
@@ -156,8 +154,8 @@ def entity_mapping(spark, sf):
        FROM held h LEFT JOIN sold s ON h.l_partkey = s.l_partkey"""
 )
 def mapping_totals(spark, sf):
-    bill = M.bill_of_parts(owners(spark, sf), bom(spark, sf), "o_custkey", "l_partkey")
-    return M.mapping_totals(bill, purchases(spark, sf), "o_custkey", "l_partkey", "l_suppkey")
+    held = M.links(bom(spark, sf), "o_custkey", "l_partkey")
+    return M.mapping_totals(owners(spark, sf), held, purchases(spark, sf), "o_custkey", "l_partkey", "l_suppkey")
 
 
 @query(

@@ -71,12 +71,24 @@ ENTITIES = {
 }
 
 
+_READ: dict[tuple[str, str, str, bool | None], DataFrame] = {}
+
+
+def _read(spark: SparkSession, folder: str, name: str, numbered: bool | None) -> DataFrame:
+    """The benchmark files do not change, so their schemas are looked up once per session."""
+    key = (spark.sparkContext.applicationId, folder, name, numbered)
+    if key not in _READ:
+        path = f"{folder}/{name}.parquet"
+        _READ[key] = spark.read.parquet(path) if numbered is None else read_table(spark, path, name, numbered)
+    return _READ[key]
+
+
 def table(spark: SparkSession, folder: str, name: str, numbered: bool = True) -> DataFrame:
-    return read_table(spark, f"{folder}/{name}.parquet", name, numbered)
+    return _read(spark, folder, name, numbered)
 
 
 def plain(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return _read(spark, folder, name, None)
 
 
 def patchy_orders(spark: SparkSession, folder: str) -> DataFrame:

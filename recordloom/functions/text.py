@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 from recordloom.constants import FIELD_SEPARATOR, NULL_TOKENS
 
 
-# The steps are nested lambdas so that each is computed once; plain SQL keeps the expression
-# cheap to build. {v} is the column, {s} its Spark text.
+# {v} is the column, {s} its Spark text. Up to 17 characters of mantissa Spark's digits are the
+# shortest ones already and are only moved around. The rare longer ones are checked for a shorter
+# spelling; nested lambdas compute each step of that once.
 _FLOAT_TEXT = """
 CASE
   WHEN {v} IS NULL THEN NULL
@@ -20,16 +21,23 @@ CASE
   WHEN {s} = 'Infinity' THEN 'inf'
   WHEN {s} = '-Infinity' THEN '-inf'
   WHEN instr({s}, 'E') = 0 AND length({s}) <= 17 THEN {s}
+  WHEN instr({s}, 'E') BETWEEN 1 AND 18 AND abs({v}) >= 1e7 AND abs({v}) < 1e16 THEN
+    regexp_replace(rtrim('0', cast(cast({v} AS decimal(38, 10)) AS string)), '[.]$', '.0')
+  WHEN instr({s}, 'E') BETWEEN 1 AND 18 AND abs({v}) >= 1e-4 AND abs({v}) < 1e-3 THEN
+    concat(if({v} < 0, '-', ''), '0.000', rtrim('0', translate(split_part({s}, 'E', 1), '-.', '')))
+  WHEN instr({s}, 'E') BETWEEN 1 AND 18 THEN concat(
+    regexp_replace(split_part({s}, 'E', 1), '[.]0$', ''),
+    if(abs({v}) < 1, 'e-', 'e+'), lpad(ltrim('-', split_part({s}, 'E', 2)),
+    greatest(2, length(ltrim('-', split_part({s}, 'E', 2)))), '0'))
   ELSE transform(
     transform(
       array(CASE
-        WHEN instr({s}, 'E') > 0 AND length(split_part({s}, 'E', 1)) <= 17 THEN {s}
-        WHEN cast(format_string('%.14e', {v}) AS double) = {v} THEN upper(format_string('%.14e', {v}))
-        WHEN cast(format_string('%.15e', {v}) AS double) = {v} THEN upper(format_string('%.15e', {v}))
-        ELSE upper(format_string('%.16e', {v})) END),
+        WHEN cast(format_string('%.14e', {v}) AS double) = {v} THEN format_string('%.14e', {v})
+        WHEN cast(format_string('%.15e', {v}) AS double) = {v} THEN format_string('%.15e', {v})
+        ELSE format_string('%.16e', {v}) END),
       c -> struct(
-        regexp_replace(regexp_replace(split_part(c, 'E', 1), '[-.]', ''), '(?<=.)0+$', '') AS digits,
-        cast(split_part(c, 'E', 2) AS int) AS power)),
+        rtrim('0', translate(split_part(c, 'e', 1), '-.', '')) AS digits,
+        cast(split_part(c, 'e', 2) AS int) AS power)),
     p -> concat(
       if({v} < 0, '-', ''),
       CASE

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from recordloom.functions import planning as P
 from recordloom.operators.numbering import running_total
 from recordloom.operators.skew import lookup_join
+from recordloom.session import written
 
 # --- fixed values: statuses that count as processed ---
 PROCESSED = ["ok", "fallback", "error_record"]
@@ -54,10 +55,15 @@ def rows_per_second(rows: Column, seconds: Column) -> Column:
 
 
 def progress(outcomes: DataFrame) -> DataFrame:
-    """Cumulative rows processed after each batch and the share of the file they make up."""
+    """Cumulative rows processed after each batch and the share of the file they make up.
+
+    The counts per batch are stored: three steps read them, and behind them may be
+    an expensive describer.
+    """
     batches = outcomes.groupBy("source_file", "batch_id").agg(
         F.count(F.lit(1)).alias("batch_rows"), F.count_if(F.col("status").isin(PROCESSED)).alias("batch_processed")
     )
+    batches = written(batches, "batches")
     running = running_total(batches, "batch_processed", "batch_id", ["source_file"], "processed_so_far")
     totals = batches.groupBy("source_file").agg(F.sum("batch_rows").alias("total_rows"))
     return lookup_join(running, totals, ["source_file"], "inner", spread=["batch_id"]).withColumn(

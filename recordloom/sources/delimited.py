@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,7 +150,10 @@ def _read_each(spark: SparkSession, listing: DataFrame, typed: bool) -> dict[str
     paths: dict[str, list[str]] = {}
     for name, path in sorted((r["file_name"], r["path"]) for r in listing.select("file_name", "path").collect()):
         paths.setdefault(name.rsplit(".", 1)[0], []).append(path)
-    return {stem: reader(spark, found) for stem, found in paths.items()}
+    # Header and type lookups are small jobs of their own per entity; run them side by side.
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        tables = pool.map(lambda found: reader(spark, found), paths.values())
+        return dict(zip(paths, tables))
 
 
 def preview(table: DataFrame, rows: int = 5) -> DataFrame:
