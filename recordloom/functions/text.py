@@ -66,7 +66,8 @@ def float_text(name: str) -> str:
     """SQL for a double column as its shortest decimal text: plain from 1e-4 up to 1e16, else ``1e+16`` style.
 
     Spark's own cast already gives that between 1e-3 and 1e7 with up to 16 digits;
-    only other values take the longer branch.
+    only other values take the longer branches. Beyond 1e16 the last digit is the
+    JVM's choice among spellings that read back as the same number.
     """
     value = column_sql(name)
     return _FLOAT_TEXT.format(v=value, s=f"cast({value} AS string)")
