@@ -7,8 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordloom.session import measured
+
 # At most this many keys are salted; any further key holds under 0.1 % of all rows.
 MAX_HOT_KEYS = 1000
+# A lookup is broadcast up to this size on disk (several times that in memory).
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def hot_keys(facts: DataFrame, on: Sequence[str], rows_per_task: int) -> DataFrame:
@@ -34,14 +38,20 @@ def lookup_join(
     how: str = "left",
     rows_per_task: int = 5_000_000,
     spread: Sequence[str] | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Many-to-one join of ``facts`` with ``lookup`` (at most one row per key there).
+    """Many-to-one join of large ``facts`` with a ``lookup`` that may be small or large.
 
-    Rows of a hot key are dealt over several salts, and only the lookup rows of
-    hot keys are repeated once per salt; everything else joins as usual. ``spread``
-    names the columns whose hash picks the salt, all fact columns by default.
+    The lookup is stored first, which also keeps it from being computed twice, and
+    measured. Up to ``broadcast_bytes`` on disk it is broadcast and the facts are
+    not exchanged at all. Past that the rows of a hot key are dealt over several
+    salts and only the lookup rows of hot keys are repeated, once per salt.
+    ``spread`` names the columns whose hash picks the salt, all by default.
     """
     on = list(on)
+    stored, size = measured(lookup, "lookup")
+    if size <= broadcast_bytes:
+        return facts.join(F.broadcast(stored), on, how)
     hot = F.broadcast(hot_keys(facts, on, rows_per_task))
     columns = list(spread) if spread else [c for c, t in facts.dtypes if not t.startswith("map")]
     salted = (
@@ -50,7 +60,7 @@ def lookup_join(
         .drop("_ways")
     )
     repeated = (
-        lookup.join(hot, on, "left")
+        stored.join(hot, on, "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_ways", F.lit(1)) - 1)))
         .drop("_ways")
     )

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -37,7 +38,19 @@ def written(df, purpose: str):
 
     Unlike cached blocks the files outlive the executors that wrote them.
     """
+    return _stored(df, purpose)[0]
+
+
+def _stored(df, purpose: str):
     spark = df.sparkSession
     path = fresh_folder(spark, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def measured(df, purpose: str):
+    """The stored ``df`` and the bytes it takes on disk, for choosing how to join it."""
+    stored, path = _stored(df, purpose)
+    listing = df.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    size = listing.agg(F.sum("length").alias("bytes")).first()["bytes"]
+    return stored, size or 0

@@ -50,9 +50,8 @@ def ingest(
         if parquet:
             numbered = batch.withColumn("row_number", F.col("_index") + 1).drop("_block", "_index")
         else:
-            numbered = numbered_by_split(
-                batch.drop("_index").withColumn("_position", F.monotonically_increasing_id())
-            )
+            positioned = batch.drop("_index").withColumn("_position", F.monotonically_increasing_id())
+            numbered = numbered_by_split(positioned, max_splits=batch.rdd.getNumPartitions() + max_files_per_trigger)
         name = file_name_of(F.col("_path"))
         rows = build(
             numbered.withColumn("source_file", name).withColumn("source_type", source_type_of(name)).drop("_path")

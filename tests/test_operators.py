@@ -126,9 +126,10 @@ def test_lookup_join_with_hot_key(spark):
     hot = hot_keys(facts, ["k"], 100).collect()
     assert [(r["k"], r["_ways"]) for r in hot] == [(0, 10)]
     for how in ("left", "inner"):
-        a = lookup_join(facts, lookup, ["k"], how, rows_per_task=100)
         b = facts.join(lookup, "k", how)
-        assert sorted(map(tuple, a.select("k", "id", "v").collect()), key=str) == sorted(map(tuple, b.select("k", "id", "v").collect()), key=str)
+        for limit in (0, 10**9):
+            a = lookup_join(facts, lookup, ["k"], how, rows_per_task=100, broadcast_bytes=limit)
+            assert sorted(map(tuple, a.select("k", "id", "v").collect()), key=str) == sorted(map(tuple, b.select("k", "id", "v").collect()), key=str)
 
 
 def test_nested_lists_chunk_only_large_keys(spark):
