@@ -63,6 +63,18 @@ def _outcome_sql(status: str, statement: str, combined: str, failed: str, where:
          CASE WHEN {failed} THEN 'total over the limit' END AS error_message FROM stopping {where}"""
 
 
+def _describe_one(row):
+    return D.template_describer([row])[0]
+
+
+@query(
+    f"""WITH {PATCHY_SQL} SELECT row_number, {sql_statement(PATCHY_COLUMNS)} AS semantic_statement FROM patchy"""
+)
+def single_describer(spark, sf):
+    rows = O.build_records(patchy_orders(spark, sf), PATCHY_COLUMNS)
+    return rows.select("row_number", D.described_singly(F.col("json_data"), _describe_one).alias("semantic_statement"))
+
+
 @query(
     _outcome_sql(
         "CASE WHEN bad THEN 'failed' ELSE 'ok' END",

@@ -376,6 +376,13 @@ def remaining_rows(spark, sf):
     return O.remaining(rows, done, ["o_orderkey"])
 
 
+@query("SELECT event_id, row_number() OVER (ORDER BY event_id) AS row_number, event_type FROM events ORDER BY row_number")
+def row_order_restored(spark, sf):
+    """Rows brought back into file order after work that shuffled them."""
+    shuffled = table(spark, sf, "events").select("event_id", "row_number", "event_type").repartition("event_type")
+    return shuffled.orderBy("row_number")
+
+
 @query("SELECT DISTINCT l_partkey, l_suppkey FROM lineitem")
 def distinct_links(spark, sf):
     from recordloom.operators.mapping import links

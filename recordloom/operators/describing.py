@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -115,12 +118,23 @@ def template_describer(rows: list[dict]) -> list[str]:
     return out
 
 
+def described_singly(data: Column, describe_row: Callable[[dict], str]) -> Column:
+    """A row describer without batches: one call per row, Arrow batches in between."""
+
+    @F.pandas_udf("string")
+    def call(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda row: describe_row(dict(row)), na_action="ignore")
+
+    return call(data)
+
+
 def describe(
     records: DataFrame,
     describer: Describer,
     batch_size: int,
     on_error: str = "split",
     attempts: int = 1,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Call ``describer`` on batches of rows and record what became of every row.
 
@@ -134,20 +148,26 @@ def describe(
     * ``error_record`` – its rows are tried singly, failures keep an error statement.
 
     Rows are exchanged once, by batch, so that a batch meets in one task; a large
-    file spreads over its batches. Failures are values, never failed tasks.
+    file spreads over its batches. ``partitions`` (the session's shuffle partitions
+    by default) is kept as given, because calls, not bytes, are what costs here.
+    Failures are values, never failed tasks.
     """
     if on_error not in POLICIES:
         raise ValueError(f"unknown policy {on_error!r}")
-    described = _run(records, describer, batch_size, on_error, attempts)
+    if partitions is None:
+        partitions = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    described = _run(records, describer, batch_size, on_error, attempts, partitions)
     if on_error == "stop":
         # The outcome feeds both the first failure and the rows: store it, call once.
         described = _stopped(written(described, "described"))
     return _finished(described, on_error)
 
 
-def _run(records, describer, batch_size, on_error, attempts) -> DataFrame:
+def _run(records, describer, batch_size, on_error, attempts, partitions) -> DataFrame:
     keyed = records.withColumn("batch_id", batch_id(F.col("row_number"), batch_size))
-    gathered = keyed.repartition("source_file", "batch_id").sortWithinPartitions("source_file", "batch_id", "row_number")
+    gathered = keyed.repartition(partitions, "source_file", "batch_id").sortWithinPartitions(
+        "source_file", "batch_id", "row_number"
+    )
     schema = T.StructType(gathered.schema.fields + OUTCOME.fields)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,9 +188,15 @@ def _run(records, describer, batch_size, on_error, attempts) -> DataFrame:
 
 def _group_edges(table: pa.Table) -> list[int]:
     """Offsets at which the (file, batch) key changes, with both ends."""
-    keys = list(zip(table["source_file"].to_pylist(), table["batch_id"].to_pylist()))
-    changes = [i for i in range(1, len(keys)) if keys[i] != keys[i - 1]]
-    return [0, *changes, len(keys)] if keys else [0, 0]
+    n = table.num_rows
+    if n < 2:
+        return [0, n]
+    moved = None
+    for name in ("source_file", "batch_id"):
+        column = table[name].combine_chunks()
+        differs = pc.not_equal(column.slice(1), column.slice(0, n - 1))
+        moved = differs if moved is None else pc.or_(moved, differs)
+    return [0, *(np.flatnonzero(moved.to_numpy(zero_copy_only=False)) + 1).tolist(), n]
 
 
 def _outcomes(table: pa.Table, edges: list[int], describer, on_error, attempts) -> Iterator[pa.RecordBatch]:

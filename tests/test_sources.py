@@ -161,3 +161,11 @@ def test_describer_sees_rows_of_the_template(spark, folder):
     rows = build_records(D.read_typed(spark, str(folder / "Pumps.csv")))
     said = describe(rows.drop("semantic_statement", "combined_text"), template_describer, 2)
     assert {r["semantic_statement"] for r in said.collect()} == {r["semantic_statement"] for r in rows.collect()}
+
+
+def test_latest_output_folder(spark, tmp_path):
+    assert E.latest_output(spark, str(tmp_path)) is None
+    for name in ("OUTPUT_20250101_000000", "OUTPUT_20250301_000000", "elsewhere"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "A_processed.json").write_text("{}")
+    assert E.latest_output(spark, str(tmp_path)) == f"{tmp_path}/OUTPUT_20250301_000000"
