@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordloom.session import measured
+from recordloom.session import measured, written
 
 # At most this many keys are salted; any further key holds under 0.1 % of all rows.
 MAX_HOT_KEYS = 1000
 # A lookup is broadcast up to this size on disk (several times that in memory).
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Keys of oversized lists, a key and a number each, are broadcast up to this many.
+BROADCAST_KEYS = 1_000_000
 
 
 def hot_keys(facts: DataFrame, on: Sequence[str], rows_per_task: int) -> DataFrame:
@@ -75,6 +77,8 @@ def nested_lists(
     max_items: int = 10_000,
     salts: int = 64,
     sized_by: DataFrame | None = None,
+    everyone: DataFrame | None = None,
+    only_listed: bool = True,
 ) -> DataFrame:
     """One sorted list of ``item`` per key, cut into chunks where a key has more than ``max_items``.
 
@@ -82,22 +86,47 @@ def nested_lists(
     item hash over ``ceil(size / max_items)`` rows, so no task and no row ever
     holds an unbounded group, and all items stay in the result. ``sized_by`` may
     give a cheaper table with the same number of rows per key to count from.
+
+    ``everyone``, unique by key, adds its other columns to the result and an empty
+    list for keys without items, all in the same exchange; keys it does not list
+    are dropped if ``only_listed``.
     """
     keys = list(keys)
     items = rows.select(*keys, item.alias("_item"))
-    oversized = (
+    oversized = written(
         (items if sized_by is None else sized_by)
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_size"))
         .filter(F.col("_size") > max_items)
-        .select(*keys, F.ceil(F.col("_size") / max_items).alias("_chunks"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        .select(*keys, F.ceil(F.col("_size") / max_items).alias("_chunks")),
+        "oversized",
     )
+    found = oversized.count()
     spread = F.xxhash64("_item")
-    return (
-        items.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
-        .join(oversized, [*keys, "_salt"], "left")
-        .withColumn("chunk", F.pmod(F.shiftright(spread, 8), F.coalesce("_chunks", F.lit(1))))
+    chunk = F.pmod(F.shiftright(spread, 8), F.coalesce("_chunks", F.lit(1)))
+    small = found <= BROADCAST_KEYS
+    if not found:
+        dealt = items.withColumn("chunk", F.lit(0).cast("bigint"))
+    elif small:
+        dealt = items.join(F.broadcast(oversized), keys, "left").withColumn("chunk", chunk).drop("_chunks")
+    else:
+        repeated = oversized.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        salted = items.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
+        dealt = salted.join(repeated, [*keys, "_salt"], "left").withColumn("chunk", chunk).drop("_chunks", "_salt")
+    gathered = F.array_sort(F.collect_list("_item")).alias(result)
+    if everyone is None:
+        return dealt.groupBy(*keys, "chunk").agg(gathered)
+    # Listed keys join the exchange as rows without an item, one for each of their chunks.
+    extra = [c for c in everyone.columns if c not in keys]
+    listed = everyone.join(F.broadcast(oversized) if small else oversized, keys, "left")
+    last = F.coalesce("_chunks", F.lit(1)) - 1
+    listed = listed.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last.cast("bigint"))))
+    marked = listed.drop("_chunks").withColumn("_listed", F.lit(True))
+    grouped = (
+        dealt.unionByName(marked, allowMissingColumns=True)
         .groupBy(*keys, "chunk")
-        .agg(F.array_sort(F.collect_list("_item")).alias(result))
+        .agg(gathered, *[F.max(c).alias(c) for c in extra], F.max("_listed").alias("_listed"))
     )
+    if only_listed:
+        grouped = grouped.filter("_listed")
+    return grouped.drop("_listed")

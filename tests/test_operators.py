@@ -140,6 +140,27 @@ def test_nested_lists_chunk_only_large_keys(spark):
     assert [r["ids"] for r in lists if r["k"] == "small"] == [list(range(1000, 1010))]
 
 
+def test_nested_lists_with_everyone(spark):
+    rows = spark.range(0, 1000).select(F.when(F.col("id") < 990, "big").otherwise("stray").alias("k"), "id")
+    everyone = spark.createDataFrame([("big", "B"), ("none", "N")], "k string, title string")
+    for bound in (100, 10_000):
+        got = nested_lists(rows, ["k"], F.col("id"), "ids", max_items=bound, everyone=everyone).collect()
+        assert {(r["k"], r["title"]) for r in got} == {("big", "B"), ("none", "N")}
+        assert sorted(i for r in got for i in r["ids"]) == list(range(990))
+        assert len(got) == (1 + 10 if bound == 100 else 2)
+    loose = nested_lists(rows, ["k"], F.col("id"), "ids", everyone=everyone, only_listed=False).collect()
+    assert {(r["k"], r["title"], len(r["ids"])) for r in loose} == {("big", "B", 990), ("none", "N", 0), ("stray", None, 10)}
+
+
+def test_nested_lists_large_oversized_table(spark, monkeypatch):
+    from recordloom.operators import skew
+
+    monkeypatch.setattr(skew, "BROADCAST_KEYS", 0)
+    rows = spark.range(0, 1010).select(F.when(F.col("id") < 1000, "big").otherwise("small").alias("k"), "id")
+    lists = nested_lists(rows, ["k"], F.col("id"), "ids", max_items=100).collect()
+    assert sorted(i for r in lists for i in r["ids"]) == list(range(1010)) and len(lists) > 6
+
+
 # -------------------------------------------------------------------------- search
 
 
