@@ -9,13 +9,14 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    A local master may run without the setting; it then gets a temporary folder,
-    remembered on the session. A cluster must name the folder, because a
+    A local master may run without the setting; it then gets one temporary folder
+    for the application. A cluster must name the folder, because a
     machine-local path would be lost with its executor.
     """
     folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
@@ -23,9 +24,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="recordloom-")
-    spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="recordloom-")
+    return _LOCAL_FOLDERS[application]
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
