@@ -3,7 +3,25 @@
 from __future__ import annotations
 
 from recordloom.llm.binary_ids import op9_binary_ids
+from recordloom.llm.decontamination import op8_decontamination
+from recordloom.llm.language import op6_language
 from recordloom.llm.packing import op2_packing
+from recordloom.llm.quality import op4_quality
+from recordloom.llm.secrets import op10_secret_scan
+from recordloom.llm.simhash import op7_simhash
+from recordloom.llm.syncmers import op5_syncmers
 
-QUERIES = {q.__name__: q for q in (op2_packing, op9_binary_ids)}
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op2_packing,
+        op4_quality,
+        op5_syncmers,
+        op6_language,
+        op7_simhash,
+        op8_decontamination,
+        op9_binary_ids,
+        op10_secret_scan,
+    )
+}
 ORACLES: dict[str, str] = {}
