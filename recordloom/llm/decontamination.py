@@ -27,7 +27,9 @@ from functools import reduce
 from zlib import crc32
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm.common import by_arrow, small_batches, table, utf8
@@ -164,14 +166,12 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield sorted(((r.item_id, r.text) for r in block), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """A row per document and item it holds: doc_id, item_id, score, start_char, end_char."""
-    texts = docs.select("doc_id", utf8(F.col("text")).alias("text"))
-    rows = texts.count()
-    parts = []
+def _ready(texts: DataFrame, benchmark: DataFrame) -> Iterator[Broadcast]:
+    """The blocks of items, each with its seeds' rarity in ``texts``, sent to the tasks."""
+    context, rows = texts.sparkSession.sparkContext, texts.count()
     for block in _blocks(benchmark):
         items = Items(block)
-        shared = texts.sparkSession.sparkContext.broadcast(items)
+        shared = context.broadcast(items)
 
         def count(batches, shared=shared) -> Iterator[list[tuple]]:
             hashed, totals = Words(), np.zeros(len(shared.value.seeds), np.int64)
@@ -185,7 +185,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
         # At most one row per seed of the block.
         for r in by_arrow(texts, count, "seed int, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect():
             items.rarity[r.seed] = math.log1p(rows / r.n) / math.log1p(rows)
-        ready = texts.sparkSession.sparkContext.broadcast(items)
+        yield context.broadcast(items)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """A row per document and item it holds: doc_id, item_id, score, start_char, end_char."""
+    texts = docs.select("doc_id", utf8(F.col("text")).alias("text"))
+    parts = []
+    for ready in _ready(texts, benchmark):
 
         def align(batches, ready=ready) -> Iterator[list[tuple]]:
             hashed = Words()
@@ -202,5 +209,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     return reduce(DataFrame.unionByName, parts)
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose text holds no item."""
+
+    def free_of(ready: Broadcast) -> Column:
+        def free(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            hashed = Words()
+            for batch in texts:
+                found = (next(leaks(ready.value, text, hashed, threshold), None) for text in batch)
+                yield pd.Series([leak is None for leak in found], dtype=bool)
+
+        return F.pandas_udf(free, "boolean")(utf8(F.col("text")))
+
+    out = docs
+    for ready in _ready(docs.select(utf8(F.col("text")).alias("text")), benchmark):
+        out = out.where(free_of(ready))
+    return out
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -198,8 +198,8 @@ def trained(docs: DataFrame, labels: DataFrame, bound: int = BOUND) -> Model | N
     )
 
 
-def with_scores(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with ``score``: the probability of label 1 of every whole text."""
+def score_column(model: Model | None, text: Column) -> Column:
+    """The probability of label 1 of every whole text."""
 
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         features = Features()
@@ -214,14 +214,13 @@ def with_scores(docs: DataFrame, model: Model | None) -> DataFrame:
                 out.append(1 / (1 + np.exp(-np.clip(raw, -30, 30))))
             yield pd.Series(np.concatenate(out) if out else [], dtype=float)
 
-    scored = F.pandas_udf(score, "double")
-    return docs.withColumn("score", scored(utf8(F.col("text"))))
+    return F.pandas_udf(score, "double")(utf8(text))
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = trained(docs, table(spark, sf_dir, "labels"))
-    return with_scores(docs, model).select(
+    return docs.withColumn("score", score_column(model, F.col("text"))).select(
         "doc_id",
         is_held_out(F.col("doc_id")).alias("held_out"),
         "score",

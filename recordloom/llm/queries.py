@@ -7,6 +7,7 @@ from recordloom.llm.decontamination import op8_decontamination
 from recordloom.llm.language import op6_language
 from recordloom.llm.packing import op2_packing
 from recordloom.llm.quality import op4_quality
+from recordloom.llm.repeats import op1_suffix_dedup
 from recordloom.llm.secrets import op10_secret_scan
 from recordloom.llm.simhash import op7_simhash
 from recordloom.llm.syncmers import op5_syncmers
@@ -14,6 +15,7 @@ from recordloom.llm.syncmers import op5_syncmers
 QUERIES = {
     q.__name__: q
     for q in (
+        op1_suffix_dedup,
         op2_packing,
         op4_quality,
         op5_syncmers,

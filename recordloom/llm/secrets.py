@@ -158,10 +158,10 @@ def redacted(docs: DataFrame, shared_owners: int = SHARED_OWNERS) -> DataFrame:
     Overlapping spans are replaced as one, live if one of them is. Other rows stay as they are.
     """
     columns = docs.columns
-    marked = docs.withColumn("secret_hit", _hit(utf8(F.col("text"))))
+    marked = docs.withColumn("__hit", _hit(utf8(F.col("text"))))
     # Only rows with a candidate are stored and joined.
-    held = stored(marked.where("secret_hit").drop("secret_hit").withColumn("uid", F.monotonically_increasing_id()))
-    found = judged(held.select("uid", "text", "source"), shared_owners)
+    held = stored(marked.where("__hit").drop("__hit").withColumn("__uid", F.monotonically_increasing_id()))
+    found = judged(held.select(F.col("__uid").alias("uid"), "text", "source"), shared_owners)
     reach = Window.partitionBy("uid").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     fresh = (F.col("start") >= F.coalesce(F.max("end").over(reach), F.lit(-1))).cast("int")
     so_far = Window.partitionBy("uid").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
@@ -169,12 +169,12 @@ def redacted(docs: DataFrame, shared_owners: int = SHARED_OWNERS) -> DataFrame:
     runs = runs.groupBy("uid", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.max("live").alias("live")
     )
-    runs = runs.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "end", "live"))).alias("secret_runs"))
+    runs = runs.groupBy(F.col("uid").alias("__uid")).agg(F.array_sort(F.collect_list(F.struct("start", "end", "live"))).alias("__runs"))
     mark = lambda r: F.when(r["live"], F.lit("[SECRET]")).otherwise(F.lit("[EXAMPLE]"))
-    starts = F.transform("secret_runs", lambda r: r["start"])
-    stop = F.concat(F.slice(starts, 2, F.size("secret_runs")), F.array(F.length("text").cast("bigint")))
+    starts = F.transform("__runs", lambda r: r["start"])
+    stop = F.concat(F.slice(starts, 2, F.size("__runs")), F.array(F.length("text").cast("bigint")))
     kept = F.transform(
-        F.arrays_zip(F.col("secret_runs").alias("run"), stop.alias("stop")),
+        F.arrays_zip(F.col("__runs").alias("run"), stop.alias("stop")),
         lambda x: F.concat(
             mark(x["run"]),
             F.substring(
@@ -182,12 +182,12 @@ def redacted(docs: DataFrame, shared_owners: int = SHARED_OWNERS) -> DataFrame:
             ),
         ),
     )
-    first = F.substring(F.col("text"), F.lit(1), F.get(F.col("secret_runs"), F.lit(0))["start"].cast("int"))
-    changed = held.join(runs, "uid", "left").withColumn(
+    first = F.substring(F.col("text"), F.lit(1), F.get(F.col("__runs"), F.lit(0))["start"].cast("int"))
+    changed = held.join(runs, "__uid", "left").withColumn(
         "text",
-        F.when(F.col("secret_runs").isNull(), F.col("text")).otherwise(F.concat(first, F.array_join(kept, ""))),
+        F.when(F.col("__runs").isNull(), F.col("text")).otherwise(F.concat(first, F.array_join(kept, ""))),
     )
-    return marked.where(~F.col("secret_hit")).select(*columns).unionByName(changed.select(*columns))
+    return marked.where(~F.col("__hit")).select(*columns).unionByName(changed.select(*columns))
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

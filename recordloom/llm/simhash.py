@@ -11,7 +11,7 @@ links of a spanning forest leave the task, so that a group of copies costs rows
 proportion to its size. Cells past ``CELL`` rows are dealt to several tasks as pairs of
 blocks. Components come from the links by repeated star contraction.
 
-For larger distances (``wide_links``) a fingerprint of many words is joined by grid cells
+For larger distances (``deduplicated``) a fingerprint of many words is joined by grid cells
 of its own: the shingles are dealt to classes by their hashes, and a class's SimHash is one
 group of segments. Texts of a similarity of 0.8 leave many of their classes untouched.
 
@@ -22,6 +22,7 @@ component id only through others. Extra columns are not read. Empty tables give
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from itertools import combinations
 
@@ -30,11 +31,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from recordloom.llm.common import by_arrow, partitions, small_batches, stored, table, utf8
 
 SEED = 42
 CELL = 2048
+WIDE, CLASSES = 12, 10
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 # Six groups of two-bit segments: 12, 10, 10, 12, 10 and 10 bits.
 GROUPS = ((0, 12), (12, 22), (22, 32), (32, 44), (44, 54), (54, 64))
@@ -163,7 +166,8 @@ def linked(rows: DataFrame, near: Callable[[np.ndarray, np.ndarray], np.ndarray]
     words of one row with those of many.
     """
     spark, n = rows.sparkSession, partitions(rows.sparkSession)
-    sizes = rows.groupBy("cell").count().where(F.col("count") > CELL)
+    # Stored, so that the planner sees whether the large cells are few enough to broadcast.
+    sizes = stored(rows.groupBy("cell").count().where(F.col("count") > CELL))
     blocks = F.ceil(F.col("count") / CELL).cast("int")
     dealt = rows.join(sizes.select("cell", blocks.alias("blocks")), "cell", "left")
     mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
@@ -255,9 +259,11 @@ def within(radius: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
     """Verifies at most ``radius`` differing bits; the distance of counts comes first."""
 
     def near(one: np.ndarray, many: np.ndarray) -> np.ndarray:
-        a, b = one[..., 0], many[:, 0]
-        maybe = manhattan(counts(a), counts(b)) <= radius
-        return maybe & (np.bitwise_count(a ^ b) <= radius)
+        one = np.broadcast_to(one, many.shape)
+        out = manhattan(counts(one), counts(many)).sum(axis=1) <= radius
+        maybe = np.flatnonzero(out)
+        out[maybe] = np.bitwise_count(one[maybe] ^ many[maybe]).sum(axis=1, dtype=np.int64) <= radius
+        return out
 
     return near
 
@@ -287,6 +293,94 @@ def near_groups(prints: DataFrame, radius: int = 3) -> DataFrame:
     return prints.join(ids, "fp", "left")
 
 
+def alike(similarity: float) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Verifies by wide fingerprints and set sizes (the last word) that the Jaccard similarity is reached.
+
+    Sets of a and b shingles with that similarity share s / (1 + s) * (a + b) of them, which
+    over the root of a * b is the cosine that the differing bits tell.
+    """
+    bits = 64 * WIDE
+
+    def near(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+        one = np.broadcast_to(one, many.shape)
+        a, b = one[:, -1].astype(float), many[:, -1].astype(float)
+        cosine = similarity / (1 + similarity) * (a + b) / np.sqrt(np.maximum(a * b, 1))
+        radius = bits * np.arccos(np.minimum(cosine, 1)) / math.pi
+        out = np.minimum(a, b) >= similarity * np.maximum(a, b)
+        maybe = np.flatnonzero(out)
+        out[maybe] = manhattan(counts(one[maybe, :-1]), counts(many[maybe, :-1])).sum(axis=1) <= radius[maybe]
+        maybe = np.flatnonzero(out)
+        differing = np.bitwise_count(one[maybe, :-1] ^ many[maybe, :-1]).sum(axis=1, dtype=np.int64)
+        out[maybe] = differing <= radius[maybe]
+        return out
+
+    return near
+
+
+def wide_cells(hashes: np.ndarray, similarity: float) -> np.ndarray:
+    """Grid cells of a set of shingles: the counts of the SimHashes of some classes of it.
+
+    A level deals the set to classes of some four shingles by their hashes. Two levels are
+    used, so that sets whose sizes differ by the similarity at most have one in common.
+    """
+    step = -math.log(similarity)
+    low = math.floor(math.log(max(1.0, len(hashes) / 4)) / step)
+    out = []
+    for level in (low, low + 1):
+        classes = max(1, math.ceil(math.exp(level * step)))
+        dealt = mixed(hashes, 1000 + level) % np.uint64(classes)
+        for k in range(min(classes, CLASSES)):
+            mine = hashes[dealt == k]
+            if len(mine):
+                word = counts(np.array([majority(mine)], np.uint64))
+                out.append(mixed(word, (level + 2) * CLASSES + k)[0])
+    return np.array(out, np.uint64)
+
+
+def wide_prints(docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Other columns of ``docs``, ``print`` (``WIDE`` words of 64 bits and the set's size) and ``cells``."""
+    ids = [c for c in docs.columns if c != "text"]
+
+    def run(batches) -> Iterator[list[tuple]]:
+        for batch in small_batches(batches, 64):
+            out = []
+            for *mine, text in zip(*(batch[c] for c in [*ids, "text"]), strict=True):
+                hashes = np.unique(shingle_hashes(text, words))
+                print_ = np.array([*(majority(mixed(hashes, k)) for k in range(WIDE)), len(hashes)], np.uint64)
+                cells_ = wide_cells(hashes, similarity) if len(hashes) else np.zeros(1, np.uint64)
+                out.append((*mine, print_.tobytes(), cells_.view(np.int64).tolist()))
+            yield out
+
+    schema = ", ".join(f"{c} {t}" for c, t in docs.dtypes if c != "text")
+    return by_arrow(docs.select(*ids, utf8(F.col("text")).alias("text")), run, f"{schema}, print binary, cells array<long>")
+
+
+def deduplicated(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One row of ``docs`` for each group of near copies, the one with the smallest doc_id.
+
+    Near copies share ``similarity`` of their distinct shingles, as their wide fingerprints
+    have it. Of repeated rows one stays. A null doc_id is the largest.
+    """
+    key = [
+        F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("__k1"),
+        F.xxhash64("doc_id", utf8(F.col("text"))).alias("__k2"),
+    ]
+    prints = stored(wide_prints(docs.select(*key, "text"), words, similarity))
+    least = F.min(F.struct("__k1", "__k2")).alias("least")
+    one = stored(prints.groupBy("print").agg(least, F.first("cells").alias("cells")))
+    # Ids only tell prints apart here; which document stays is decided for whole groups.
+    one = one.withColumn("id", F.xxhash64("print"))
+    rows = one.select(F.explode("cells").alias("cell"), "id", "print")
+    found = components(linked(rows, alike(similarity)))
+    groups = one.join(found, "id", "left").groupBy(F.coalesce("component", "id").alias("component"))
+    kept = groups.agg(F.min("least").alias("least")).select("least.__k1", "least.__k2")
+    others = [c for c, t in docs.dtypes if c not in ("doc_id", "text") and "map<" not in t and "variant" not in t]
+    same = Window.partitionBy("__k1", "__k2").orderBy(*others, F.lit(0))
+    chosen = docs.select("*", *key).join(kept, ["__k1", "__k2"])
+    chosen = chosen.withColumn("__nth", F.row_number().over(same)).where("__nth = 1")
+    return chosen.select(*docs.columns)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = stored(fingerprints(table(spark, sf_dir, "documents"), 3))
     return near_groups(prints, 3).select(
