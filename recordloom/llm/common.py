@@ -73,13 +73,15 @@ def with_range(df: DataFrame, column: str, n: int, name: str = "range") -> DataF
 
     The bounds are quantiles, so the ranges hold about as many rows each; equal values share one.
     """
-    cuts = df.approxQuantile(column, [i / n for i in range(1, n)], 1 / (8 * n)) if n > 1 else []
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    cuts = sorted(set(df.approxQuantile(column, [i / n for i in range(1, n)], 1 / (8 * n)))) if n > 1 else []
     value = f"{name}_value"
-    bucketed = Bucketizer(splits=splits, inputCol=value, outputCol=name, handleInvalid="keep").transform(
-        df.withColumn(value, F.col(column).cast("double"))
-    )
-    return bucketed.drop(value).withColumn(name, F.col(name).cast("int"))
+    valued = df.withColumn(value, F.col(column).cast("double"))
+    if cuts:
+        splits = [float("-inf"), *cuts, float("inf")]
+        valued = Bucketizer(splits=splits, inputCol=value, outputCol=name, handleInvalid="keep").transform(valued)
+    else:
+        valued = valued.withColumn(name, F.when(F.col(value).isNotNull(), 0))
+    return valued.drop(value).withColumn(name, F.coalesce(F.col(name), F.lit(len(cuts) + 1)).cast("int"))
 
 
 def utf8(column: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from recordloom.llm.binary_ids import op9_binary_ids
 from recordloom.llm.decontamination import op8_decontamination
 from recordloom.llm.language import op6_language
+from recordloom.llm.licenses import op3_license_scan
 from recordloom.llm.packing import op2_packing
 from recordloom.llm.quality import op4_quality
 from recordloom.llm.repeats import op1_suffix_dedup
@@ -17,6 +18,7 @@ QUERIES = {
     for q in (
         op1_suffix_dedup,
         op2_packing,
+        op3_license_scan,
         op4_quality,
         op5_syncmers,
         op6_language,
