@@ -8,6 +8,7 @@ from recordloom.catalog.registry import query
 from recordloom.catalog.tables import entity, plain, table
 from recordloom.functions import text as X
 from recordloom.operators import mapping as M
+from recordloom.operators import skew
 from recordloom.operators.records import build_records, union_records, with_metadata
 from recordloom.operators.resolving import containing_texts, resolve_names
 
@@ -39,14 +40,19 @@ _LINKS = """bom AS (SELECT DISTINCT o_custkey, l_partkey FROM orders JOIN lineit
   bought AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)"""
 
 
-@query(
-    """SELECT l_partkey, count(DISTINCT l_suppkey) AS n_suppliers,
-         array_to_string(list_sort(list(DISTINCT l_suppkey)), ',') AS suppliers FROM lineitem GROUP BY l_partkey"""
-)
+def vendor_sets_sql(max_items: int = skew.MAX_ITEMS) -> str:
+    return f"""WITH {_LINKS}, sized AS (SELECT *, count(*) OVER (PARTITION BY l_partkey) AS n FROM bought),
+         dealt AS (SELECT *, {skew.chunk_sql("l_suppkey", "n", max_items)} AS chunk FROM sized)
+       SELECT l_partkey, chunk, count(*) AS n_suppliers, array_to_string(list_sort(list(l_suppkey)), ',') AS suppliers
+       FROM dealt GROUP BY l_partkey, chunk"""
+
+
+@query(vendor_sets_sql())
 def vendor_sets(spark, sf):
     sets = M.supplier_sets(purchases(spark, sf), "l_partkey", "l_suppkey")
     return sets.select(
         "l_partkey",
+        "chunk",
         F.size("suppliers").cast("bigint").alias("n_suppliers"),
         F.concat_ws(",", F.col("suppliers").cast("array<string>")).alias("suppliers"),
     )
@@ -89,42 +95,51 @@ def material_names(spark, sf):
     return M.part_names(listed, notes, "l_partkey", "note", "p_name")
 
 
-@query(
-    """SELECT l_partkey, array_to_string(list_sort(list(DISTINCT coalesce(s_name, CAST(l_suppkey AS VARCHAR)))), ', ') AS vendors
-       FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey GROUP BY l_partkey"""
-)
+def vendor_name_lists_sql(max_items: int = skew.MAX_ITEMS) -> str:
+    return f"""WITH {_LINKS}, sized AS (SELECT *, count(*) OVER (PARTITION BY l_partkey) AS n FROM bought),
+         dealt AS (SELECT *, {skew.chunk_sql("l_suppkey", "n", max_items)} AS chunk FROM sized)
+       SELECT l_partkey, chunk,
+         array_to_string(list_sort(list(coalesce(s_name, CAST(l_suppkey AS VARCHAR)))), ', ') AS vendors
+       FROM dealt LEFT JOIN supplier ON s_suppkey = l_suppkey GROUP BY l_partkey, chunk"""
+
+
+@query(vendor_name_lists_sql())
 def vendor_name_lists(spark, sf):
     pairs = M.links(purchases(spark, sf), "l_partkey", "l_suppkey")
     named = M.with_name(pairs, supplier_names(spark, sf), "l_suppkey", "s_name", "vendor_name")
-    vendor = F.struct("vendor_name")
-    from recordloom.operators.skew import nested_lists
-
-    lists = nested_lists(named, ["l_partkey"], vendor, "vendors", sized_by=pairs)
-    return lists.select("l_partkey", M.vendor_name_list(F.col("vendors")).alias("vendors"))
+    lists = skew.nested_lists(named, ["l_partkey"], F.struct("vendor_name"), "vendors", F.col("l_suppkey"))
+    return lists.select("l_partkey", "chunk", M.vendor_name_list(F.col("vendors")).alias("vendors"))
 
 
-_NESTED = f"""WITH {_LINKS}, vendors AS (
-    SELECT l_partkey, list(struct_pack(vendor_id := l_suppkey, vendor_name := coalesce(s_name, CAST(l_suppkey AS VARCHAR)))
+def nested_sql(max_items: int = skew.MAX_ITEMS) -> str:
+    """Common table expressions up to ``nested``: the materials of each owner and chunk."""
+    return f"""WITH {_LINKS},
+  sold AS (SELECT *, count(*) OVER (PARTITION BY l_partkey) AS n FROM bought),
+  vendors AS (
+    SELECT l_partkey, {skew.chunk_sql("l_suppkey", "n", max_items)} AS vendor_chunk,
+           list(struct_pack(vendor_id := l_suppkey, vendor_name := coalesce(s_name, CAST(l_suppkey AS VARCHAR)))
            ORDER BY l_suppkey) AS vendors
-    FROM bought LEFT JOIN supplier ON s_suppkey = l_suppkey GROUP BY l_partkey),
+    FROM sold LEFT JOIN supplier ON s_suppkey = l_suppkey GROUP BY l_partkey, vendor_chunk),
   entries AS (
-    SELECT o_custkey, coalesce(p_name, CAST(b.l_partkey AS VARCHAR)) AS material, b.l_partkey AS material_id, vendors
+    SELECT o_custkey, coalesce(p_name, CAST(b.l_partkey AS VARCHAR)) AS material, b.l_partkey AS material_id,
+           vendor_chunk, vendors, count(*) OVER (PARTITION BY o_custkey) AS n
     FROM bom b LEFT JOIN part ON p_partkey = b.l_partkey LEFT JOIN vendors v ON v.l_partkey = b.l_partkey),
+  dealt AS (SELECT *, {skew.chunk_sql("material_id", "n", max_items)} AS chunk FROM entries),
+  lists AS (
+    SELECT o_custkey, chunk, list(struct_pack(material := material, material_id := material_id, vendors := vendors)
+           ORDER BY material, material_id, vendor_chunk) AS materials,
+           count(DISTINCT material_id) AS n_materials, sum(len(vendors)) AS n_links FROM dealt GROUP BY o_custkey, chunk),
+  slots AS (
+    SELECT c_custkey, c_name, unnest(range(greatest(1, CAST(ceil(coalesce(n, 0) / {float(max_items)}) AS BIGINT)))) AS chunk
+    FROM customer LEFT JOIN (SELECT DISTINCT o_custkey, n FROM entries) ON o_custkey = c_custkey),
   nested AS (
-    SELECT o_custkey, list(struct_pack(material := material, material_id := material_id, vendors := vendors)
-           ORDER BY material, material_id) AS materials,
-           count(*) AS n_materials, sum(len(vendors)) AS n_links FROM entries GROUP BY o_custkey)"""
+    SELECT c_custkey AS o_custkey, c_name, s.chunk, materials, coalesce(n_materials, 0) AS n_materials,
+           CAST(coalesce(n_links, 0) AS BIGINT) AS n_vendor_links
+    FROM slots s LEFT JOIN lists l ON l.o_custkey = c_custkey AND l.chunk = s.chunk)"""
 
 
-@query(
-    _NESTED
-    + """ SELECT c_custkey AS o_custkey, c_name, coalesce(n_materials, 0) AS n_materials,
-         CAST(coalesce(n_links, 0) AS BIGINT) AS n_vendor_links,
-         md5(coalesce(CAST(to_json(materials) AS VARCHAR), '[]')) AS materials_md5
-       FROM customer LEFT JOIN nested ON o_custkey = c_custkey"""
-)
-def entity_mapping(spark, sf):
-    nested = M.nested_mapping(
+def mapping_of(spark, sf):
+    return M.nested_mapping(
         owners(spark, sf),
         bom(spark, sf),
         purchases(spark, sf),
@@ -136,16 +151,44 @@ def entity_mapping(spark, sf):
         "l_suppkey",
         "s_name",
     )
+
+
+def counted(nested):
+    """Distinct materials, vendor links and the text of each row of the nested mapping."""
     links = F.aggregate("materials", F.lit(0), lambda total, m: total + F.size(m["vendors"]))
     return nested.select(
         "o_custkey",
         "c_name",
-        F.size("materials").cast("bigint").alias("n_materials"),
+        "chunk",
+        F.size(F.array_distinct(F.transform("materials", lambda m: m["material_id"]))).cast("bigint").alias("n_materials"),
         links.cast("bigint").alias("n_vendor_links"),
         F.md5(F.to_json("materials")).alias("materials_md5"),
     )
 
 
+def entity_mapping_sql(max_items: int = skew.MAX_ITEMS) -> str:
+    return (
+        nested_sql(max_items)
+        + """ SELECT o_custkey, c_name, chunk, n_materials, n_vendor_links,
+         md5(coalesce(CAST(to_json(materials) AS VARCHAR), '[]')) AS materials_md5 FROM nested"""
+    )
+
+
+@query(entity_mapping_sql())
+def entity_mapping(spark, sf):
+    return counted(mapping_of(spark, sf))
+
+
+@query(
+    f"""WITH {_LINKS} SELECT c_custkey AS o_custkey, b.l_partkey, l_suppkey
+        FROM customer LEFT JOIN bom b ON c_custkey = o_custkey LEFT JOIN bought s ON s.l_partkey = b.l_partkey"""
+)
+def entity_chain(spark, sf):
+    """The whole chain as flat links, which the nested mapping is a view of."""
+    bill = M.bill_of_parts(owners(spark, sf), bom(spark, sf), "o_custkey", "l_partkey")
+    return M.chain(bill, purchases(spark, sf), "o_custkey", "l_partkey", "l_suppkey")
+
+
 @query(
     f"""WITH {_LINKS}, held AS (SELECT * FROM customer LEFT JOIN bom ON c_custkey = o_custkey),
          sold AS (SELECT l_partkey, count(*) AS n FROM bought GROUP BY 1)
@@ -173,12 +216,8 @@ def vendor_distribution(spark, sf):
         GROUP BY 1"""
 )
 def mapped_owners(spark, sf):
-    from recordloom.operators.skew import nested_lists
-
     held = M.links(bom(spark, sf), "o_custkey", "l_partkey")
-    lists = nested_lists(held, ["o_custkey"], F.col("l_partkey"), "materials")
-    everyone = owners(spark, sf).join(lists, "o_custkey", "left")
-    return M.with_materials(everyone).select("o_custkey", F.size("materials").cast("bigint").alias("materials"))
+    return M.mapped_owners(owners(spark, sf), held, "o_custkey", "l_partkey")
 
 
 # ------------------------------------------------------------------- names to records

@@ -296,25 +296,13 @@ def vector_table_roundtrip(spark, sf):
     return V.vector_statistics(V.read_vectors(spark, folder))
 
 
-@query(
-    """WITH bom AS (SELECT DISTINCT o_custkey, l_partkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey)
-       SELECT c_custkey AS owner, c_name AS equipment, count(l_partkey) AS materials
-       FROM customer LEFT JOIN bom ON o_custkey = c_custkey GROUP BY 1, 2"""
-)
+@query(chains.entity_mapping_sql())
 def mapping_json_roundtrip(spark, sf):
-    """The nested mapping written as JSON and read back; parts of one order stand in for a part's suppliers."""
-    people = chains.owners(spark, sf)
-    held = M.links(chains.bom(spark, sf), "o_custkey", "l_partkey")
-    from recordloom.operators.skew import nested_lists
-
-    lists = nested_lists(held, ["o_custkey"], F.struct(F.col("l_partkey").alias("material_id")), "materials")
-    nested = people.join(lists.drop("chunk"), "o_custkey", "left").select(
-        F.col("c_name").alias("equipment"), F.col("o_custkey").alias("owner"), "materials"
-    )
-    folder = _once(spark, sf, "mapping", lambda f: E.write_json(nested, f))
-    schema = "equipment string, owner bigint, materials array<struct<material_id:bigint>>"
-    back = spark.read.schema(schema).json(folder)
-    return back.select("owner", "equipment", F.coalesce(F.size("materials"), F.lit(0)).cast("bigint").alias("materials"))
+    """The nested mapping with its vendors, written as JSON and read back."""
+    nested = chains.mapping_of(spark, sf)
+    folder = fresh_folder(spark, "mapping")
+    E.write_json(nested, folder)
+    return chains.counted(spark.read.schema(nested.schema).json(folder))
 
 
 # ------------------------------------------------------------------------- whole runs

@@ -96,7 +96,7 @@ def with_ordinal(records: DataFrame, result: str = "ordinal") -> DataFrame:
     earlier = W.orderBy("source_file").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select("source_file", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
     return (
-        lookup_join(records, starts, ["source_file"], "inner", spread=["row_number"])
+        lookup_join(records, starts, ["source_file"], "inner")
         .withColumn(result, F.col("_start") + F.col("row_number") - 1)
         .drop("_start")
     )

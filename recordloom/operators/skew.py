@@ -1,4 +1,4 @@
-"""Joins and nested lists that hold when one key owns a large share of the rows."""
+"""Nested lists that hold when one key owns a large share of the rows."""
 
 from __future__ import annotations
 
@@ -7,66 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordloom.session import measured, written
+# Items of one list; longer lists are cut into chunks.
+MAX_ITEMS = 10_000
 
-# At most this many keys are salted; any further key holds under 0.1 % of all rows.
-MAX_HOT_KEYS = 1000
-# A lookup is broadcast up to this size on disk (several times that in memory).
-BROADCAST_BYTES = 32 * 1024 * 1024
-# Keys of oversized lists, a key and a number each, are broadcast up to this many.
-BROADCAST_KEYS = 1_000_000
 
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Many-to-one join of ``facts`` with a ``lookup``.
 
-def hot_keys(facts: DataFrame, on: Sequence[str], rows_per_task: int) -> DataFrame:
-    """The keys with more than ``rows_per_task`` rows and how many ways to split each.
-
-    Counting combines on the map side, and only the ``MAX_HOT_KEYS`` largest are
-    kept, so the result is small enough to broadcast whatever the input size.
+    The facts are on the left, where adaptive execution splits the rows of a hot key;
+    it also sends a lookup whole where the lookup turns out to be small.
     """
-    return (
-        facts.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_key_rows"))
-        .filter(F.col("_key_rows") > rows_per_task)
-        .orderBy(F.desc("_key_rows"))
-        .limit(MAX_HOT_KEYS)
-        .select(*on, F.ceil(F.col("_key_rows") / rows_per_task).cast("int").alias("_ways"))
-    )
+    return facts.join(lookup, list(on), how)
 
 
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    rows_per_task: int = 5_000_000,
-    spread: Sequence[str] | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """Many-to-one join of large ``facts`` with a ``lookup`` that may be small or large.
+def item_chunk(item: Column, chunks: Column) -> Column:
+    """Which of ``chunks`` lists an item lies in, by the MD5 of its text: ``chunk_sql`` says the same in SQL."""
+    digits = F.substring(F.md5(item.cast("string")), 1, 8)
+    return F.pmod(F.conv(digits, 16, 10).cast("bigint"), chunks)
 
-    The lookup is stored first, which also keeps it from being computed twice, and
-    measured. Up to ``broadcast_bytes`` on disk it is broadcast and the facts are
-    not exchanged at all. Past that the rows of a hot key are dealt over several
-    salts and only the lookup rows of hot keys are repeated, once per salt.
-    ``spread`` names the columns whose hash picks the salt, all by default.
-    """
-    on = list(on)
-    stored, size = measured(lookup, "lookup")
-    if size <= broadcast_bytes:
-        return facts.join(F.broadcast(stored), on, how)
-    hot = F.broadcast(hot_keys(facts, on, rows_per_task))
-    columns = list(spread) if spread else [c for c, t in facts.dtypes if not t.startswith("map")]
-    salted = (
-        facts.join(hot, on, "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(*columns), F.coalesce("_ways", F.lit(1))).cast("int"))
-        .drop("_ways")
-    )
-    repeated = (
-        stored.join(hot, on, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_ways", F.lit(1)) - 1)))
-        .drop("_ways")
+
+def chunk_sql(item: str, size: str, max_items: int) -> str:
+    return (
+        f"CAST(('0x' || substr(md5(CAST({item} AS VARCHAR)), 1, 8)) AS BIGINT) "
+        f"% greatest(1, CAST(ceil({size} / {float(max_items)}) AS BIGINT))"
     )
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
 def nested_lists(
@@ -74,56 +38,45 @@ def nested_lists(
     keys: Sequence[str],
     item: Column,
     result: str,
-    max_items: int = 10_000,
-    salts: int = 64,
-    sized_by: DataFrame | None = None,
+    dealt_by: Column,
+    max_items: int | None = None,
     everyone: DataFrame | None = None,
     only_listed: bool = True,
 ) -> DataFrame:
     """One sorted list of ``item`` per key, cut into chunks where a key has more than ``max_items``.
 
-    Ordinary keys give a single row with ``chunk`` 0. A longer list is dealt by
-    item hash over ``ceil(size / max_items)`` rows, so no task and no row ever
-    holds an unbounded group, and all items stay in the result. ``sized_by`` may
-    give a cheaper table with the same number of rows per key to count from.
+    Ordinary keys give a single row with ``chunk`` 0. A longer list is dealt by the hash
+    of ``dealt_by`` over ``ceil(size / max_items)`` rows of about that length, so no task
+    and no row holds an unbounded group, and all items stay in the result. ``chunk`` is
+    part of the result's key: whoever wants totals per key counts the flat rows.
 
     ``everyone``, unique by key, adds its other columns to the result and an empty
     list for keys without items, all in the same exchange; keys it does not list
-    are dropped if ``only_listed``.
+    are dropped if ``only_listed``. An item-less key has ``chunk`` 0, and so has each
+    listed key whose chunk 0 happens to be empty.
     """
-    keys = list(keys)
-    items = rows.select(*keys, item.alias("_item"))
-    oversized = written(
-        (items if sized_by is None else sized_by)
-        .groupBy(*keys)
+    keys, most = list(keys), max_items or MAX_ITEMS
+    oversized = (
+        rows.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_size"))
-        .filter(F.col("_size") > max_items)
-        .select(*keys, F.ceil(F.col("_size") / max_items).alias("_chunks")),
-        "oversized",
+        .filter(F.col("_size") > most)
+        .select(*keys, F.ceil(F.col("_size") / most).alias("_chunks"))
+    )
+    items = lookup_join(rows, oversized, keys).select(
+        *keys,
+        item_chunk(dealt_by, F.coalesce("_chunks", F.lit(1)).cast("bigint")).alias("chunk"),
+        item.alias("_item"),
     )
-    found = oversized.count()
-    spread = F.xxhash64("_item")
-    chunk = F.pmod(F.shiftright(spread, 8), F.coalesce("_chunks", F.lit(1)))
-    small = found <= BROADCAST_KEYS
-    if not found:
-        dealt = items.withColumn("chunk", F.lit(0).cast("bigint"))
-    elif small:
-        dealt = items.join(F.broadcast(oversized), keys, "left").withColumn("chunk", chunk).drop("_chunks")
-    else:
-        repeated = oversized.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        salted = items.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
-        dealt = salted.join(repeated, [*keys, "_salt"], "left").withColumn("chunk", chunk).drop("_chunks", "_salt")
     gathered = F.array_sort(F.collect_list("_item")).alias(result)
     if everyone is None:
-        return dealt.groupBy(*keys, "chunk").agg(gathered)
+        return items.groupBy(*keys, "chunk").agg(gathered)
     # Listed keys join the exchange as rows without an item, one for each of their chunks.
     extra = [c for c in everyone.columns if c not in keys]
-    listed = everyone.join(F.broadcast(oversized) if small else oversized, keys, "left")
-    last = F.coalesce("_chunks", F.lit(1)) - 1
-    listed = listed.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last.cast("bigint"))))
+    last = F.coalesce("_chunks", F.lit(1)).cast("bigint") - 1
+    listed = lookup_join(everyone, oversized, keys).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     marked = listed.drop("_chunks").withColumn("_listed", F.lit(True))
     grouped = (
-        dealt.unionByName(marked, allowMissingColumns=True)
+        items.unionByName(marked, allowMissingColumns=True)
         .groupBy(*keys, "chunk")
         .agg(gathered, *[F.max(c).alias(c) for c in extra], F.max("_listed").alias("_listed"))
     )

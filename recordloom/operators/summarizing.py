@@ -66,7 +66,7 @@ def progress(outcomes: DataFrame) -> DataFrame:
     batches = written(batches, "batches")
     running = running_total(batches, "batch_processed", "batch_id", ["source_file"], "processed_so_far")
     totals = batches.groupBy("source_file").agg(F.sum("batch_rows").alias("total_rows"))
-    return lookup_join(running, totals, ["source_file"], "inner", spread=["batch_id"]).withColumn(
+    return lookup_join(running, totals, ["source_file"], "inner").withColumn(
         "percent", P.percent(F.col("processed_so_far"), F.col("total_rows"))
     )
 
