@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from recordloom.catalog.registry import query
-from recordloom.catalog.tables import COLUMNS, sql_statement, sql_structured
+from recordloom.catalog.tables import COLUMNS, plain, sql_statement, sql_structured
 from recordloom.operators.records import build_records
 from recordloom.session import fresh_folder
 from recordloom.streaming.incremental import ingest, ingested
@@ -47,3 +47,66 @@ def incremental_split(spark, sf):
     output = _ingest(spark, sf)
     parts = [ingested(spark, output, kind).groupBy("status").agg(F.count(F.lit(1)).alias("records")) for kind in ("ok", "failed")]
     return parts[0].unionByName(parts[1])
+
+
+@query(
+    """WITH rows AS (
+         SELECT 'customer.csv' AS source_file, row_number() OVER (ORDER BY c_custkey) AS row_number, c_custkey AS number,
+           CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS note FROM customer
+         UNION ALL SELECT 'conversations.csv', row_number() OVER (ORDER BY conv_id, turn), conv_id, text FROM conversations
+         UNION ALL SELECT 'more.csv', row_number() OVER (ORDER BY s_suppkey), s_suppkey, s_name FROM supplier)
+       SELECT *, CASE WHEN source_file = 'more.csv' THEN 1 ELSE 0 END AS run FROM rows
+       UNION ALL SELECT 'broken.csv', 0, 0, NULL, 0"""
+)
+def incremental_csv(spark, sf):
+    """Files of several entities, one without a header, taken in by two runs, the second of which adds one file."""
+    base = fresh_folder(spark, "inbox")
+    rows = {
+        "customer": plain(spark, sf, "customer").select(
+            F.col("c_custkey").alias("number"),
+            F.when(F.col("c_mktsegment") == "BUILDING", "N/A").otherwise(F.col("c_mktsegment")).alias("note"),
+        ),
+        "conversations": plain(spark, sf, "conversations").select(F.col("conv_id").alias("number"), F.col("text").alias("note")),
+        "more": plain(spark, sf, "supplier").select(F.col("s_suppkey").alias("number"), F.col("s_name").alias("note")),
+    }
+    runs = (["customer", "conversations"], ["more"])
+    for number, names in enumerate(runs):
+        for name in names:
+            # One file each, named like its entity.
+            staged = f"{base}/staged/{name}"
+            rows[name].coalesce(1).write.options(header=True, escape='"', quote='"').csv(staged)
+            place_file(spark, staged, f"{base}/inbox/{name}.csv")
+        if not number:
+            place_file(spark, None, f"{base}/inbox/broken.csv")
+        ingest(
+            spark,
+            f"{base}/inbox",
+            None,
+            lambda table, run=number: table.withColumn("status", F.lit("ok")).withColumn("run", F.lit(run)),
+            f"{base}/out",
+            f"{base}/progress",
+        )
+    done = ingested(spark, f"{base}/out").select("source_file", "row_number", F.col("number").cast("bigint"), "note", "run")
+    lost = ingested(spark, f"{base}/out", "unreadable").select(
+        "source_file",
+        F.lit(0).cast("bigint").alias("row_number"),
+        F.lit(0).cast("bigint").alias("number"),
+        F.lit(None).cast("string").alias("note"),
+        F.lit(0).alias("run"),
+    )
+    return done.unionByName(lost)
+
+
+def place_file(spark, written: str | None, path: str) -> None:
+    """The one part file of a folder, or a file of one empty line, under a name of its own."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target.getParent())
+    if written is None:
+        out = files.create(target)
+        out.write(10)
+        out.close()
+    else:
+        parts = [f.getPath() for f in files.listStatus(hadoop.Path(written)) if f.getPath().getName().startswith("part-")]
+        files.rename(parts[0], target)

@@ -267,7 +267,7 @@ def batch_completeness(spark, sf):
 
 # --------------------------------------------------------------- whole-folder summaries
 
-_RUN_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "events", "labels"]
+_RUN_TABLES = list(ORDER_KEYS)
 _RUN_BATCH = 20
 
 

@@ -26,21 +26,16 @@ from recordloom.sinks import envelopes as E
 from recordloom.sinks import vectors as V
 from recordloom.sources import delimited as D
 
-_WRITTEN: dict[tuple[str, str, str], str] = {}
-
 
 def _csv(rows, path: str) -> None:
     rows.write.options(header=True, escape='"', quote='"').csv(path)
 
 
-def _once(spark, sf: str, purpose: str, write) -> str:
-    """A folder filled by ``write(folder)`` once per session and input."""
-    key = (spark.sparkContext.applicationId, sf, purpose)
-    if key not in _WRITTEN:
-        folder = fresh_folder(spark, purpose)
-        write(folder)
-        _WRITTEN[key] = folder
-    return _WRITTEN[key]
+def _filled(spark, purpose: str, write) -> str:
+    """A new folder filled by ``write(folder)``."""
+    folder = fresh_folder(spark, purpose)
+    write(folder)
+    return folder
 
 
 def _dated(rows):
@@ -57,7 +52,7 @@ def csv_folder(spark, sf) -> str:
             cells = _dated(entity(spark, sf, kind)).drop("source_file", "source_type", "row_number")
             _csv(cells, f"{folder}/{kind}.csv")
 
-    return _once(spark, sf, "entities", write)
+    return _filled(spark, "entities", write)
 
 
 def patchy_csv(spark, sf) -> str:
@@ -77,7 +72,7 @@ def patchy_csv(spark, sf) -> str:
             f"{folder}/patchy.csv",
         )
 
-    return _once(spark, sf, "patchy", write)
+    return _filled(spark, "patchy", write)
 
 
 _DATED = {"Work_Orders": {"o_orderdate": "strftime(o_orderdate, '%Y-%m-%d')"}}
@@ -164,7 +159,7 @@ def skip_processed(spark, sf):
         tables, _ = D.read_whitelist(spark, folder, ["Vendors.csv", "Functional_Locations.csv"], typed=True)
         E.write_envelopes(E.envelopes(processing.process_tables(tables).outcomes, 10), done)
 
-    done = E.read_processed(spark, _once(spark, sf, "earlier", write))
+    done = E.read_processed(spark, _filled(spark, "earlier", write))
     manifest = done.select(F.concat("source_type", F.lit(".csv")).alias("source_file"))
     files = D.list_files(spark, folder).select(F.col("file_name").alias("source_file")).distinct()
     waiting = [r["source_file"] for r in unprocessed_files(files, manifest).collect()]
@@ -203,7 +198,7 @@ def _envelope_folder(spark, sf) -> str:
         records = entity_records(spark, sf).drop("semantic_statement", "combined_text")
         E.write_envelopes(E.envelopes(describe(records, refuse, 20, "split"), 20), folder)
 
-    return _once(spark, sf, "envelopes", write)
+    return _filled(spark, "envelopes", write)
 
 
 _BAD = "source_type = 'Work_Orders' AND json_extract_string(json_data, 'Cost')::DOUBLE > 495000"
@@ -225,22 +220,27 @@ def envelope_roundtrip(spark, sf):
 
 
 @query(
-    f"""WITH {_table_records_sql()}, parts AS (
-         SELECT source_type, CAST(floor((row_number - 1) / 10000.0) AS BIGINT) AS part, count(*) FILTER (WHERE NOT ({_BAD})) AS ok,
-           count(*) FILTER (WHERE {_BAD}) AS lost FROM entities GROUP BY 1, 2)
+    f"""WITH {_table_records_sql()}, files AS (
+         SELECT source_type, count(*) FILTER (WHERE NOT ({_BAD})) AS ok, count(*) FILTER (WHERE {_BAD}) AS lost FROM entities GROUP BY 1)
        SELECT source_type, ok AS total_records, lost AS failed_records, round(ok / (ok + lost) * 100, 6) AS success_rate,
-         20 AS batch_size, ok AS listed_records, lost AS listed_failures FROM parts"""
+         20 AS batch_size, ok AS listed_records, lost AS listed_failures, true AS stamped FROM files"""
 )
 def envelope_metadata(spark, sf):
+    """One row per source, however many parts its envelopes have."""
     loaded = spark.read.schema(E.ENVELOPE + ",processed string").json(_envelope_folder(spark, sf))
-    return loaded.select(
-        F.regexp_replace("processed", "_processed.json$", "").alias("source_type"),
-        "metadata.total_records",
-        "metadata.failed_records",
-        F.round("metadata.success_rate", 6).alias("success_rate"),
-        "metadata.batch_size",
-        F.size("records").cast("bigint").alias("listed_records"),
-        F.size("failed_rows").cast("bigint").alias("listed_failures"),
+    return (
+        loaded.groupBy("processed", "metadata")
+        .agg(F.sum(F.size("records")).alias("listed_records"), F.sum(F.size("failed_rows")).alias("listed_failures"))
+        .select(
+            F.regexp_replace("processed", "_processed.json$", "").alias("source_type"),
+            "metadata.total_records",
+            "metadata.failed_records",
+            F.round("metadata.success_rate", 6).alias("success_rate"),
+            "metadata.batch_size",
+            "listed_records",
+            "listed_failures",
+            (F.col("metadata.timestamp").isNotNull() & (F.col("metadata.total_retries") >= 0)).alias("stamped"),
+        )
     )
 
 
@@ -249,7 +249,7 @@ def envelope_metadata(spark, sf):
         FROM entities GROUP BY 1"""
 )
 def separate_output(spark, sf):
-    folder = _once(spark, sf, "separate", lambda f: E.write_per_source(entity_records(spark, sf), f))
+    folder = _filled(spark, "separate", lambda f: E.write_per_source(entity_records(spark, sf), f))
     rows = spark.read.parquet(folder)
     return rows.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("records"), F.sum("row_number").alias("row_sum")
@@ -258,30 +258,32 @@ def separate_output(spark, sf):
 
 @query(f"WITH {_table_records_sql()} SELECT count(DISTINCT source_file) AS total_files, count(*) AS total_records FROM entities")
 def consolidated_output(spark, sf):
-    folder = _once(spark, sf, "consolidated", lambda f: E.write_consolidated(entity_records(spark, sf), f))
+    folder = _filled(spark, "consolidated", lambda f: E.write_consolidated(entity_records(spark, sf), f))
     return E.consolidated_metadata(spark.read.parquet(folder))
 
 
 @query(
-    """WITH files AS (SELECT 'customer' AS t, count(*) AS n FROM customer UNION ALL SELECT 'nation', count(*) FROM nation
-         UNION ALL SELECT 'part', count(*) FROM part UNION ALL SELECT 'supplier', count(*) FROM supplier
-         UNION ALL SELECT 'orders', count(*) FROM orders)
-       SELECT count(*) AS total_files, count(*) AS successful_files, CAST(0 AS BIGINT) AS failed_files,
-         CAST(sum(n) AS BIGINT) AS total_rows, CAST(sum(ceil(n / 20.0)) AS BIGINT) AS total_calls, count(*) AS listed FROM files"""
+    """WITH files AS (SELECT 'Equipment.csv' AS k, count(*) AS n FROM customer
+         UNION ALL SELECT 'Functional_Locations.csv', count(*) FROM nation UNION ALL SELECT 'Materials.csv', count(*) FROM part
+         UNION ALL SELECT 'Vendors.csv', count(*) FROM supplier UNION ALL SELECT 'Work_Orders.csv', count(*) FROM orders)
+       SELECT '(all)' AS source_file, CAST(sum(n) AS BIGINT) AS total_rows, CAST(sum(n) AS BIGINT) AS processed_rows,
+         CAST(sum(ceil(n / 20.0)) AS BIGINT) AS calls, count(*) AS files FROM files
+       UNION ALL SELECT k, n, n, CAST(ceil(n / 20.0) AS BIGINT), 1 FROM files"""
 )
 def folder_summary(spark, sf):
+    """The written summary read back: its statistics, and the results of every file."""
     run = processing.process_tables({k: entity(spark, sf, k) for k in ENTITIES}, 20)
-    folder = _once(
-        spark, sf, "summary", lambda f: E.write_json(E.folder_summary(run.file_results, run.totals), f)
-    )
-    return spark.read.json(folder).select(
-        "statistics.total_files",
-        "statistics.successful_files",
-        "statistics.failed_files",
-        "statistics.total_rows",
-        "statistics.total_calls",
-        F.size("files").cast("bigint").alias("listed"),
+    folder = _filled(spark, "summary", lambda f: E.write_summary(run.file_results, run.totals, f))
+    totals = spark.read.json(f"{folder}/statistics").select(
+        F.lit("(all)").alias("source_file"),
+        "total_rows",
+        "processed_rows",
+        F.col("total_calls").alias("calls"),
+        F.col("total_files").alias("files"),
     )
+    files = spark.read.json(f"{folder}/files")
+    each = files.select("source_file", "total_rows", "processed_rows", "calls", F.lit(1).cast("bigint").alias("files"))
+    return totals.unionByName(each)
 
 
 @query(
@@ -292,7 +294,7 @@ def vector_table_roundtrip(spark, sf):
     from recordloom.catalog.retrieval import corpus
 
     vectors = corpus(spark, sf).withColumn("type", F.concat(F.lit("label "), "label"))
-    folder = _once(spark, sf, "vectors", lambda f: V.write_vectors(vectors, f))
+    folder = _filled(spark, "vectors", lambda f: V.write_vectors(vectors, f))
     return V.vector_statistics(V.read_vectors(spark, folder))
 
 
@@ -335,20 +337,48 @@ def process_folder(spark, sf):
     return run.totals.withColumn("rows_per_call", F.round("rows_per_call", 6))
 
 
+# Bytes of a file of the folder: its header and, for each row, its cells and separators.
+_SIZED_SQL = "sized AS (" + " UNION ALL ".join(
+    f"SELECT '{k}.csv' AS source_file, count(*) AS n, (sum("
+    + " + ".join(f"coalesce(strlen(CAST({h} AS VARCHAR)), 0) + 1" for h in ENTITIES[k][1].values())
+    + f") + {len(','.join(ENTITIES[k][1].values())) + 1}) / 1048576.0 AS mb FROM ({_entity_sql(k)})"
+    for k in ENTITIES
+) + """), modes AS (SELECT *, CASE WHEN n <= 10 OR mb < 0.5 THEN 'simple' ELSE 'optimized' END AS mode FROM sized),
+  batches AS (SELECT *, CASE WHEN mode = 'optimized' AND n > 100 THEN least(20, CAST(floor(n / 10) AS INTEGER)) ELSE 10 END
+    AS batch_size FROM modes)"""
+
+
 @query(
-    f"""WITH {_RUN_SQL} SELECT source_file, n AS total_rows, n AS processed_rows, true AS success FROM files"""
+    f"""WITH {_SIZED_SQL} SELECT source_file, n AS total_rows, n AS processed_rows,
+         CAST(ceil(n / CASE WHEN mode = 'simple' THEN 1.0 ELSE batch_size END) AS BIGINT) AS calls, true AS success FROM batches"""
 )
 def process_auto(spark, sf):
     run = processing.process_auto(spark, csv_folder(spark, sf))
-    return run.file_results.select("source_file", "total_rows", "processed_rows", "success")
+    return run.file_results.select("source_file", "total_rows", "processed_rows", "calls", "success")
 
 
-@query()
+@query(f"WITH {_SIZED_SQL} SELECT source_file, n AS rows, mode, batch_size FROM batches")
 def file_modes(spark, sf):
     folder = csv_folder(spark, sf)
     counts = union_records([t.select("source_file") for t in D.read_folder(spark, folder, typed=False).values()])
     rows = counts.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
-    return processing.file_modes(spark, folder, "*.csv", rows)
+    return processing.file_modes(spark, folder, "*.csv", rows).select("source_file", "rows", "mode", "batch_size")
+
+
+@query(
+    f"""WITH {_RUN_SQL} SELECT source_file, n AS total_rows, CAST(0 AS BIGINT) AS failed_rows, true AS success, false AS explained FROM files
+        UNION ALL SELECT 'Broken.csv', 0, 0, false, true"""
+)
+def folder_with_bad_file(spark, sf):
+    """A file without a header is a failed file of the run; the others are processed."""
+    from recordloom.catalog.ingestion import place_file
+
+    folder = csv_folder(spark, sf)
+    place_file(spark, None, f"{folder}/Broken.csv")
+    results = processing.process_folder(spark, folder).file_results
+    return results.select(
+        "source_file", "total_rows", "failed_rows", "success", F.col("error_message").isNotNull().alias("explained")
+    )
 
 
 def _analysis_sql() -> str:
@@ -388,7 +418,7 @@ def quoted_line_breaks(spark, sf):
     def write(folder):
         _csv(plain(spark, sf, "conversations"), f"{folder}/conversations.csv")
 
-    folder = _once(spark, sf, "turns", write)
+    folder = _filled(spark, "turns", write)
     rows = D.read_untyped(spark, f"{folder}/conversations.csv")
     return rows.select(
         "row_number", F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), "role", "text"

@@ -24,7 +24,12 @@ COLUMNS = {
     "labels": ["doc_id", "quality", "toxic"],
     "conversations": ["conv_id", "turn", "role", "text"],
 }
-ORDER_KEYS = {t: c[0] for t, c in COLUMNS.items()} | {"conversations": "conv_id, turn"}
+ORDER_KEYS = {t: c[0] for t, c in COLUMNS.items()} | {
+    "conversations": "conv_id, turn",
+    # Lines lie in no order that SQL could number them by, and vectors have no one text.
+    "lineitem": "l_orderkey, l_linenumber",
+    "embeddings": "vec_id",
+}
 
 # --- fixed values: entity type → (table, header of each column) ---
 ENTITIES = {

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,10 +20,13 @@ def is_valid_statement(statement: Column) -> Column:
     return (statement != "") & ~statement.startswith("Error")
 
 
-def file_results(outcomes: DataFrame) -> DataFrame:
-    """Per file: rows, processed, failed, calls, success and the last error."""
+def file_results(outcomes: DataFrame, unreadable: Mapping[str, str] | None = None) -> DataFrame:
+    """Per file: rows, processed, failed, calls, success and the last error.
+
+    Files of ``unreadable`` (name → message) are failed ones without rows.
+    """
     processed = F.col("status").isin(PROCESSED)
-    return outcomes.groupBy("source_file").agg(
+    results = outcomes.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(processed).alias("processed_rows"),
         F.count_if(F.col("status") == "failed").alias("failed_rows"),
@@ -33,6 +38,12 @@ def file_results(outcomes: DataFrame) -> DataFrame:
             "success": F.col("failed_rows") == 0,
         }
     )
+    if not unreadable:
+        return results
+    schema = "source_file string, total_rows bigint, processed_rows bigint, failed_rows bigint, calls bigint, error_message string"
+    lost = outcomes.sparkSession.createDataFrame([(f, 0, 0, 0, 0, m) for f, m in unreadable.items()], schema)
+    lost = lost.withColumns({"success_rate": F.lit(0.0), "success": F.lit(False)})
+    return results.unionByName(lost)
 
 
 def folder_totals(results: DataFrame) -> DataFrame:

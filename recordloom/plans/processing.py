@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordloom.functions import planning as P
 from recordloom.operators import profiling, summarizing
 from recordloom.operators.describing import Describer, describe
 from recordloom.operators.numbering import batch_id
 from recordloom.operators.records import build_records, rename_headers, union_records
-from recordloom.sources.delimited import list_files, read_folder, read_typed
+from recordloom.sources.delimited import folder_files, list_files, read_folder, read_typed
 
 
 @dataclass(frozen=True)
@@ -21,10 +22,12 @@ class Run:
     """The lazy results of a run: one row per input row, and its summaries."""
 
     outcomes: DataFrame
+    # Files that could not be read, and why.
+    unreadable: Mapping[str, str] = field(default_factory=dict)
 
     @property
     def file_results(self) -> DataFrame:
-        return summarizing.file_results(self.outcomes)
+        return summarizing.file_results(self.outcomes, self.unreadable)
 
     @property
     def totals(self) -> DataFrame:
@@ -69,22 +72,32 @@ def process_tables(
     batch_size: int | Mapping[str, int] = 10,
     describer: Describer | None = None,
     on_error: str = "split",
+    unreadable: Mapping[str, str] | None = None,
 ) -> Run:
     """Several entity tables as one run."""
     size = lambda name: batch_size if isinstance(batch_size, int) else batch_size[name]
     parts = [process_table(t, size(n), describer, on_error) for n, t in tables.items()]
-    return Run(union_records(parts))
+    return Run(union_records(parts), dict(unreadable or {}))
 
 
 def process_file(spark: SparkSession, path: str, **options) -> Run:
     return Run(process_table(read_typed(spark, path), **options))
 
 
-def process_folder(spark: SparkSession, folder: str, pattern: str = "*.csv", **options) -> Run:
-    tables = read_folder(spark, folder, pattern)
+def process_folder(
+    spark: SparkSession,
+    folder: str,
+    pattern: str = "*.csv",
+    schemas: Mapping[str, T.StructType] | None = None,
+    multi_line: bool | None = None,
+    **options,
+) -> Run:
+    """All files of a folder; one that cannot be read is a failed file of the run, not its end."""
+    unreadable: dict[str, str] = {}
+    tables = read_folder(spark, folder, pattern, True, schemas, multi_line, unreadable)
     if not tables:
-        raise FileNotFoundError(f"no {pattern} in {folder}")
-    return process_tables(tables, **options)
+        raise FileNotFoundError(f"no readable {pattern} in {folder} {unreadable or ''}")
+    return process_tables(tables, unreadable=unreadable, **options)
 
 
 def planned_sizes(tables: Mapping[str, DataFrame]) -> dict[str, int]:
@@ -117,15 +130,18 @@ def process_auto(
     spark: SparkSession, folder: str, pattern: str = "*.csv", describer: Describer | None = None, on_error: str = "split"
 ) -> Run:
     """Process a folder with the mode and batch size chosen per file; simple mode is a batch of one."""
-    tables = read_folder(spark, folder, pattern)
+    unreadable: dict[str, str] = {}
+    tables = read_folder(spark, folder, pattern, errors=unreadable)
     if not tables:
-        raise FileNotFoundError(f"no {pattern} in {folder}")
-    counts = profiling.profiles(tables).select(F.concat("source_type", F.lit(".csv")).alias("source_file"), "rows")
+        raise FileNotFoundError(f"no readable {pattern} in {folder} {unreadable or ''}")
+    names = {key: name for key, (name, _) in folder_files(list_files(spark, folder, pattern)).items()}
+    counts = spark.createDataFrame([(key, names[key]) for key in tables], "source_type string, source_file string")
+    counts = profiling.profiles(tables).join(counts, "source_type").select("source_file", "rows")
     chosen = {r["source_file"]: r for r in file_modes(spark, folder, pattern, counts).collect()}
     sizes = {
-        n: 1 if chosen[f"{n}.csv"]["mode"] == "simple" else chosen[f"{n}.csv"]["batch_size"] for n in tables
+        key: 1 if chosen[names[key]]["mode"] == "simple" else chosen[names[key]]["batch_size"] for key in tables
     }
-    return process_tables(tables, sizes, describer, on_error)
+    return process_tables(tables, sizes, describer, on_error, unreadable)
 
 
 def analyze(tables: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:

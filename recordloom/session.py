@@ -6,33 +6,31 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
-_LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    A local master may run without the setting; it then gets one temporary folder
-    for the application. A cluster must name the folder, because a
-    machine-local path would be lost with its executor.
+    Only a session whose tasks run in this one process may leave the setting unset. A cluster
+    must name the folder, because a machine-local path would be lost with its executor.
     """
     folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or "cluster" in master:
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-    application = spark.sparkContext.applicationId
-    if application not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="recordloom-")
-    return _LOCAL_FOLDERS[application]
+    return f"{tempfile.gettempdir()}/recordloom"
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
-    """A new, unused path under the shared folder."""
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A new, unused path under the shared folder, removed when the session ends."""
+    folder = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 def written(df, purpose: str):
@@ -40,19 +38,6 @@ def written(df, purpose: str):
 
     Unlike cached blocks the files outlive the executors that wrote them.
     """
-    return _stored(df, purpose)[0]
-
-
-def _stored(df, purpose: str):
-    spark = df.sparkSession
-    path = fresh_folder(spark, purpose)
+    path = fresh_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
-def measured(df, purpose: str):
-    """The stored ``df`` and the bytes it takes on disk, for choosing how to join it."""
-    stored, path = _stored(df, purpose)
-    listing = df.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    size = listing.agg(F.sum("length").alias("bytes")).first()["bytes"]
-    return stored, size or 0
+    return df.sparkSession.read.schema(df.schema).parquet(path)

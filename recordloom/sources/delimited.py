@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections import Counter
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,10 +39,28 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Data
     return listing.select("path", logical_file_of(F.col("path")).alias("file_name"), "length")
 
 
-def spans_lines(spark: SparkSession, paths: Sequence[str]) -> bool:
-    """Whether some quoted field may contain a line break (a line with an odd number of quotes)."""
+# --- fixed value: a line of the format in which every quoted field is closed ---
+_FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",][^,]*+|)'
+CLOSED_LINE = rf"^{_FIELD}(?:,{_FIELD})*+$"
+
+
+def spanning_files(spark: SparkSession, paths: Sequence[str]) -> set[str]:
+    """The files in which some quoted field holds a line break.
+
+    Such a field is open at the end of its first line. A quote inside an unquoted
+    field opens nothing.
+    """
+    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("path"))
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return not spark.read.text(list(paths)).filter(quotes % 2 == 1).isEmpty()
+    open_lines = lines.filter((quotes % 2 == 1) & ~F.col("value").rlike(CLOSED_LINE))
+    return {r["path"] for r in open_lines.select("path").distinct().collect()}
+
+
+def _table_path(path: str) -> str:
+    """What a file is part of: itself, or the folder ``<name>.csv`` it lies in."""
+    plain = unquote(re.sub("^file:/*", "/", path)).rstrip("/")
+    parent = plain.rsplit("/", 1)[0]
+    return parent if parent.endswith(".csv") else plain
 
 
 def read_untyped(
@@ -47,13 +69,24 @@ def read_untyped(
     """All cells as text, with file lineage and the 1-based row number per file.
 
     ``multi_line=None`` looks for line breaks inside quotes first: files without
-    them, the usual case, are split freely between tasks.
+    them, the usual case, are split freely between tasks; only the others are read
+    one file per task.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if multi_line is None:
-        multi_line = spans_lines(spark, paths)
+        spanning = {_table_path(p) for p in spanning_files(spark, paths)}
+        whole = [p for p in paths if _table_path(p) in spanning]
+        split = [p for p in paths if _table_path(p) not in spanning]
+        parts = [_read(spark, some, way, numbered) for some, way in ((split, False), (whole, True)) if some]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return _read(spark, paths, multi_line, numbered)
+
+
+def _read(spark: SparkSession, paths: list[str], multi_line: bool, numbered: bool) -> DataFrame:
     scan = spark.read.options(header=True, escape='"', multiLine=multi_line).csv(paths)
     cells = scan.columns
+    if not cells:
+        raise ValueError(f"no header in {paths[0]}")
     positioned = with_scan_position(scan).withColumn("source_file", logical_file_of(F.col("_path")))
     if numbered:
         # Every split belongs to one task, and tasks are packed from whole splits.
@@ -126,13 +159,23 @@ def read_typed(
     )
 
 
-def read_folder(spark: SparkSession, folder: str, pattern: str = "*.csv", typed: bool = True) -> dict[str, DataFrame]:
+def read_folder(
+    spark: SparkSession,
+    folder: str,
+    pattern: str = "*.csv",
+    typed: bool = True,
+    schemas: Mapping[str, T.StructType] | None = None,
+    multi_line: bool | None = None,
+    errors: dict[str, str] | None = None,
+) -> dict[str, DataFrame]:
     """One DataFrame per file of the folder, keyed by entity type (the file stem), in name order.
 
-    Entities differ in schema, so each is its own scan; the driver only sees the
-    file list.
+    Files of one stem and different endings are keyed by their whole names. Entities
+    differ in schema, so each is its own scan; the driver only sees the file list.
+    ``schemas`` by stem and ``multi_line`` spare lookups over large files. A file that
+    cannot be read ends the call, or is listed in ``errors`` (name → message) if given.
     """
-    return _read_each(spark, list_files(spark, folder, pattern), typed)
+    return read_files(spark, folder_files(list_files(spark, folder, pattern)), typed, schemas, multi_line, errors)
 
 
 def read_whitelist(
@@ -140,20 +183,50 @@ def read_whitelist(
 ) -> tuple[dict[str, DataFrame], list[str]]:
     """Only the named files of a folder, and the names that are missing there."""
     listing = list_files(spark, folder, "*").filter(F.col("file_name").isin(list(wanted)))
-    tables = _read_each(spark, listing, typed)
-    stems = {w.rsplit(".", 1)[0]: w for w in wanted}
-    return tables, [w for s, w in stems.items() if s not in tables]
+    files = folder_files(listing)
+    found = {name for name, _ in files.values()}
+    return read_files(spark, files, typed), [w for w in wanted if w not in found]
 
 
-def _read_each(spark: SparkSession, listing: DataFrame, typed: bool) -> dict[str, DataFrame]:
-    reader = read_typed if typed else read_untyped
+def folder_files(listing: DataFrame) -> dict[str, tuple[str, list[str]]]:
+    """Key → (file name, paths of its parts), in name order."""
     paths: dict[str, list[str]] = {}
     for name, path in sorted((r["file_name"], r["path"]) for r in listing.select("file_name", "path").collect()):
-        paths.setdefault(name.rsplit(".", 1)[0], []).append(path)
+        paths.setdefault(name, []).append(path)
+    stems = Counter(name.rsplit(".", 1)[0] for name in paths)
+    return {
+        stem if stems[stem] == 1 else name: (name, found)
+        for name, found in paths.items()
+        for stem in [name.rsplit(".", 1)[0]]
+    }
+
+
+def read_files(
+    spark: SparkSession,
+    files: dict[str, tuple[str, list[str]]],
+    typed: bool,
+    schemas: Mapping[str, T.StructType] | None = None,
+    multi_line: bool | None = None,
+    errors: dict[str, str] | None = None,
+) -> dict[str, DataFrame]:
+    """A table for each of ``folder_files``; see ``read_folder``."""
+
+    def read(key: str) -> DataFrame | None:
+        name, paths = files[key]
+        try:
+            if typed:
+                return read_typed(spark, paths, (schemas or {}).get(key), multi_line)
+            return read_untyped(spark, paths, multi_line)
+        except Exception as error:  # noqa: BLE001 - whatever is wrong with this file, the others go on
+            if errors is None:
+                raise
+            errors[name] = f"{type(error).__name__}: {error}".split("\n", 1)[0][:500]
+            return None
+
     # Header and type lookups are small jobs of their own per entity; run them side by side.
     with ThreadPoolExecutor(max_workers=8) as pool:
-        tables = pool.map(lambda found: reader(spark, found), paths.values())
-        return dict(zip(paths, tables))
+        tables = dict(zip(files, pool.map(read, files)))
+    return {key: table for key, table in tables.items() if table is not None}
 
 
 def preview(table: DataFrame, rows: int = 5) -> DataFrame:

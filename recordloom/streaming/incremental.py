@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordloom.functions.records import file_name_of, source_type_of
-from recordloom.operators.numbering import numbered_by_split
+from recordloom.sources.delimited import folder_files, read_files
 
 Build = Callable[[DataFrame], DataFrame]
 
@@ -17,45 +18,37 @@ Build = Callable[[DataFrame], DataFrame]
 def ingest(
     spark: SparkSession,
     folder: str,
-    schema: T.StructType,
+    schema: T.StructType | Mapping[str, T.StructType] | None,
     build: Build,
     output: str,
     checkpoint: str,
     file_format: str = "csv",
     pattern: str = "*.csv",
     max_files_per_trigger: int = 1000,
+    multi_line: bool | None = None,
 ) -> None:
     """Process the files that arrived since the last call, then stop.
 
-    ``build`` maps a micro-batch (cells, ``source_file``, ``source_type``,
+    ``build`` maps a table of new rows (cells, ``source_file``, ``source_type``,
     ``row_number``) to rows with a ``status`` column. Rows go to ``<output>/ok`` and
     ``<output>/failed`` under their micro-batch number, which is overwritten when a
     batch is replayed, so a restart neither loses nor doubles a row.
-    """
-    reader = spark.readStream.format(file_format).schema(schema).option("pathGlobFilter", pattern)
-    reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if file_format == "csv":
-        reader = reader.options(header=True, escape='"')
-    stream = reader.load(folder)
-    parquet = file_format == "parquet"
-    index = F.col("_metadata.row_index") if parquet else F.lit(None).cast("long")
-    located = stream.select(
-        "*",
-        F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        index.alias("_index"),
-    )
 
-    def write(batch: DataFrame, number: int) -> None:
-        if parquet:
-            numbered = batch.withColumn("row_number", F.col("_index") + 1).drop("_block", "_index")
-        else:
-            positioned = batch.drop("_index").withColumn("_position", F.monotonically_increasing_id())
-            numbered = numbered_by_split(positioned, max_splits=batch.rdd.getNumPartitions() + max_files_per_trigger)
-        name = file_name_of(F.col("_path"))
-        rows = build(
-            numbered.withColumn("source_file", name).withColumn("source_type", source_type_of(name)).drop("_path")
+    Delimited files are only found by the stream and read by the reader of batch runs,
+    so types, missing-value tokens and line breaks inside quotes come out alike.
+    ``schema`` may then be one schema per entity (file stem) or None; ``build`` sees one
+    entity at a time. Files that cannot be read go to ``<output>/unreadable``.
+    """
+    stream = spark.readStream.option("pathGlobFilter", pattern).option("maxFilesPerTrigger", max_files_per_trigger)
+    if file_format == "parquet":
+        found = stream.format("parquet").schema(schema).load(folder).select(
+            "*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_index")
         )
+    else:
+        listing = "path string, modificationTime timestamp, length bigint, content binary"
+        found = stream.format("binaryFile").schema(listing).load(folder).select("path")
+
+    def write(rows: DataFrame, number: int) -> None:
         rows.persist()
         try:
             for kind, wanted in (("ok", F.col("status") != "failed"), ("failed", F.col("status") == "failed")):
@@ -63,8 +56,26 @@ def ingest(
         finally:
             rows.unpersist()
 
+    def write_parquet(batch: DataFrame, number: int) -> None:
+        name = file_name_of(F.col("_path"))
+        numbered = batch.withColumn("row_number", F.col("_index") + 1).withColumn("source_file", name)
+        write(build(numbered.withColumn("source_type", source_type_of(name)).drop("_path", "_index")), number)
+
+    def write_delimited(batch: DataFrame, number: int) -> None:
+        # At most max_files_per_trigger paths.
+        files = folder_files(batch.select("path", file_name_of(F.col("path")).alias("file_name")))
+        schemas = schema if isinstance(schema, Mapping) else {key: schema for key in files}
+        errors: dict[str, str] = {}
+        tables = read_files(spark, files, True, schemas, multi_line, errors)
+        if errors:
+            lost = spark.createDataFrame(sorted(errors.items()), "source_file string, error_message string")
+            lost.write.mode("overwrite").parquet(f"{output}/unreadable/batch={number}")
+        if tables:
+            built = [build(table.drop("source_dir")) for table in tables.values()]
+            write(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), built), number)
+
     query = (
-        located.writeStream.foreachBatch(write)
+        found.writeStream.foreachBatch(write_parquet if file_format == "parquet" else write_delimited)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

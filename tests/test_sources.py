@@ -108,8 +108,14 @@ def test_folder_run_and_envelopes(spark, folder, tmp_path):
     a = {(r["source_type"], r["row_number"], r["combined_text"]) for r in back.collect()}
     b = {(r["source_type"], r["row_number"], r["combined_text"]) for r in run.outcomes.collect()}
     assert a == b
-    summary = E.folder_summary(run.file_results, run.totals).first()
-    assert summary["statistics"]["total_files"] == 2 and len(summary["files"]) == 2
+    metadata = spark.read.schema(E.ENVELOPE + ",processed string").json(out).select("processed", "metadata").distinct()
+    assert {(r["processed"], r["metadata"]["total_records"]) for r in metadata.collect()} == {
+        ("Places_processed.json", 12),
+        ("Pumps_processed.json", 3),
+    }
+    E.write_summary(run.file_results, run.totals, str(tmp_path / "summary"))
+    assert spark.read.json(str(tmp_path / "summary" / "statistics")).first()["total_files"] == 2
+    assert spark.read.json(str(tmp_path / "summary" / "files")).count() == 2
 
 
 def test_reading_indented_single_file_envelopes(spark, tmp_path):
@@ -169,3 +175,40 @@ def test_latest_output_folder(spark, tmp_path):
         (tmp_path / name).mkdir()
         (tmp_path / name / "A_processed.json").write_text("{}")
     assert E.latest_output(spark, str(tmp_path)) == f"{tmp_path}/OUTPUT_20250301_000000"
+
+
+def test_quotes_inside_plain_fields_do_not_span_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('k,v\n1,4" pipe\n2,"6"" pipe"\n3,x\n')
+    (tmp_path / "b.csv").write_text('k,v\n1,"two\nlines"\n2,y\n')
+    paths = [str(tmp_path / n) for n in ("a.csv", "b.csv")]
+    assert [p.rsplit("/", 1)[-1] for p in D.spanning_files(spark, paths)] == ["b.csv"]
+    got = {(r["source_file"], r["row_number"]): r["v"] for r in D.read_untyped(spark, paths).collect()}
+    assert got == {
+        ("a.csv", 1): '4" pipe',
+        ("a.csv", 2): '6" pipe',
+        ("a.csv", 3): "x",
+        ("b.csv", 1): "two\nlines",
+        ("b.csv", 2): "y",
+    }
+
+
+def test_other_endings_and_bad_files(spark, folder):
+    (folder / "Pumps.txt").write_text("k,v\n1,a\n2,b\n")
+    (folder / "Broken.csv").write_text("\n")
+    run = processing.process_auto(spark, str(folder), "*.txt")
+    assert {(r["source_file"], r["calls"]) for r in run.file_results.collect()} == {("Pumps.txt", 2)}
+    results = {r["source_file"]: r for r in processing.process_folder(spark, str(folder), "*").file_results.collect()}
+    assert set(results) == {"Pumps.csv", "Pumps.txt", "Places.csv", "Broken.csv"}
+    assert not results["Broken.csv"]["success"] and "header" in results["Broken.csv"]["error_message"]
+    assert results["Pumps.csv"]["success"] and results["Pumps.txt"]["total_rows"] == 2
+
+
+def test_ingested_files_read_like_batch_ones(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    (inbox / "A.csv").write_text('k,v\n1,"two\nlines"\n2,N/A\n3,z\n')
+    ingest(spark, str(inbox), None, lambda t: t.withColumn("status", F.lit("ok")), str(tmp_path / "out"), str(tmp_path / "state"))
+    columns = ["k", "v", "source_file", "row_number"]
+    got = sorted(map(tuple, ingested(spark, str(tmp_path / "out")).select(columns).collect()))
+    assert got == sorted(map(tuple, D.read_typed(spark, str(inbox / "A.csv")).select(columns).collect()))
+    assert got == [(1, "two\nlines", "A.csv", 1), (2, None, "A.csv", 2), (3, "z", "A.csv", 3)]
