@@ -125,7 +125,7 @@ def nested_sql(max_items: int = skew.MAX_ITEMS) -> str:
            vendor_chunk, vendors, count(*) OVER (PARTITION BY o_custkey) AS n
     FROM bom b LEFT JOIN part ON p_partkey = b.l_partkey LEFT JOIN vendors v ON v.l_partkey = b.l_partkey),
   dealt AS (SELECT *, {skew.chunk_sql("material_id", "n", max_items)} AS chunk FROM entries),
-  lists AS (
+  owner_lists AS (
     SELECT o_custkey, chunk, list(struct_pack(material := material, material_id := material_id, vendors := vendors)
            ORDER BY material, material_id, vendor_chunk) AS materials,
            count(DISTINCT material_id) AS n_materials, sum(len(vendors)) AS n_links FROM dealt GROUP BY o_custkey, chunk),
@@ -135,7 +135,7 @@ def nested_sql(max_items: int = skew.MAX_ITEMS) -> str:
   nested AS (
     SELECT c_custkey AS o_custkey, c_name, s.chunk, materials, coalesce(n_materials, 0) AS n_materials,
            CAST(coalesce(n_links, 0) AS BIGINT) AS n_vendor_links
-    FROM slots s LEFT JOIN lists l ON l.o_custkey = c_custkey AND l.chunk = s.chunk)"""
+    FROM slots s LEFT JOIN owner_lists l ON l.o_custkey = c_custkey AND l.chunk = s.chunk)"""
 
 
 def mapping_of(spark, sf):
@@ -153,12 +153,11 @@ def mapping_of(spark, sf):
     )
 
 
-def counted(nested):
+def counted(nested, *names):
     """Distinct materials, vendor links and the text of each row of the nested mapping."""
     links = F.aggregate("materials", F.lit(0), lambda total, m: total + F.size(m["vendors"]))
     return nested.select(
-        "o_custkey",
-        "c_name",
+        *(names or ("o_custkey", "c_name")),
         "chunk",
         F.size(F.array_distinct(F.transform("materials", lambda m: m["material_id"]))).cast("bigint").alias("n_materials"),
         links.cast("bigint").alias("n_vendor_links"),

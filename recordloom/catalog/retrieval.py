@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from recordloom.catalog import chains
 from recordloom.catalog.registry import query
-from recordloom.catalog.tables import entity_records, plain, sql_entities, table
+from recordloom.catalog.tables import entity, entity_records, plain, sql_entities, table
 from recordloom.constants import ENTITY_PHRASINGS
 from recordloom.functions import scoring as C
 from recordloom.operators import searching as S
 from recordloom.operators.embedding import embedded, hashing_encoder
-from recordloom.operators.records import with_ordinal
+from recordloom.operators.records import build_records, with_ordinal
+from recordloom.plans import entity_map
 from recordloom.plans.search_index import build_index as build_search_index
 from recordloom.plans.search_index import entity_search, search
+from recordloom.session import fresh_folder
+from recordloom.sinks.vectors import read_vectors, write_vectors
 
 HALF = 32
 K = 10
@@ -354,3 +358,46 @@ def vector_ordinals(spark, sf):
     rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("rec_id"), "label", "source_file", "row_number")
     return with_ordinal(rows).select("rec_id", "label", "ordinal")
 
+
+
+_ODD_NAMES = "SELECT DISTINCT 'the Equipment_Name of ' || c_mktsegment AS name FROM customer UNION SELECT DISTINCT p_type FROM part"
+_ASKED_NAMES = f"SELECT name AS query_id, name AS text, 0.3::DOUBLE AS alpha FROM ({_ODD_NAMES})"
+
+
+@query(
+    f"""{chains.nested_sql()}, {_search_sql(_ASKED_NAMES, 5)},
+  best AS (SELECT query_id AS name, arg_min(id, rank) AS id FROM hits JOIN indexed USING (rec_id) WHERE type = 'Equipment' GROUP BY 1),
+  resolved AS (
+    SELECT c_name AS name, CAST(c_custkey AS VARCHAR) AS id, 'exact' AS how FROM customer
+    UNION ALL SELECT lower(c_name), CAST(c_custkey AS VARCHAR), 'contained' FROM customer
+    UNION ALL SELECT name, coalesce(id, name), CASE WHEN id IS NULL THEN 'unresolved' ELSE 'searched' END
+    FROM ({_ODD_NAMES}) LEFT JOIN best USING (name))
+  SELECT name AS equipment, id AS equipment_id, how, coalesce(chunk, 0) AS chunk, coalesce(n_materials, 0) AS n_materials,
+    coalesce(n_vendor_links, 0) AS n_vendor_links, md5(coalesce(CAST(to_json(materials) AS VARCHAR), '[]')) AS materials_md5
+  FROM resolved LEFT JOIN nested ON CAST(o_custkey AS VARCHAR) = id""".replace("WITH entities AS", "entities AS")
+)
+def map_equipment(spark, sf):
+    """Listed names that match, differ in case, are only found by search or by nothing, with their chains."""
+    people = plain(spark, sf, "customer")
+    odd = people.select(F.concat(F.lit("the Equipment_Name of "), "c_mktsegment").alias("n")).union(
+        plain(spark, sf, "part").select("p_type")
+    )
+    names = people.select("c_name").union(people.select(F.lower("c_name"))).union(odd.distinct())
+    folder = fresh_folder(spark, "index")
+    write_vectors(entity_index(spark, sf), folder)
+    records = build_records(entity(spark, sf, "Equipment"))
+    owner = F.col("o_custkey").cast("string").alias("Equipment_ID")
+    nested = entity_map.map_equipment(
+        names.toDF("Equipment_Name"),
+        people.select(F.col("c_custkey").cast("string").alias("Equipment_ID"), F.col("c_name").alias("Equipment_Name")),
+        records.select(
+            F.element_at("json_data", "Equipment_ID").alias("Equipment_ID"), F.col("combined_text").alias("text"), "row_number"
+        ),
+        chains.bom(spark, sf).select(owner, F.col("l_partkey").alias("Material_ID"), F.lit(None).cast("string").alias("Notes")),
+        chains.purchases(spark, sf).toDF("Material_ID", "Vendor_ID"),
+        chains.part_names(spark, sf).toDF("Material_ID", "Material_Name"),
+        chains.supplier_names(spark, sf).toDF("Vendor_ID", "Vendor_Name"),
+        read_vectors(spark, folder),
+        ENCODERS,
+    )
+    return chains.counted(nested, "equipment", "equipment_id", "how")
