@@ -275,16 +275,31 @@ _DISPLAY_SQL = f"""WITH {sql_entities()} SELECT source_type, row_number,
          CASE source_type
            WHEN 'Equipment' THEN 'Name: ' || json_extract_string(json_data, 'Equipment_Name')
              || ' | Manufacturer: N/A | Model: N/A | Power: ' || json_extract_string(json_data, 'Nameplate_Power_kW') || ' kW'
+             || ' | Location: ' || json_extract_string(json_data, 'FL_ID')
            WHEN 'Functional_Locations' THEN 'Name: ' || json_extract_string(json_data, 'FL_Name')
-             || ' | Site: ' || json_extract_string(json_data, 'Site_Area')
-           ELSE '' END AS shown FROM entities"""
+             || ' | Site: ' || json_extract_string(json_data, 'Site_Area') || ' | Parent: N/A'
+           ELSE '' END AS shown FROM entities
+       UNION ALL SELECT 'Equipment_Material', o_orderkey, 'Equipment: ' || o_custkey || ' | Material: ' || o_orderstatus
+         || ' | Quantity: N/A | Notes: ' || o_orderpriority FROM orders"""
 
 
 @query(_DISPLAY_SQL)
 def display_fields(spark, sf):
     from recordloom.functions.display import display_text
 
-    rows = entity_records(spark, sf)
+    orders = plain(spark, sf, "orders")
+    links = F.create_map(
+        F.lit("Equipment_ID"),
+        F.col("o_custkey").cast("string"),
+        F.lit("Material_ID"),
+        F.col("o_orderstatus"),
+        F.lit("Notes"),
+        F.col("o_orderpriority"),
+    )
+    linked = orders.select(
+        F.lit("Equipment_Material").alias("source_type"), F.col("o_orderkey").alias("row_number"), links.alias("json_data")
+    )
+    rows = entity_records(spark, sf).select("source_type", "row_number", "json_data").unionByName(linked)
     return rows.select(
         "source_type", "row_number", display_text(F.col("source_type"), F.col("json_data")).alias("shown")
     )

@@ -15,12 +15,14 @@ DISPLAYED = {
         ("Manufacturer", "Manufacturer", False, ""),
         ("Model", "Model", False, ""),
         ("Power", "Nameplate_Power_kW", True, " kW"),
+        ("Location", "FL_ID", True, ""),
     ],
-    "Functional_Locations": [("Name", "FL_Name", False, ""), ("Site", "Site_Area", False, "")],
+    "Functional_Locations": [("Name", "FL_Name", False, ""), ("Site", "Site_Area", False, ""), ("Parent", "Parent_FL_ID", False, "")],
     "Equipment_Material": [
         ("Equipment", "Equipment_ID", False, ""),
         ("Material", "Material_ID", False, ""),
         ("Quantity", "Qty", False, ""),
+        ("Notes", "Notes", False, ""),
     ],
 }
 

@@ -11,6 +11,7 @@ from recordloom.operators import profiling as G
 from recordloom.operators import searching as S
 from recordloom.operators import summarizing as Z
 from recordloom.operators.embedding import embedded, hashing_encoder
+from recordloom.operators.records import build_records
 from recordloom.operators.resolving import containing_texts, resolve_names
 from recordloom.operators.skew import nested_lists
 from recordloom.plans.entity_map import map_equipment
@@ -307,6 +308,37 @@ def test_names_that_share_a_record_keep_their_rows(spark, chain):
     }
 
 
+def test_search_finds_names_and_fills_gaps(spark, chain):
+    bom, po = chain
+    headers = {"E": ["Equipment_ID", "Equipment_Name"], "M": ["Material_ID", "Material_Name"], "V": ["Vendor_ID", "Vendor_Name"]}
+    rows = [
+        ("E.csv", "Equipment", 1, ("E1", "red pump near tower")),
+        ("M.csv", "Materials", 1, ("M2", "Sleeve")),
+        ("V.csv", "Vendors", 1, ("V2", "Two and Sons")),
+    ]
+    tables = [
+        build_records(spark.createDataFrame([(*cells, f, t, n)], [*headers[f[0]], "source_file", "source_type", "row_number"]))
+        for f, t, n, cells in rows
+    ]
+    encoders = (hashing_encoder(64), hashing_encoder(64))
+    index = build_index(tables[0].unionByName(tables[1], True).unionByName(tables[2], True), *encoders)
+    got = map_equipment(
+        spark.createDataFrame([("tower pump red",), ("zzz",)], "Equipment_Name string"),
+        spark.createDataFrame([("E1", "red pump near tower")], "Equipment_ID string, Equipment_Name string"),
+        spark.createDataFrame([("E1", "red pump near tower", 1)], "Equipment_ID string, text string, row_number int"),
+        bom,
+        po,
+        spark.createDataFrame([("M1", "Mechanical seal")], "Material_ID string, Material_Name string"),
+        spark.createDataFrame([("V1", "One")], "Vendor_ID string, Vendor_Name string"),
+        index,
+        encoders,
+    )
+    found = {r["equipment"]: r for r in got.collect()}
+    assert (found["tower pump red"]["equipment_id"], found["tower pump red"]["how"]) == ("E1", "searched")
+    shown = [(m["material"], [v["vendor_name"] for v in m["vendors"]]) for m in found["tower pump red"]["materials"]]
+    assert shown == [("Seal", ["One", "Two and Sons"]), ("Sleeve", [])]
+
+
 def test_mapping_counts_without_expanding(spark, chain):
     bom, po = chain
     owners = spark.createDataFrame([("E1",), ("E2",), ("E3",)], "Equipment_ID string")
