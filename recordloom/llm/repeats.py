@@ -16,7 +16,8 @@ same place. The windows of one anchor are neighbours and make up one *stretch* o
    Equal stretches are neighbours in the merged order: all their windows are repeated.
 4. Stretches with the same anchor that aren't equal are neighbours, too. They lie where a
    repeat begins or ends; their windows are compared by their hashes. For an anchor past
-   ``HOT`` places, whose stretches are spread over several ranges, that is a join.
+   ``HOT`` places, whose stretches are spread over several ranges, each range settles its
+   own and a join over its different windows does the rest.
 
 Texts are UTF-8 bytes, null texts are empty; matches don't cross rows. Repeated rows repeat
 one another, so that nothing is left of rows of ``span`` bytes or more. Rows with a null
@@ -271,10 +272,28 @@ def repeated_of(stretches: list[tuple], span: int) -> Iterator[tuple]:
                 yield where[0], where[1], where[2] + first, where[2] + stop - 1 + span
 
 
+def open_windows(stretches: list[tuple], span: int) -> Iterator[tuple]:
+    """Each different window of a range's stretches of a hot anchor, once, for the other ranges.
+
+    A window that occurs once in the range and is not settled brings its place along.
+    """
+    hashes = [window_hashes(key, span) for key, _ in stretches]
+    every, first, counts = np.unique(np.concatenate(hashes), return_index=True, return_counts=True)
+    starts = np.concatenate([[0], np.cumsum([len(h) for h in hashes])])
+    owners = np.searchsorted(starts, first, side="right") - 1
+    for h, at, n, owner in zip(every.tolist(), first.tolist(), counts.tolist(), owners.tolist(), strict=True):
+        where = stretches[owner][1]
+        if n > 1 or where is None:
+            yield 0, 0, None, None, h
+        else:
+            begin = where[2] + at - int(starts[owner])
+            yield where[0], where[1], begin, begin + span, h
+
+
 def merged(runs: DataFrame, span: int) -> DataFrame:
     """Places of repeated windows (window null), and windows of hot anchors' stretches (window set).
 
-    Of the latter, ``begin`` is null for stretches that are settled and only serve as partners.
+    The latter are settled within each range first; see ``open_windows``.
     """
 
     def of_range(rows: list[tuple]) -> Iterator[tuple]:
@@ -300,13 +319,12 @@ def merged(runs: DataFrame, span: int) -> DataFrame:
             equal.clear()
 
         def close_group() -> Iterator[tuple]:
-            if group and group[0][1]:
-                for key, _, where in group:
-                    for n, h in enumerate(window_hashes(key, span).tolist()):
-                        yield (*where[:2], where[2] + n, where[2] + n + span, h) if where else (0, 0, None, None, h)
-            elif len(group) > 1:
-                for place in repeated_of([(key, where) for key, _, where in group], span):
+            stretches = [(key, where) for key, _, where in group]
+            if len(group) > 1:
+                for place in repeated_of(stretches, span):
                     yield (*place, None)
+            if group and group[0][1]:
+                yield from open_windows(stretches, span)
             group.clear()
 
         for key, known, i in tree:
@@ -342,7 +360,7 @@ COLUMNS = ("range", "payload", "hot", "single", "k1s", "k2s", "lows")
 
 
 def hot_places(windows: DataFrame) -> DataFrame:
-    """Of the windows of hot anchors, those that occur in several stretches."""
+    """Of the windows of hot anchors, those that occur in several ranges."""
     again = windows.groupBy("window").count().where("count > 1").select("window")
     return windows.where("begin is not null").join(again, "window", "left_semi").drop("window")
 
