@@ -24,7 +24,6 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -40,61 +39,57 @@ THRESHOLD = 0.5
 BLOCK = 32_000_000
 MATCH, OTHER, GAP = 2, -1, 1
 WORD = re.compile(r"\w+")
-KEPT = 300_000
 
 
-class Words:
-    """Hashes of the lower-case words of texts; each distinct word is hashed once per task."""
-
-    def __init__(self) -> None:
-        self.known: dict[str, int] = {}
-
-    def __call__(self, text: str) -> np.ndarray:
-        found, known = WORD.findall(text.lower()), self.known
-        if len(known) > KEPT:
-            known.clear()
-        for word in set(found).difference(known):
-            raw = word.encode("utf-8", "surrogatepass")
-            known[word] = crc32(raw) | crc32(raw, 0x5EED) << 32
-        return np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
-
-
-def seeds(words: np.ndarray, n: int) -> np.ndarray:
-    """A hash of each run of ``n`` words."""
-    if len(words) < n:
-        return np.zeros(0, np.uint64)
-    out = np.full(len(words) - n + 1, n, np.uint64)
+def seeds(words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the runs of ``n`` words that have a number each, and a hash of each run."""
+    count = max(0, len(words) - n + 1)
+    known = np.ones(count, bool)
     for k in range(n):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + words[k : len(words) - n + 1 + k]
+        known &= words[k : count + k] != 0
+    at = np.flatnonzero(known)
+    out = np.full(len(at), n, np.uint64)
+    for k in range(n):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + words[at + k]
         out ^= out >> np.uint64(29)
-    return out
+    return at, out
 
 
 class Items:
-    """The items of a block, and their seeds in ascending order with the places they have."""
+    """The items of a block: their words, numbered, and their seeds in ascending order with their places."""
 
     def __init__(self, rows: list[tuple[int, str]]) -> None:
-        words = Words()
         self.ids = [item_id for item_id, _ in rows]
-        self.words = [words(text) for _, text in rows]
+        listed = [WORD.findall(text.lower()) for _, text in rows]
+        # Words of no item are number 0, which matches nothing.
+        self.vocabulary = {w: k for k, w in enumerate(sorted({w for words in listed for w in words}), 1)}
+        self.words = [self._numbers(words) for words in listed]
         self.lengths = sorted({min(SEED, len(w)) for w in self.words if len(w)})
         places = defaultdict(list)
         for i, w in enumerate(self.words):
-            for at, seed in enumerate(seeds(w, min(SEED, len(w))).tolist() if len(w) else []):
-                places[seed].append((i, at))
+            if len(w):
+                for at, seed in zip(*(x.tolist() for x in seeds(w, min(SEED, len(w)))), strict=True):
+                    places[seed].append((i, at))
         self.seeds = np.array(sorted(places), np.uint64)
         self.places = [places[s] for s in self.seeds.tolist()]
         self.rarity = np.ones(len(self.seeds))
 
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        get = self.vocabulary.get
+        return np.array([get(w, 0) for w in words], np.uint64)
+
+    def numbers(self, text: str) -> np.ndarray:
+        return self._numbers(WORD.findall(text.lower()))
+
     def found(self, words: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """(places in the text, numbers of seeds) for each length of seeds."""
         out = []
         for n in self.lengths:
-            here = seeds(words, n)
+            places, here = seeds(words, n)
             at = np.searchsorted(self.seeds, here)
             at[at == len(self.seeds)] = 0
             hit = np.flatnonzero(self.seeds[at] == here) if len(self.seeds) else np.zeros(0, np.int64)
-            out.append((hit, at[hit]))
+            out.append((places[hit], at[hit]))
         return out
 
     def regions(self, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -132,9 +127,9 @@ def aligned(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def leaks(items: Items, text: str, hashed: Words, threshold: float) -> Iterator[tuple]:
+def leaks(items: Items, text: str, threshold: float) -> Iterator[tuple]:
     """(item, score, first character, end) of the items that a text holds."""
-    words = hashed(text)
+    words = items.numbers(text)
     best: dict[int, tuple[float, int, int]] = {}
     for item, low, high in items.regions(words):
         wanted = items.words[item]
@@ -174,10 +169,11 @@ def _ready(texts: DataFrame, benchmark: DataFrame) -> Iterator[Broadcast]:
         shared = context.broadcast(items)
 
         def count(batches, shared=shared) -> Iterator[list[tuple]]:
-            hashed, totals = Words(), np.zeros(len(shared.value.seeds), np.int64)
+            items_ = shared.value
+            totals = np.zeros(len(items_.seeds), np.int64)
             for batch in small_batches(batches):
                 for text in batch["text"]:
-                    for _, numbers in shared.value.found(hashed(text)):
+                    for _, numbers in items_.found(items_.numbers(text)):
                         totals[np.unique(numbers)] += 1
             seen = np.flatnonzero(totals)
             yield list(zip(seen.tolist(), totals[seen].tolist(), strict=True))
@@ -195,12 +191,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     for ready in _ready(texts, benchmark):
 
         def align(batches, ready=ready) -> Iterator[list[tuple]]:
-            hashed = Words()
             for batch in small_batches(batches):
                 yield [
                     (doc_id, *leak)
                     for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True)
-                    for leak in leaks(ready.value, text, hashed, threshold)
+                    for leak in leaks(ready.value, text, threshold)
                 ]
 
         parts.append(
@@ -214,9 +209,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
 
     def free_of(ready: Broadcast) -> Column:
         def free(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            hashed = Words()
             for batch in texts:
-                found = (next(leaks(ready.value, text, hashed, threshold), None) for text in batch)
+                found = (next(leaks(ready.value, text, threshold), None) for text in batch)
                 yield pd.Series([leak is None for leak in found], dtype=bool)
 
         return F.pandas_udf(free, "boolean")(utf8(F.col("text")))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm.common import by_arrow, small_batches, table, utf8
-from recordloom.llm.decontamination import WORD, Items, Words
+from recordloom.llm.decontamination import WORD, Items
 from recordloom.llm.license_texts import LICENSES
 
 COVERAGE = 0.75
@@ -79,9 +79,9 @@ def patience(text: list[int], template: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def found_in(items: Items, names: list[str], text: str, hashed: Words, coverage: float) -> list[tuple]:
+def found_in(items: Items, names: list[str], text: str, coverage: float) -> list[tuple]:
     """(license, coverage, matched words, first character, end) of a text, places not overlapping."""
-    words = hashed(text)
+    words = items.numbers(text)
     candidates = []
     for item, low, high in items.regions(words):
         template = items.words[item].tolist()
@@ -110,12 +110,11 @@ def licensed(docs: DataFrame, licenses: dict[str, str] = LICENSES, coverage: flo
     items = Items([(k, licenses[name]) for k, name in enumerate(names)])
 
     def run(batches) -> Iterator[list[tuple]]:
-        hashed = Words()
         for batch in small_batches(batches):
             yield [
                 (doc_id, *row)
                 for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True)
-                for row in found_in(items, names, text, hashed, coverage)
+                for row in found_in(items, names, text, coverage)
             ]
 
     schema = "doc_id long, license string, coverage double, n_matched long, start_char long, end_char long"
