@@ -233,7 +233,7 @@ def containment(spark, sf):
 
 
 @query(
-    """WITH names AS (SELECT DISTINCT text AS name FROM benchmark UNION SELECT DISTINCT text FROM documents WHERE n_chars < 200),
+    """WITH names AS (SELECT DISTINCT text AS name FROM benchmark UNION SELECT DISTINCT text FROM documents),
          exact AS (SELECT name, max(doc_id) AS doc_id FROM names JOIN documents ON text = name GROUP BY 1),
          inside AS (SELECT name, max(doc_id) AS doc_id FROM names JOIN documents ON contains(lower(text), lower(name))
                     WHERE name NOT IN (SELECT name FROM exact) GROUP BY 1)
@@ -242,8 +242,8 @@ def containment(spark, sf):
        FROM names n LEFT JOIN exact e ON e.name = n.name LEFT JOIN inside i ON i.name = n.name"""
 )
 def name_resolution(spark, sf):
-    documents = table(spark, sf, "documents").select("doc_id", "text", "n_chars", "row_number")
-    names = plain(spark, sf, "benchmark").select("text").union(documents.filter("n_chars < 200").select("text"))
+    documents = table(spark, sf, "documents").select("doc_id", "text", "row_number")
+    names = plain(spark, sf, "benchmark").select("text").union(documents.select("text"))
     found = resolve_names(names, "text", documents, "text", "text", "doc_id", "row_number")
     return found.select(F.md5("name").alias("name_md5"), F.md5("record_id").alias("record_md5"), "how")
 

@@ -15,7 +15,7 @@ from recordloom.operators.embedding import embedded, hashing_encoder
 from recordloom.operators.records import build_records, with_ordinal
 from recordloom.plans import entity_map
 from recordloom.plans.search_index import build_index as build_search_index
-from recordloom.plans.search_index import entity_search, search
+from recordloom.plans.search_index import entity_search, query_table, search
 from recordloom.session import fresh_folder
 from recordloom.sinks.vectors import read_vectors, write_vectors
 
@@ -307,7 +307,9 @@ def text_hybrid_search(spark, sf):
     segments = plain(spark, sf, "customer").select(F.col("c_mktsegment").alias("text")).distinct()
     kinds = plain(spark, sf, "part").select(F.concat(F.lit("Class: "), "p_type").alias("text")).distinct()
     texts = segments.withColumn("alpha", F.lit(0.6)).unionByName(kinds.withColumn("alpha", F.lit(0.3)))
-    hits = search(entity_index(spark, sf), texts.withColumn("query_id", F.col("text")), *ENCODERS, 5)
+    folder = fresh_folder(spark, "index")
+    write_vectors(entity_index(spark, sf), folder)
+    hits = search(read_vectors(spark, folder), texts.withColumn("query_id", F.col("text")), *ENCODERS, 5)
     return _scores(hits).withColumn("rank", F.col("rank").cast("bigint"))
 
 
@@ -401,3 +403,42 @@ def map_equipment(spark, sf):
         ENCODERS,
     )
     return chains.counted(nested, "equipment", "equipment_id", "how")
+
+
+@query(
+    f"""WITH {_counts_sql('vectors', 'text', 'item_id', 'benchmark')}
+       SELECT item_id, bucket, round(weight, 5) AS weight FROM vectors"""
+)
+def embed_text_singly(spark, sf):
+    """The encoder called with one text at a time."""
+    vectors = plain(spark, sf, "benchmark").select(
+        "item_id", embedded(F.col("text"), hashing_encoder(DIMENSIONS), batch_size=1).alias("vector")
+    )
+    cells = vectors.select("item_id", F.posexplode("vector").alias("bucket", "weight"))
+    return cells.filter("weight > 0").select(
+        "item_id", F.col("bucket").cast("bigint").alias("bucket"), F.round(F.col("weight").cast("double"), 5).alias("weight")
+    )
+
+
+CANNED = [
+    ("Record with Equipment_ID", 0.7),
+    ("Criticality: BUILDING", 0.2),
+    ("Class: PROMO", 0.5),
+    ("FL_Name", 0.3),
+]
+_CANNED_SQL = "SELECT CAST(k AS BIGINT) AS query_id, text, alpha FROM (VALUES " + ", ".join(
+    f"({k}, '{text}', {alpha}::DOUBLE)" for k, (text, alpha) in enumerate(CANNED)
+) + ") AS c(k, text, alpha)"
+
+
+@query(
+    f"""WITH {_search_sql(_CANNED_SQL, 3)}
+       SELECT query_id, rec_id, type, rank, round(combined_score, 6) AS combined_score FROM hits JOIN indexed USING (rec_id)"""
+)
+def canned_queries(spark, sf):
+    """A fixed list of questions, kept as a table, over a stored index."""
+    folder = fresh_folder(spark, "canned")
+    query_table(spark, CANNED).write.parquet(f"{folder}/queries")
+    write_vectors(entity_index(spark, sf), f"{folder}/index")
+    hits = search(read_vectors(spark, f"{folder}/index"), spark.read.parquet(f"{folder}/queries"), *ENCODERS, 3)
+    return _scores(hits).select("query_id", "rec_id", "type", F.col("rank").cast("bigint").alias("rank"), "combined_score")

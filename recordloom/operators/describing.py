@@ -275,11 +275,6 @@ def _finished(described: DataFrame, on_error: str) -> DataFrame:
     )
 
 
-def succeeded(described: DataFrame) -> DataFrame:
-    """Rows that made it into the results, whatever their policy's stand-in."""
-    return described.filter(F.col("status").isin("ok", "fallback", "error_record"))
-
-
 def failures(described: DataFrame) -> DataFrame:
     """The failed-row side output."""
     return described.filter(F.col("status") == "failed").select(

@@ -100,12 +100,6 @@ def process_folder(
     return process_tables(tables, unreadable=unreadable, **options)
 
 
-def planned_sizes(tables: Mapping[str, DataFrame]) -> dict[str, int]:
-    """The token-rule batch size of every table; one profile row per table reaches the driver."""
-    plan = profiling.batch_plan(profiling.profiles(tables))
-    return {r["source_type"]: r["batch_size"] for r in plan.select("source_type", "batch_size").collect()}
-
-
 def file_modes(spark: SparkSession, folder: str, pattern: str, rows: DataFrame) -> DataFrame:
     """Mode and batch size for every file of a folder, from its size and its row count.
 

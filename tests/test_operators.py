@@ -243,13 +243,13 @@ def test_index_and_text_search(spark):
 
 
 def test_containment_matches_brute_force(spark):
-    words = ["pump", "PUMP 12", "seal", "a", "1 se", "zz", "", "Éa"]
-    texts = ["Big Pump 12 seal", "seal", "PUMP", "nothing", None, "xÉAx", "pump 12" * 5000]
+    words = ["pump", "PUMP 12", "seal", "a", "1 se", "zz", "", "Éa", "pump 12" * 30, "nothing at all " * 5]
+    texts = ["Big Pump 12 seal", "seal", "PUMP", "nothing", None, "xÉAx", "pump 12" * 5000, "Nothing at all " * 9]
     names = spark.createDataFrame([(w,) for w in words], "n string")
     docs = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
     want = {(w.lower(), i) for w in words if w for i, t in enumerate(texts) if t and w.lower() in t.lower()}
-    for block in (50_000, 2):
-        got = [tuple(r) for r in containing_texts(names, "n", docs, "t", "i", max_block=block).collect()]
+    for long_name, block in ((48, 1_000_000), (48, 4), (3, 1_000_000), (1, 10)):
+        got = [tuple(r) for r in containing_texts(names, "n", docs, "t", "i", long_name, block).collect()]
         assert set(got) == want and len(got) == len(want)
 
 
