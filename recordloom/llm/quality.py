@@ -124,7 +124,11 @@ def scores_of(model: Model, found: list[np.ndarray], values: list[np.ndarray], s
 
 
 def fit(found: list[np.ndarray], values: list[np.ndarray], stats: np.ndarray, labels: np.ndarray) -> Model:
-    """Adaptive gradient steps on the logistic loss, in a fixed order."""
+    """Adaptive gradient steps on the logistic loss, in a fixed order.
+
+    Ends with the second pass over the rows that lowers the loss by less than a hundredth,
+    or by less than a thousandth of a nat.
+    """
     order = np.random.default_rng(7)
     size = WORDS + STATS
     mean, spread = stats.mean(axis=0), stats.std(axis=0) + 1e-3
@@ -137,13 +141,15 @@ def fit(found: list[np.ndarray], values: list[np.ndarray], stats: np.ndarray, la
     )
     past_w, past_v = np.full(size, 1e-6, np.float32), np.full((size, RANK), 1e-6, np.float32)
     constant, batch, epochs = model.constant, 256, max(4, min(40, 400_000 // len(labels)))
+    best, idle = np.inf, 0
     for _ in range(epochs):
-        turn = order.permutation(len(labels))
+        turn, loss = order.permutation(len(labels)), 0.0
         for start in range(0, len(turn), batch):
             some = turn[start : start + batch]
             f, x = [found[i] for i in some], [values[i] for i in some]
             now = model._replace(constant=constant)
             p = 1 / (1 + np.exp(-np.clip(scores_of(now, f, x, stats[some]), -30, 30)))
+            loss -= float(np.log(np.where(labels[some] > 0, p, 1 - p)).sum()) / len(labels)
             slope = ((p - labels[some]) / len(some)).astype(np.float32)
             constant -= 0.1 * float(slope.sum())
             # Every text's features, structure included, as one long list of (text, feature, value).
@@ -152,19 +158,23 @@ def fit(found: list[np.ndarray], values: list[np.ndarray], stats: np.ndarray, la
             row = np.concatenate([np.repeat(np.arange(len(some)), lengths), np.repeat(np.arange(len(some)), STATS)])
             col = np.concatenate([*f, np.tile(np.arange(WORDS, size), len(some))])
             val = np.concatenate([*x, scaled.ravel()])
-            products = model.vectors[col] * val[:, None]
-            sums = np.zeros((len(some), RANK), np.float32)
-            np.add.at(sums, row, products)
-            near, where = np.unique(col, return_inverse=True)
-            grad_w, grad_v = np.zeros(len(near), np.float32), np.zeros((len(near), RANK), np.float32)
-            np.add.at(grad_w, where, slope[row] * val)
-            np.add.at(grad_v, where, (slope[row] * val)[:, None] * (sums[row] - products))
-            grad_w += 1e-5 * model.weights[near]
-            grad_v += 1e-4 * model.vectors[near]
-            past_w[near] += grad_w**2
-            past_v[near] += grad_v**2
-            model.weights[near] -= 0.1 * grad_w / np.sqrt(past_w[near])
-            model.vectors[near] -= 0.03 * grad_v / np.sqrt(past_v[near])
+            weight = slope[row] * val
+            touched = np.bincount(col, minlength=size) > 0
+            grad_w = np.bincount(col, weight, size) + 1e-5 * model.weights * touched
+            past_w += grad_w**2
+            model.weights[:] -= 0.1 * grad_w / np.sqrt(past_w)
+            grad_v = np.empty_like(model.vectors)
+            for k in range(RANK):
+                products = model.vectors[col, k] * val
+                sums = np.bincount(row, products, len(some))
+                grad_v[:, k] = np.bincount(col, weight * (sums[row] - products), size)
+            grad_v += 1e-4 * model.vectors * touched[:, None]
+            past_v += grad_v**2
+            model.vectors[:] -= 0.03 * grad_v / np.sqrt(past_v)
+        idle = idle + 1 if loss > min(0.99 * best, best - 0.001) else 0
+        best = min(best, loss)
+        if idle == 2:
+            break
     return model._replace(constant=constant)
 
 
