@@ -14,6 +14,7 @@ blocks. Components come from the links by repeated star contraction.
 For larger distances (``deduplicated``) a fingerprint of many words is joined by grid cells
 of its own: the shingles are dealt to classes by their hashes, and a class's SimHash is one
 group of segments. Texts of a similarity of 0.8 leave many of their classes untouched.
+Wide prints only sort out what can't be similar; the rest is decided by the sets themselves.
 
 Null and empty texts have the fingerprint zero and link like any other. Repeated rows and
 ties share a component, whose id is its smallest doc_id; rows with a null doc_id get a
@@ -29,7 +30,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -37,7 +38,9 @@ from recordloom.llm.common import by_arrow, partitions, small_batches, stored, t
 
 SEED = 42
 CELL = 2048
-WIDE, CLASSES = 12, 10
+WIDE, CLASSES = 4, 10
+# Sets below it are compared by parities. Bytes of sets that one side of a task holds.
+SMALL, SET_BYTES = 300, 16_000_000
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 # Six groups of two-bit segments: 12, 10, 10, 12, 10 and 10 bits.
 GROUPS = ((0, 12), (12, 22), (22, 32), (32, 44), (44, 54), (54, 64))
@@ -159,17 +162,11 @@ def _cell_links(ids: np.ndarray, prints: np.ndarray, sides: np.ndarray, near: Ca
     return out
 
 
-def linked(rows: DataFrame, near: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
-    """Links (a, b) of a spanning forest of the ids that share a cell and are ``near``.
-
-    ``rows``: cell long, id long, print binary (unsigned 64-bit words). ``near`` compares the
-    words of one row with those of many.
-    """
-    spark, n = rows.sparkSession, partitions(rows.sparkSession)
+def _dealt(rows: DataFrame, load: Column) -> DataFrame:
+    """Rows (cell, id, print, a, b, side) in the order of (cell, a, b); cells of a ``load`` past 1 as pairs of blocks."""
     # Stored, so that the planner sees whether the large cells are few enough to broadcast.
-    sizes = stored(rows.groupBy("cell").count().where(F.col("count") > CELL))
-    blocks = F.ceil(F.col("count") / CELL).cast("int")
-    dealt = rows.join(sizes.select("cell", blocks.alias("blocks")), "cell", "left")
+    sizes = stored(rows.groupBy("cell").agg(F.ceil(load).cast("int").alias("blocks")).where("blocks > 1"))
+    dealt = rows.join(sizes, "cell", "left")
     mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     # A row of a large cell goes to the pairs of blocks that its own block is part of.
     pairs = F.transform(
@@ -184,7 +181,36 @@ def linked(rows: DataFrame, near: Callable[[np.ndarray, np.ndarray], np.ndarray]
     dealt = dealt.withColumn("mine", mine).select(
         "cell", "id", "print", F.inline(F.when(F.col("blocks").isNull(), one).otherwise(pairs))
     )
-    ordered = dealt.repartition(n, "cell", "a", "b").sortWithinPartitions("cell", "a", "b")
+    return dealt.repartition(partitions(rows.sparkSession), "cell", "a", "b").sortWithinPartitions("cell", "a", "b")
+
+
+def _loose_links(ids: np.ndarray, prints: np.ndarray, sides: np.ndarray, near: Callable, forest: Forest) -> list[tuple]:
+    """As ``_cell_links``, but without comparing what the cell has linked already."""
+    out = []
+    label = np.arange(len(ids))
+    left, right = np.flatnonzero(sides < 2), np.flatnonzero(sides != 1)
+    for i in left:
+        others = right[right > i] if sides[i] == 0 else right
+        others = others[label[others] != label[i]]
+        if not len(others):
+            continue
+        hits = others[near(prints[i], prints[others])]
+        for j in hits:
+            if forest.join(int(ids[i]), int(ids[j])):
+                out.append((int(ids[i]), int(ids[j])))
+        label[np.isin(label, label[hits])] = label[i]
+    return out
+
+
+def linked(
+    rows: DataFrame, near: Callable[[np.ndarray, np.ndarray], np.ndarray], links: Callable = _cell_links
+) -> DataFrame:
+    """Links (a, b) of a spanning forest of the ids that share a cell and are ``near``.
+
+    ``rows``: cell long, id long, print binary (unsigned 64-bit words). ``near`` compares the
+    words of one row with those of many.
+    """
+    ordered = _dealt(rows, F.count(F.lit(1)) / CELL)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         forest, rest = Forest(), None
@@ -209,7 +235,7 @@ def linked(rows: DataFrame, near: Callable[[np.ndarray, np.ndarray], np.ndarray]
                         out.append((a, b))
             for k in np.flatnonzero(sizes_ > 2):
                 part = slice(bounds[k], bounds[k + 1])
-                out.extend(_cell_links(ids[part], prints[part], sides[part], near, forest))
+                out.extend(links(ids[part], prints[part], sides[part], near, forest))
             return out
 
         for batch in batches:
@@ -293,30 +319,113 @@ def near_groups(prints: DataFrame, radius: int = 3) -> DataFrame:
     return prints.join(ids, "fp", "left")
 
 
-def alike(similarity: float) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
-    """Verifies by wide fingerprints and set sizes (the last word) that the Jaccard similarity is reached.
+def loose(similarity: float) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """True for all sets whose Jaccard similarity is reached, and for few others, by their wide prints.
 
-    Sets of a and b shingles with that similarity share s / (1 + s) * (a + b) of them, which
-    over the root of a * b is the cosine that the differing bits tell.
+    Sets of a and b shingles with that similarity share s / (1 + s) * (a + b) of them. The
+    parities of two sets differ in at most as many bits as there are shingles in only one of
+    them. The SimHashes of large sets, where parities fill up, differ by the angle; the slack
+    is eight standard deviations and a part for ties.
     """
     bits = 64 * WIDE
 
     def near(one: np.ndarray, many: np.ndarray) -> np.ndarray:
         one = np.broadcast_to(one, many.shape)
         a, b = one[:, -1].astype(float), many[:, -1].astype(float)
+        out = np.minimum(a, b) >= similarity * np.maximum(a, b) - 1e-6
+        small = np.maximum(a, b) < SMALL
+        maybe = np.flatnonzero(out & small)
+        most = (1 - similarity) / (1 + similarity) * (a + b)[maybe] + 1e-6
+        parity = slice(0, WIDE)
+        out[maybe] = np.bitwise_count(one[maybe, parity] ^ many[maybe, parity]).sum(axis=1, dtype=np.int64) <= most
+        maybe = np.flatnonzero(out & ~small)
+        a, b = a[maybe], b[maybe]
         cosine = similarity / (1 + similarity) * (a + b) / np.sqrt(np.maximum(a * b, 1))
-        radius = bits * np.arccos(np.minimum(cosine, 1)) / math.pi
-        out = np.minimum(a, b) >= similarity * np.maximum(a, b)
-        maybe = np.flatnonzero(out)
-        out[maybe] = manhattan(counts(one[maybe, :-1]), counts(many[maybe, :-1])).sum(axis=1) <= radius[maybe]
-        maybe = np.flatnonzero(out)
-        differing = np.bitwise_count(one[maybe, :-1] ^ many[maybe, :-1]).sum(axis=1, dtype=np.int64)
-        out[maybe] = differing <= radius[maybe]
+        share = np.minimum(np.arccos(np.minimum(cosine, 1)) / math.pi + 0.03, 0.5)
+        most = bits * share + 8 * np.sqrt(bits * share * (1 - share))
+        angle = slice(WIDE, 2 * WIDE)
+        out[maybe] = np.bitwise_count(one[maybe, angle] ^ many[maybe, angle]).sum(axis=1, dtype=np.int64) <= most
         return out
 
     return near
 
 
+def wide_print(hashes: np.ndarray, similarity: float) -> np.ndarray:
+    """``WIDE`` words of the parities of a set's shingles by bucket, as many of its SimHash, and its size.
+
+    A set too large or too small for a comparison that reads one of them has zeros there.
+    """
+    n = len(hashes)
+    out = np.zeros(2 * WIDE + 1, np.uint64)
+    if n < SMALL:
+        odd = np.bincount((mixed(hashes, 500) % np.uint64(64 * WIDE)).astype(np.int64), minlength=64 * WIDE) & 1
+        out[:WIDE] = np.packbits(odd.astype(np.uint8)).view(np.uint64)
+    if n >= math.floor(similarity * SMALL) - 1:
+        out[WIDE : 2 * WIDE] = [majority(mixed(hashes, k)) for k in range(WIDE)]
+    out[-1] = n
+    return out
+
+
+def _set_links(ids: list[int], sets: list[np.ndarray], sides: np.ndarray, similarity: float, forest: Forest) -> list[tuple]:
+    """Links of sets that reach the Jaccard similarity: all pairs (sides all 0), or side 1 with side 2."""
+    sizes = np.array([len(s) for s in sets])
+    ends = np.cumsum(sizes)
+    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    marked = np.zeros(flat.max() + 1, bool)
+    label = np.arange(len(ids))
+    left, right = np.flatnonzero(sides < 2), np.flatnonzero(sides != 1)
+    out = []
+    for i in left:
+        others = right[right > i] if sides[i] == 0 else right
+        reach = np.minimum(sizes[others], sizes[i]) >= similarity * np.maximum(sizes[others], sizes[i]) - 1e-6
+        others = others[reach & (label[others] != label[i])]
+        if not len(others):
+            continue
+        mine = flat[ends[i] - sizes[i] : ends[i]]
+        marked[mine] = True
+        if 8 * len(others) < len(ids):
+            common = np.array([np.count_nonzero(marked[flat[ends[j] - sizes[j] : ends[j]]]) for j in others])
+        else:
+            common = np.add.reduceat(marked[flat], ends - sizes, dtype=np.int64)[others]
+        marked[mine] = False
+        hits = others[common / (sizes[i] + sizes[others] - common) >= similarity]
+        for j in hits:
+            if forest.join(int(ids[i]), int(ids[j])):
+                out.append((int(ids[i]), int(ids[j])))
+        label[np.isin(label, label[hits])] = label[i]
+    return out
+
+
+def set_links(rows: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) of a spanning forest of the ids that share a cell and whose sets reach the similarity.
+
+    ``rows``: cell long, id long, print binary (the distinct shingles' hashes, none empty).
+    """
+    load = F.greatest(F.count(F.lit(1)) / CELL, F.sum(F.length("print")) / SET_BYTES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+        forest, at = Forest(), None
+        ids: list[int] = []
+        sets: list[np.ndarray] = []
+        sides: list[int] = []
+        for batch in batches:
+            out = []
+            columns = [batch.column(k).to_pylist() for k in (0, 3, 4, 1, 2, 5)]
+            for *key, id_, raw, side in zip(*columns, strict=True):
+                if key != at:
+                    if len(ids) > 1:
+                        out.extend(_set_links(ids, sets, np.array(sides), similarity, forest))
+                    at, ids, sets, sides = key, [], [], []
+                ids.append(id_)
+                sets.append(np.frombuffer(raw, np.uint64))
+                sides.append(side)
+            yield out
+        if len(ids) > 1:
+            yield _set_links(ids, sets, np.array(sides), similarity, forest)
+
+    return by_arrow(_dealt(rows, load), run, "a long, b long")
+
+
 def wide_cells(hashes: np.ndarray, similarity: float) -> np.ndarray:
     """Grid cells of a set of shingles: the counts of the SimHashes of some classes of it.
 
@@ -338,40 +447,60 @@ def wide_cells(hashes: np.ndarray, similarity: float) -> np.ndarray:
 
 
 def wide_prints(docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Other columns of ``docs``, ``print`` (``WIDE`` words of 64 bits and the set's size) and ``cells``."""
-    ids = [c for c in docs.columns if c != "text"]
+    """Other columns of ``docs``, ``id`` (a hash of the set of shingles), ``print`` and ``cells``."""
+    others = [c for c in docs.columns if c != "text"]
 
     def run(batches) -> Iterator[list[tuple]]:
         for batch in small_batches(batches, 64):
             out = []
-            for *mine, text in zip(*(batch[c] for c in [*ids, "text"]), strict=True):
+            for *mine, text in zip(*(batch[c] for c in [*others, "text"]), strict=True):
                 hashes = np.unique(shingle_hashes(text, words))
-                print_ = np.array([*(majority(mixed(hashes, k)) for k in range(WIDE)), len(hashes)], np.uint64)
-                cells_ = wide_cells(hashes, similarity) if len(hashes) else np.zeros(1, np.uint64)
-                out.append((*mine, print_.tobytes(), cells_.view(np.int64).tolist()))
+                id_ = signed(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
+                cells_ = wide_cells(hashes, similarity) if len(hashes) else np.zeros(0, np.uint64)
+                out.append((*mine, id_, wide_print(hashes, similarity).tobytes(), cells_.view(np.int64).tolist()))
             yield out
 
     schema = ", ".join(f"{c} {t}" for c, t in docs.dtypes if c != "text")
-    return by_arrow(docs.select(*ids, utf8(F.col("text")).alias("text")), run, f"{schema}, print binary, cells array<long>")
+    schema += ", id long, print binary, cells array<long>"
+    return by_arrow(docs.select(*others, utf8(F.col("text")).alias("text")), run, schema)
+
+
+def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """Other columns of ``docs`` and ``print``, the hashes of the distinct shingles."""
+    others = [c for c in docs.columns if c != "text"]
+
+    def run(batches) -> Iterator[list[tuple]]:
+        for batch in small_batches(batches, 64):
+            yield [
+                (*mine, np.unique(shingle_hashes(text, words)).tobytes())
+                for *mine, text in zip(*(batch[c] for c in [*others, "text"]), strict=True)
+            ]
+
+    schema = ", ".join(f"{c} {t}" for c, t in docs.dtypes if c != "text")
+    return by_arrow(docs.select(*others, utf8(F.col("text")).alias("text")), run, f"{schema}, print binary")
 
 
 def deduplicated(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row of ``docs`` for each group of near copies, the one with the smallest doc_id.
 
-    Near copies share ``similarity`` of their distinct shingles, as their wide fingerprints
-    have it. Of repeated rows one stays. A null doc_id is the largest.
+    Near copies share ``similarity`` of their distinct shingles. Loose links lead to groups
+    that hold all near copies of their members; the sets of shingles are then compared within
+    the groups. Of repeated rows one stays. A null doc_id is the largest.
     """
     key = [
         F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("__k1"),
         F.xxhash64("doc_id", utf8(F.col("text"))).alias("__k2"),
     ]
-    prints = stored(wide_prints(docs.select(*key, "text"), words, similarity))
+    keyed = docs.select(*key, "text")
     least = F.min(F.struct("__k1", "__k2")).alias("least")
-    one = stored(prints.groupBy("print").agg(least, F.first("cells").alias("cells")))
-    # Ids only tell prints apart here; which document stays is decided for whole groups.
-    one = one.withColumn("id", F.xxhash64("print"))
+    prints = wide_prints(keyed, words, similarity).groupBy("id")
+    one = stored(prints.agg(least, F.first("print").alias("print"), F.first("cells").alias("cells")))
     rows = one.select(F.explode("cells").alias("cell"), "id", "print")
-    found = components(linked(rows, alike(similarity)))
+    loosely = components(linked(rows, loose(similarity), _loose_links))
+    members = loosely.union(loosely.select(F.col("component").alias("id"), "component").distinct())
+    wanted = one.join(members, "id").select("id", F.col("component").alias("cell"), "least.__k1", "least.__k2")
+    texts = keyed.join(wanted, ["__k1", "__k2"]).select("cell", "id", "text")
+    found = components(set_links(stored(shingle_sets(texts, words)), similarity))
     groups = one.join(found, "id", "left").groupBy(F.coalesce("component", "id").alias("component"))
     kept = groups.agg(F.min("least").alias("least")).select("least.__k1", "least.__k2")
     others = [c for c, t in docs.dtypes if c not in ("doc_id", "text") and "map<" not in t and "variant" not in t]
