@@ -11,10 +11,9 @@ links of a spanning forest leave the task, so that a group of copies costs rows
 proportion to its size. Cells past ``CELL`` rows are dealt to several tasks as pairs of
 blocks. Components come from the links by repeated star contraction.
 
-For larger distances (``deduplicated``) a fingerprint of many words is joined by grid cells
-of its own: the shingles are dealt to classes by their hashes, and a class's SimHash is one
-group of segments. Texts of a similarity of 0.8 leave many of their classes untouched.
-Wide prints only sort out what can't be similar; the rest is decided by the sets themselves.
+For larger distances (``deduplicated``) the cells are shingles: of a set of n, the first
+ones in a common order, so many that sets of the similarity are sure to share one. Wide
+prints only sort out what can't be similar; the rest is decided by the sets themselves.
 
 Null and empty texts have the fingerprint zero and link like any other. Repeated rows and
 ties share a component, whose id is its smallest doc_id; rows with a null doc_id get a
@@ -38,9 +37,11 @@ from recordloom.llm.common import by_arrow, partitions, small_batches, stored, t
 
 SEED = 42
 CELL = 2048
-WIDE, CLASSES = 4, 10
+WIDE = 4
 # Sets below it are compared by parities. Bytes of sets that one side of a task holds.
 SMALL, SET_BYTES = 300, 16_000_000
+# Rows whose shingles are counted for the order of shingles, and how many are kept as frequent.
+SAMPLE, FREQUENT = 10_000, 500_000
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 # Six groups of two-bit segments: 12, 10, 10, 12, 10 and 10 bits.
 GROUPS = ((0, 12), (12, 22), (22, 32), (32, 44), (44, 54), (54, 64))
@@ -426,29 +427,47 @@ def set_links(rows: DataFrame, similarity: float) -> DataFrame:
     return by_arrow(_dealt(rows, load), run, "a long, b long")
 
 
-def wide_cells(hashes: np.ndarray, similarity: float) -> np.ndarray:
-    """Grid cells of a set of shingles: the counts of the SimHashes of some classes of it.
+def frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that are frequent in about ``SAMPLE`` rows of ``docs``, ascending, and their counts.
 
-    A level deals the set to classes of some four shingles by their hashes. Two levels are
-    used, so that sets whose sizes differ by the similarity at most have one in common.
+    They only set the order of shingles, so that a passage of many texts makes few cells.
     """
-    step = -math.log(similarity)
-    low = math.floor(math.log(max(1.0, len(hashes) / 4)) / step)
-    out = []
-    for level in (low, low + 1):
-        classes = max(1, math.ceil(math.exp(level * step)))
-        dealt = mixed(hashes, 1000 + level) % np.uint64(classes)
-        for k in range(min(classes, CLASSES)):
-            mine = hashes[dealt == k]
-            if len(mine):
-                word = counts(np.array([majority(mine)], np.uint64))
-                out.append(mixed(word, (level + 2) * CLASSES + k)[0])
-    return np.array(out, np.uint64)
+    share = max(1, math.ceil(docs.count() / SAMPLE))
+    some = docs.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).select(utf8(F.col("text")).alias("text"))
+
+    def run(batches) -> Iterator[list[tuple]]:
+        for batch in small_batches(batches, 64):
+            yield [(h,) for t in batch["text"] for h in np.unique(shingle_hashes(t, words)).view(np.int64).tolist()]
+
+    counted = by_arrow(some, run, "hash long").groupBy("hash").count().where("count > 2")
+    rows = counted.orderBy(F.desc("count"), "hash").limit(FREQUENT).collect()
+    hashes = np.array([r["hash"] for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], np.array([r["count"] for r in rows], np.int64)[order]
+
+
+def wide_cells(
+    hashes: np.ndarray, similarity: float, known: tuple[np.ndarray, np.ndarray] | None = None
+) -> np.ndarray:
+    """Grid cells of a set of shingles: its first ones in an order that holds for all sets.
+
+    Sets of that similarity share at least ``similarity`` of the larger one, so a set's shingles
+    without its last ``ceil(similarity * n) - 1`` hold the first one they share. Those that
+    ``known`` has as frequent come last; apart from that the order is that of another hash.
+    """
+    n = len(hashes)
+    rank = np.zeros(n, np.int64)
+    if known is not None and len(known[0]):
+        at = np.minimum(np.searchsorted(known[0], hashes), len(known[0]) - 1)
+        rank = np.where(known[0][at] == hashes, known[1][at], 0)
+    order = np.lexsort((mixed(hashes, 1000), rank))
+    return hashes[order[: n - math.ceil(similarity * n - 1e-6) + 1]]
 
 
 def wide_prints(docs: DataFrame, words: int, similarity: float) -> DataFrame:
     """Other columns of ``docs``, ``id`` (a hash of the set of shingles), ``print`` and ``cells``."""
     others = [c for c in docs.columns if c != "text"]
+    known = docs.sparkSession.sparkContext.broadcast(frequent(docs, words))
 
     def run(batches) -> Iterator[list[tuple]]:
         for batch in small_batches(batches, 64):
@@ -456,7 +475,7 @@ def wide_prints(docs: DataFrame, words: int, similarity: float) -> DataFrame:
             for *mine, text in zip(*(batch[c] for c in [*others, "text"]), strict=True):
                 hashes = np.unique(shingle_hashes(text, words))
                 id_ = signed(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
-                cells_ = wide_cells(hashes, similarity) if len(hashes) else np.zeros(0, np.uint64)
+                cells_ = wide_cells(hashes, similarity, known.value) if len(hashes) else np.zeros(0, np.uint64)
                 out.append((*mine, id_, wide_print(hashes, similarity).tobytes(), cells_.view(np.int64).tolist()))
             yield out
 
@@ -495,7 +514,10 @@ def deduplicated(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Da
     least = F.min(F.struct("__k1", "__k2")).alias("least")
     prints = wide_prints(keyed, words, similarity).groupBy("id")
     one = stored(prints.agg(least, F.first("print").alias("print"), F.first("cells").alias("cells")))
-    rows = one.select(F.explode("cells").alias("cell"), "id", "print")
+    cells_ = one.select(F.explode("cells").alias("cell"), "id")
+    # Most shingles are in one text only; prints go along with the others.
+    shared = stored(cells_.groupBy("cell").count().where("count > 1").select("cell"))
+    rows = cells_.join(shared, "cell").join(one.select("id", "print"), "id").select("cell", "id", "print")
     loosely = components(linked(rows, loose(similarity), _loose_links))
     members = loosely.union(loosely.select(F.col("component").alias("id"), "component").distinct())
     wanted = one.join(members, "id").select("id", F.col("component").alias("cell"), "least.__k1", "least.__k2")

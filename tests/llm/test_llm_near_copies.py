@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pytest
 from llm_rows import SCHEMA
 
 from recordloom.llm import simhash
@@ -47,3 +49,21 @@ def test_near_copies_at_the_threshold(spark, monkeypatch):
     assert sorted(r.doc_id for r in simhash.deduplicated(frame).collect()) == wanted
     monkeypatch.setattr(simhash, "SET_BYTES", 3_000)
     assert sorted(r.doc_id for r in simhash.deduplicated(frame).collect()) == wanted
+
+
+FREQUENT = np.sort(np.random.default_rng(4).integers(0, 1 << 63, 50, np.uint64))
+
+
+@pytest.mark.parametrize("known", [(), ((FREQUENT, np.arange(3, 53)),)])
+def test_all_sets_at_the_threshold_share_a_cell(known):
+    rng = np.random.default_rng(3)
+    for k in range(3000):
+        n = int(rng.integers(5, 400))
+        whole = np.unique(np.concatenate([rng.choice(FREQUENT, k % 40), rng.integers(0, 1 << 63, n, np.uint64)]))
+        # A part of the whole, and two sets that both have shingles of their own.
+        part = rng.choice(whole, -(-4 * len(whole) // 5), replace=False)
+        kept, fresh = -(-8 * len(whole) // 9), rng.integers(0, 1 << 63, len(whole) // 9, np.uint64)
+        other = np.concatenate([rng.choice(whole, kept, replace=False), fresh])
+        for one in (np.unique(part), np.unique(other)):
+            cells = [simhash.wide_cells(x, 0.8, *known) for x in (whole, one)]
+            assert np.intersect1d(*cells).size
