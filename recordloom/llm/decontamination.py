@@ -4,10 +4,10 @@ Texts and items are lower-case words (runs of letters, digits and underscores).
 ``SEED`` words of an item is a seed (of a shorter item: all its words). A first pass counts
 in how many rows of the corpus each seed occurs; a seed's rarity is ``log(1 + rows / count)``
 over ``log(1 + rows)``, 1 for a seed of one row. A second pass looks up the seeds in every
-text. Where the rarities of an item's seeds that lie near one diagonal sum up to ``ENOUGH``,
-one rare seed or many common ones, the item is aligned with that place of the text by
-Smith-Waterman over words. An item counts as leaked if the alignment's score reaches
-``threshold`` of the score of a whole copy.
+text. An item is aligned by Smith-Waterman over words with every place that holds a seed of
+it, however common, unless too few of its words are there to reach ``threshold``; rarity only
+sets the order, so that ``clean`` meets the likely leaks first. An item counts as leaked if
+the alignment's score reaches ``threshold`` of the score of a whole copy.
 
 Items go to the tasks in blocks of at most ``BLOCK`` characters, one pass over the texts
 for each, so what is broadcast is bounded. Texts are never exchanged.
@@ -22,7 +22,7 @@ from __future__ import annotations
 import math
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 from recordloom.llm.common import by_arrow, small_batches, table, utf8
 
 SEED = 3
-ENOUGH = 0.5
 THRESHOLD = 0.5
 BLOCK = 32_000_000
 MATCH, OTHER, GAP = 2, -1, 1
@@ -92,22 +91,23 @@ class Items:
             out.append((places[hit], at[hit]))
         return out
 
-    def regions(self, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(item, first word, end) of the places of the text worth aligning."""
-        lines = defaultdict(list)
+    def regions(self, words: np.ndarray, reach: Callable[[int], int]) -> Iterator[tuple[int, int, int]]:
+        """(item, first word, end) of the places of the text worth aligning, items with rare seeds first.
+
+        ``reach`` tells by how many words an item of that length may be shifted within a place.
+        """
+        lines, rare = defaultdict(list), defaultdict(float)
         for hits, numbers in self.found(words):
             for place, number in zip(hits.tolist(), numbers.tolist(), strict=True):
                 for item, at in self.places[number]:
-                    lines[item].append((place - at, number))
-        for item, hits in lines.items():
-            hits.sort()
-            n = len(self.words[item])
-            reach, start = n // 2 + 8, 0
+                    lines[item].append(place - at)
+                    rare[item] += self.rarity[number]
+        for item in sorted(lines, key=lambda i: (-rare[i], i)):
+            hits, n = sorted(lines[item]), len(self.words[item])
+            shift, start = reach(n), 0
             for k in range(1, len(hits) + 1):
-                if k == len(hits) or hits[k][0] - hits[k - 1][0] > reach:
-                    if sum(self.rarity[s] for s in {s for _, s in hits[start:k]}) >= ENOUGH:
-                        low, high = hits[start][0] - reach, hits[k - 1][0] + n + reach
-                        yield item, max(0, low), min(len(words), high)
+                if k == len(hits) or hits[k] - hits[k - 1] > shift:
+                    yield item, max(0, hits[start] - shift), min(len(words), hits[k - 1] + n + shift)
                     start = k
 
 
@@ -127,18 +127,29 @@ def aligned(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def scores(items: Items, words: np.ndarray, threshold: float) -> Iterator[tuple[int, float, int, int]]:
+    """(item, share of the score, first word of the place, end of the alignment) of the items in a text."""
+    # Each gap takes from the score of a whole copy, so an alignment has no more of them than that.
+    for item, low, high in items.regions(words, lambda n: math.ceil(MATCH / GAP * n * (1 - threshold))):
+        wanted = items.words[item]
+        # No alignment has more matches than the item has words that occur in the place.
+        if np.count_nonzero(np.isin(wanted, words[low:high])) / len(wanted) < threshold:
+            continue
+        score, end = aligned(wanted, words[low:high])
+        share = score / (MATCH * len(wanted))
+        if share >= threshold:
+            yield item, share, low, low + end
+
+
 def leaks(items: Items, text: str, threshold: float) -> Iterator[tuple]:
     """(item, score, first character, end) of the items that a text holds."""
     words = items.numbers(text)
     best: dict[int, tuple[float, int, int]] = {}
-    for item, low, high in items.regions(words):
-        wanted = items.words[item]
-        score, end = aligned(wanted, words[low:high])
-        share = score / (MATCH * len(wanted))
-        if share >= threshold and share > best.get(item, (0.0, 0, 0))[0]:
+    for item, share, low, end in scores(items, words, threshold):
+        if share > best.get(item, (0.0, 0, 0))[0]:
             # The start is the end of the same alignment read backwards.
-            back = aligned(wanted[::-1], words[low : low + end][::-1])[1]
-            best[item] = share, low + end - back, low + end
+            back = aligned(items.words[item][::-1], words[low:end][::-1])[1]
+            best[item] = share, end - back, end
     if best:
         spans = [m.span() for m in WORD.finditer(text)]
         same = len(spans) == len(words)
@@ -210,7 +221,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     def free_of(ready: Broadcast) -> Column:
         def free(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for batch in texts:
-                found = (next(leaks(ready.value, text, threshold), None) for text in batch)
+                items = ready.value
+                found = (next(scores(items, items.numbers(text), threshold), None) for text in batch)
                 yield pd.Series([leak is None for leak in found], dtype=bool)
 
         return F.pandas_udf(free, "boolean")(utf8(F.col("text")))

@@ -31,6 +31,11 @@ from recordloom.llm.license_texts import LICENSES
 COVERAGE = 0.75
 
 
+def reach(n: int) -> int:
+    """By how many words a template of ``n`` words may be shifted within a place."""
+    return n // 2 + 8
+
+
 def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """A longest subsequence, increasing in both places, of pairs sorted by the first."""
     tops: list[int] = []
@@ -83,7 +88,7 @@ def found_in(items: Items, names: list[str], text: str, coverage: float) -> list
     """(license, coverage, matched words, first character, end) of a text, places not overlapping."""
     words = items.numbers(text)
     candidates = []
-    for item, low, high in items.regions(words):
+    for item, low, high in items.regions(words, reach):
         template = items.words[item].tolist()
         pairs = patience(words[low:high].tolist(), template)
         share = len(pairs) / len(template)
