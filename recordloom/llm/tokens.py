@@ -3,7 +3,8 @@
 The library cuts a text into words before it looks for merges, so the ids of a text are
 those of its words, one after another. Here the words are cut with the file's own rule,
 and the library's model encodes each distinct word once and keeps it in the task. Texts
-with special tokens or with letters past Latin Extended-B go to the library as they are.
+with special tokens, with U+001C to U+001F or with letters past Latin Extended-B go to the
+library as they are.
 """
 
 from __future__ import annotations
@@ -42,7 +43,8 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             rules = json.load(file)
         self.special = [t["content"] for t in rules["added_tokens"]]
-        self.far = re.compile("[^\x00-ɏ]")
+        # Python takes U+001C to U+001F for blanks, the files' rules do not.
+        self.far = re.compile("[^\x00-\x1b\x20-ɏ]")
         self.blank = re.compile("[^\n\x20-~\xa1-ɏ]")
         self.letters = _letters()
         self.words: dict[str, bytes] = {}
@@ -77,7 +79,10 @@ class Encoder:
         if self.kind is None or self.far.search(text) or any(s in text for s in self.special):
             return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
         if self.kind == "bare":
-            units = text.lower().split()
+            lower = text.lower()
+            if self.far.search(lower):  # some letters have their lower case past U+024F
+                return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+            units = lower.split()
         elif (
             "  " in text
             or " \n" in text
