@@ -2,7 +2,8 @@
 
 Texts and templates are lower-case words (runs of letters, digits and underscores). Runs of
 ``SEED`` words that a text shares with a template mark the places worth aligning; such a
-place reaches as far as the template could. There, words that occur once in the place and
+place reaches as far as the template could, and copies next to each other, told apart by
+chains of such runs, have a place each. There, words that occur once in the place and
 once in the template are paired, the longest increasing subsequence of the pairs gives the
 anchors, and the gaps between anchors are aligned in the same way; where no such word is
 left, equal words at both ends of a gap are matched. The share of the template's words that
@@ -16,8 +17,8 @@ rows.
 
 from __future__ import annotations
 
-from bisect import bisect_left
-from collections import Counter
+from bisect import bisect_left, bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm.common import by_arrow, small_batches, table, utf8
-from recordloom.llm.decontamination import WORD, Items
+from recordloom.llm.decontamination import SEED, WORD, Items
 from recordloom.llm.license_texts import LICENSES
 
 COVERAGE = 0.75
@@ -84,16 +85,74 @@ def patience(text: list[int], template: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def chains(items: Items, words: np.ndarray) -> dict[int, list[list[tuple[int, int]]]]:
+    """The seeds (place in text, in template) of each item as chains, ascending in both: one or more per copy."""
+    hits = defaultdict(set)
+    for places, numbers in items.found(words):
+        for place, number in zip(places.tolist(), numbers.tolist(), strict=True):
+            for item, at in items.places[number]:
+                hits[item].add((place, at))
+    out = {}
+    for item, pairs in hits.items():
+        n = len(items.words[item])
+        shift, done, live = reach(n), [], []
+        for place, at in sorted(pairs):
+            done += [c for c in live if place - c[-1][0] > n + shift]
+            live = [c for c in live if place - c[-1][0] <= n + shift]
+            # The chain on the nearest diagonal goes on, the latest of equal ones.
+            fit = [
+                (abs(place - at - c[-1][0] + c[-1][1]), -k)
+                for k, c in enumerate(live)
+                if c[-1][0] < place and c[-1][1] < at
+            ]
+            drift, k = min(fit, default=(shift + 1, 0))
+            if drift <= shift:
+                live[-k].append((place, at))
+            else:
+                live.append([(place, at)])
+        out[item] = done + live
+    return out
+
+
+def copies(
+    items: Items, item: int, words: np.ndarray, mine: list[list[tuple[int, int]]], low: int, high: int
+) -> Iterator[list[tuple[int, int]]]:
+    """Alignments (in text, in template) of the copies in a place that has several chains.
+
+    Each chain is aligned in its own window, which ends where a seed of another copy begins.
+    """
+    n = len(items.words[item])
+    template, shift, span = items.words[item].tolist(), reach(n), min(SEED, n)
+    places = sorted({place for chain in mine for place, _ in chain})
+    for chain in mine:
+        (first, at), (last, at_last) = chain[0], chain[-1]
+        before, after = bisect_left(places, first) - 1, bisect_right(places, last)
+        start = max(low, first - at - shift, min(places[before] + span, first) if before >= 0 else 0)
+        end = min(high, last + n - at_last + shift)
+        if after < len(places):
+            end = max(last + span, min(end, places[after]))
+        pairs = patience(words[start:end].tolist(), template)
+        yield [(start + i, j) for i, j in pairs]
+
+
 def found_in(items: Items, names: list[str], text: str, coverage: float) -> list[tuple]:
     """(license, coverage, matched words, first character, end) of a text, places not overlapping."""
     words = items.numbers(text)
     candidates = []
+    known = None
     for item, low, high in items.regions(words, reach):
         template = items.words[item].tolist()
-        pairs = patience(words[low:high].tolist(), template)
-        share = len(pairs) / len(template)
-        if share >= coverage:
-            candidates.append((-share, -len(template), names[item], low + pairs[0][0], low + pairs[-1][0] + 1, len(pairs)))
+        known = chains(items, words) if known is None else known
+        mine = [c for c in known[item] if low <= c[0][0] < high]
+        found = []
+        if len(mine) > 1:
+            found = [p for p in copies(items, item, words, mine, low, high) if len(p) / len(template) >= coverage]
+        if not found:
+            found = [[(low + i, j) for i, j in patience(words[low:high].tolist(), template)]]
+        for pairs in found:
+            share = len(pairs) / len(template)
+            if share >= coverage:
+                candidates.append((-share, -len(template), names[item], pairs[0][0], pairs[-1][0] + 1, len(pairs)))
     if not candidates:
         return []
     spans = [m.span() for m in WORD.finditer(text.lower())]
