@@ -5,6 +5,7 @@ from __future__ import annotations
 from recordloom.llm.binary_ids import op9_binary_ids
 from recordloom.llm.decontamination import op8_decontamination
 from recordloom.llm.language import op6_language
+from recordloom.llm.lexical import OP11_SQL, op11_lexical_search
 from recordloom.llm.licenses import op3_license_scan
 from recordloom.llm.packing import op2_packing
 from recordloom.llm.quality import op4_quality
@@ -26,6 +27,7 @@ QUERIES = {
         op8_decontamination,
         op9_binary_ids,
         op10_secret_scan,
+        op11_lexical_search,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_lexical_search": OP11_SQL}
