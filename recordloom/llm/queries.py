@@ -12,6 +12,7 @@ from recordloom.llm.quality import op4_quality
 from recordloom.llm.repeats import op1_suffix_dedup
 from recordloom.llm.secrets import op10_secret_scan
 from recordloom.llm.simhash import op7_simhash
+from recordloom.llm.spelling import OP13_SQL, op13_spelling_variants
 from recordloom.llm.syncmers import op5_syncmers
 
 QUERIES = {
@@ -28,6 +29,7 @@ QUERIES = {
         op9_binary_ids,
         op10_secret_scan,
         op11_lexical_search,
+        op13_spelling_variants,
     )
 }
-ORACLES: dict[str, str] = {"op11_lexical_search": OP11_SQL}
+ORACLES: dict[str, str] = {"op11_lexical_search": OP11_SQL, "op13_spelling_variants": OP13_SQL}
