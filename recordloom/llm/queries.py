@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from recordloom.llm.binary_ids import op9_binary_ids
 from recordloom.llm.decontamination import op8_decontamination
+from recordloom.llm.jaccard import OP12_SQL, op12_jaccard_join
 from recordloom.llm.language import op6_language
 from recordloom.llm.lexical import OP11_SQL, op11_lexical_search
 from recordloom.llm.licenses import op3_license_scan
@@ -29,7 +30,12 @@ QUERIES = {
         op9_binary_ids,
         op10_secret_scan,
         op11_lexical_search,
+        op12_jaccard_join,
         op13_spelling_variants,
     )
 }
-ORACLES: dict[str, str] = {"op11_lexical_search": OP11_SQL, "op13_spelling_variants": OP13_SQL}
+ORACLES: dict[str, str] = {
+    "op11_lexical_search": OP11_SQL,
+    "op12_jaccard_join": OP12_SQL,
+    "op13_spelling_variants": OP13_SQL,
+}
