@@ -81,23 +81,25 @@ def blocks_of(keys: np.ndarray, blocks: int) -> np.ndarray:
 
 
 class Shard:
-    """The filter of the words of one length, or those of its slices that a pass holds."""
+    """The filter of the words of one length, or of those of its slices that a pass holds."""
 
     def __init__(self, words: int) -> None:
         self.words = words
         self.slices = -(-words // SLICE_WORDS)
         self.blocks = -(-words * BITS // (64 * self.slices)) + 1
-        self.filters: dict[int, np.ndarray] = {}
+
+    def fill(self, filters: dict[int, np.ndarray], wanted: list[int]) -> None:
+        """Lays the filters of the wanted slices one after the other; a slice without words has none."""
+        self.starts = np.full(self.slices, -1)
+        self.starts[wanted] = np.arange(len(wanted)) * self.blocks
+        empty = np.zeros(self.blocks, np.uint64)
+        self.bits = np.concatenate([filters.get(k, empty) for k in wanted])
 
     def hits(self, keys: np.ndarray) -> np.ndarray:
-        bits, blocks = bits_of(keys), blocks_of(keys, self.blocks)
-        if self.slices == 1:
-            return (self.filters[0][blocks] & bits) == bits
-        out, of = np.zeros(len(keys), bool), keys % np.uint64(self.slices)
-        for k, own in self.filters.items():
-            at = np.flatnonzero(of == k)
-            out[at] = (own[blocks[at]] & bits[at]) == bits[at]
-        return out
+        starts = self.starts[(keys % np.uint64(self.slices)).astype(np.int64)]
+        bits = bits_of(keys)
+        found = self.bits[np.maximum(starts, 0) + blocks_of(keys, self.blocks)]
+        return ((found & bits) == bits) & (starts >= 0)
 
 
 def edits(points: np.ndarray, letters: np.ndarray, shards: dict[int, Shard]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -182,18 +184,20 @@ def filled(words: DataFrame, sizes: dict[int, int], wanted: dict[int, list[int]]
     rest = F.pmod(F.shiftrightunsigned("key", 1), F.col("slices")) * 2 + F.col("key").bitwiseAND(1)
     own = own.withColumn("slice", F.pmod(rest, F.col("slices"))).join(F.broadcast(here), ["length", "slice"], "left_semi")
 
+    blocks = {length: s.blocks for length, s in shards.items()}
+
     def build(group: pa.Table) -> pa.Table:
         length, k = group["length"][0].as_py(), group["slice"][0].as_py()
         keys = group["key"].to_numpy().view(np.uint64)
-        own = np.zeros(Shard(sizes[length]).blocks, np.uint64)
+        own = np.zeros(blocks[length], np.uint64)
         np.bitwise_or.at(own, blocks_of(keys, len(own)), bits_of(keys))
         return pa.table({"length": pa.array([length], pa.int32()), "slice": pa.array([k], pa.int64()), "bits": [own.tobytes()]})
 
+    filters: dict[int, dict[int, np.ndarray]] = {length: {} for length in wanted}
     for row in own.groupBy("length", "slice").applyInArrow(build, "length int, slice long, bits binary").collect():
-        shards[row["length"]].filters[row["slice"]] = np.frombuffer(bytes(row["bits"]), np.uint64)
+        filters[row["length"]][row["slice"]] = np.frombuffer(bytes(row["bits"]), np.uint64)
     for length, own_slices in wanted.items():
-        for k in own_slices:  # a slice without any word
-            shards[length].filters.setdefault(k, np.zeros(shards[length].blocks, np.uint64))
+        shards[length].fill(filters[length], own_slices)
     return shards
 
 
@@ -293,12 +297,16 @@ def counted(words: DataFrame, least_length: int, least_n: int) -> DataFrame:
     return counts.where(F.col("n") >= least_n)
 
 
-def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = runs(table(spark, sf_dir, "documents"), 7)
-    check = F.crc32(F.concat("doc", F.lit(":"), "run"))
+def with_deletions(found: DataFrame, every: int) -> DataFrame:
+    """The words of runs (doc, run), one code point short where a checksum of both is a multiple of ``every``."""
     at = F.pmod("check", F.char_length("run")).cast("int")
     less = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.char_length("run")))
-    words = found.withColumn("check", check).select(F.when(F.col("check") % 31 == 0, less).otherwise(F.col("run")).alias("word"))
+    checked = found.withColumn("check", F.crc32(F.concat("doc", F.lit(":"), "run")))
+    return checked.select(F.when(F.col("check") % every == 0, less).otherwise(F.col("run")).alias("word"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = with_deletions(runs(table(spark, sf_dir, "documents"), 7), 31)
     return variants(counted(words, 7, 2))
 
 
