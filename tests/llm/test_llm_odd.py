@@ -8,7 +8,7 @@ from llm_rows import ODD
 import corpus_pipeline
 from recordloom.llm.queries import QUERIES
 
-ONE_ROW_EACH = ["op1_", "op4_", "op5_", "op6_", "op7_", "op9_", "op10_"]
+ONE_ROW_EACH = ["op1_", "op4_", "op5_", "op6_", "op7_", "op9_", "op10_", "op12_"]
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
