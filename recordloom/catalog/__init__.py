@@ -3,6 +3,7 @@
 from recordloom.catalog import (  # noqa: F401
     chains,
     ingestion,
+    jobs,
     outcomes,
     planning,
     records,

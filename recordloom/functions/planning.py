@@ -27,6 +27,7 @@ MODE_STEPS = [
     (200, "optimized (batch_size=10) - Large file"),
 ]
 MODE_REST = "optimized (batch_size=20) - Very large file"
+DEFAULT_BATCH = 10
 
 
 def token_estimate(text: Column) -> Column:
@@ -100,7 +101,7 @@ def detected_mode(is_folder: Column, is_csv: Column, rows: Column, size_mb: Colu
     )
 
 
-def detected_batch_size(mode: Column, rows: Column, default: int = 10) -> Column:
+def detected_batch_size(mode: Column, rows: Column, default: int = DEFAULT_BATCH) -> Column:
     resized = F.least(F.lit(20), F.floor(rows / 10).cast("int"))
     return F.when((mode == "optimized") & (rows > 100), resized).otherwise(F.lit(default))
 
