@@ -34,42 +34,119 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm.common import by_arrow, small_batches, stored, table, utf8
+from recordloom.llm.common import by_arrow, stored, table, utf8
 from recordloom.llm.simhash import _loose_links, components, linked, loose, mixed, set_links, wide_print
 
 SEED = 42
 # Counters of the summary of frequent tokens, and the least count of a frequent one.
 HEAVY, FREQUENT = 1 << 16, 256
-# Tokens that are counted at once, and words whose hashes a task keeps.
-PENDING, KNOWN = 1 << 20, 1 << 20
+# Tokens that are counted at once.
+PENDING = 1 << 20
 # Mean tokens of a class of frequent ones in a whole set are four to ten.
 PER_CLASS = 4
-STEP = np.uint64(0x9E3779B97F4A7C15)
+STEP, ONE = np.uint64(0x9E3779B97F4A7C15), np.uint64(1)
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+# Bytes of a text that are hashed at once, unless a single word is longer, and rows that are handled at once.
+SLICE, ROWS = 1 << 18, 64
+# What a byte adds to a word's hash: A-Z count as a-z.
+LETTERS = mixed(np.frombuffer(bytes(range(256)).translate(LOWER), np.uint8).astype(np.uint64), 1198)
+BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+INVERSE = np.uint64(pow(int(STEP), -1, 1 << 64))
 
 
-class WordHashes(dict):
-    """XXH64 of words, kept for those that come again."""
+class Powers:
+    """The powers of ``STEP`` and of its inverse, as far as they were asked for."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KNOWN:
-            self.clear()
-        self[word] = out = xxhash.xxh64_intdigest(word, SEED)
-        return out
+    up = down = np.ones(1, np.uint64)
 
+    @classmethod
+    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) < n:
+            size = max(SLICE + 1, n)
+            cls.up, cls.down = (np.multiply.accumulate(np.where(np.arange(size) > 0, x, ONE)) for x in (STEP, INVERSE))
+        return cls.up[:n], cls.down[:n]
 
-def tokens(text: str, words: int, known: WordHashes) -> np.ndarray:
-    """Hashes of the distinct shingles, ascending; of all words if there are fewer than a shingle has."""
-    found = text.encode("utf-8", "surrogatepass").translate(LOWER).split()
-    hashes = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
-    n = min(words, len(found))
-    if not n:
-        return hashes
-    out = hashes[: len(found) - n + 1].copy()
-    for k in range(1, n):
+
+def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of texts that lie one after the other, and the place of each word.
+
+    ``starts``: where each text begins. A word's polynomial hash is the difference of two
+    running sums, brought to its own place.
+    """
+    n = len(data)
+    blank = np.append(BLANK[data], True)
+    edge = np.zeros(n + 1, bool)
+    edge[starts] = True
+    before = np.concatenate([[True], blank[:-1]])
+    first = np.flatnonzero(~blank & (before | edge))
+    end = np.flatnonzero(~before & (blank | edge))
+    up, down = Powers.of(n)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(LETTERS[data] * up, out=sums[1:])
+    hashes = (sums[end] - sums[first]) * down[first]
+    return mixed(hashes + (end - first).astype(np.uint64) * STEP, 1199), first
+
+
+def shingle_hashes(hashes: np.ndarray, words: int) -> np.ndarray:
+    """Hashes of the runs of ``words`` words."""
+    n = len(hashes) - words + 1
+    out = hashes[: max(0, n)].copy()
+    for k in range(1, words if n > 0 else 0):
         out *= STEP
-        out += hashes[k : len(found) - n + 1 + k]
-    return np.unique(mixed(out, 100 + n))
+        out += hashes[k : n + k]
+    return mixed(out, 100 + words)
+
+
+def distinct(hashes: np.ndarray) -> np.ndarray:
+    out = np.sort(hashes)
+    return out[np.append(True, out[1:] != out[:-1])[: len(out)]]
+
+
+def long_text(data: np.ndarray) -> np.ndarray:
+    """The hashes of all words of one text, sliced between words."""
+    out, at = [], 0
+    while len(data) - at > SLICE:
+        blanks = np.flatnonzero(BLANK[data[at : at + SLICE]])
+        cut = at + int(blanks[-1]) + 1 if len(blanks) else at + SLICE
+        while cut < len(data) and not BLANK[data[cut - 1]]:
+            cut += 1
+        out.append(word_hashes(data[at:cut], np.zeros(1, int))[0])
+        at = cut
+    out.append(word_hashes(data[at:], np.zeros(1, int))[0])
+    return np.concatenate(out)
+
+
+def token_rows(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
+    """Hashes of each text's distinct shingles, ascending; of all its words if there are fewer than a shingle has."""
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    _, places, raw = texts.buffers()
+    places = np.frombuffer(places, kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
+    row = 0
+    while row < len(texts):
+        # As many texts as fit in a slice, or a single one.
+        stop = max(row + 1, int(np.searchsorted(places, places[row] + SLICE, "right")) - 1)
+        own = data[places[row] : places[stop]]
+        if len(own) > SLICE:
+            hashes = long_text(own)
+            bounds = [0, len(hashes)]
+        else:
+            starts = places[row : stop + 1] - places[row]
+            hashes, first = word_hashes(own, starts)
+            bounds = np.searchsorted(first, starts).tolist()
+        whole = shingle_hashes(hashes, words)
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            yield distinct(whole[a : b - words + 1] if b - a >= words else shingle_hashes(hashes[a:b], max(1, b - a)))
+        row = stop
+
+
+def rows_with_tokens(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[Iterator[tuple]]:
+    """The other columns of each row and the tokens of the last one, some rows at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            part = batch.slice(start, ROWS)
+            others = [c.to_pylist() for c in part.columns[:-1]]
+            yield zip(*others, token_rows(part.columns[-1], words), strict=True)
 
 
 class Summary:
@@ -108,10 +185,10 @@ def frequent_tokens(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray
     """
 
     def run(batches) -> Iterator[list[tuple]]:
-        known, summary = WordHashes(), Summary(HEAVY)
-        for batch in small_batches(batches):
-            for text in batch["text"]:
-                summary.add(tokens(text, words, known))
+        summary = Summary(HEAVY)
+        for rows in rows_with_tokens(batches, words):
+            for (own,) in rows:
+                summary.add(own)
         summary.settle()
         often = summary.counts > 1
         yield list(zip(summary.keys[often].view(np.int64).tolist(), summary.counts[often].tolist(), strict=True))
@@ -165,12 +242,10 @@ def with_signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """doc_id, n (distinct shingles), digest of the set, print and signatures of each row."""
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, words))
 
-    def run(batches) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-        for batch in small_batches(batches, 64):
+    def run(batches) -> Iterator[list[tuple]]:
+        for rows in rows_with_tokens(batches, words):
             out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                own = tokens(text, words, known)
+            for doc_id, own in rows:
                 signed = signatures(own, percent, frequent.value).view(np.int64)
                 digest = xxhash.xxh3_128_digest(own.tobytes(), SEED)
                 out.append((doc_id, len(own), digest, wide_print(own, percent / 100).tobytes(), signed))
@@ -184,10 +259,8 @@ def token_sets(docs: DataFrame, words: int) -> DataFrame:
     """cell, id and print (the set of tokens) of rows with a text."""
 
     def run(batches) -> Iterator[list[tuple]]:
-        known = WordHashes()
-        for batch in small_batches(batches, 64):
-            rows = zip(batch["cell"], batch["id"], batch["text"], strict=True)
-            yield [(c, i, tokens(t, words, known).tobytes()) for c, i, t in rows]
+        for rows in rows_with_tokens(batches, words):
+            yield [(c, i, own.tobytes()) for c, i, own in rows]
 
     texts = docs.select("cell", "id", utf8(F.col("text")).alias("text"))
     return by_arrow(texts, run, "cell long, id long, print binary")
