@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_rows import SCHEMA
 
@@ -108,6 +109,22 @@ def test_similar_sets_share_a_signature(percent):
     assert shared > 20
 
 
+@pytest.mark.parametrize("size", [1 << 18, 20, 1])
+def test_hashed_shingles_are_those_of_the_words(monkeypatch, size):
+    monkeypatch.setattr(jaccard, "SLICE", size)
+    monkeypatch.setattr(jaccard.Powers, "up", np.ones(1, np.uint64))
+    texts = ["", " ", "a", "A b", "a B c d", "a b c d", "ab cd", "é\tÉ x\x0b\x1fy z  w", "x" * 50, "", "d c b a " * 9, "a b c d e f g\n" * 5]
+    texts += [" ".join(texts), "a b c d"]
+    for column in (pa.array(texts), pa.array(["skip", *texts], pa.large_string()).slice(1)):
+        for n in (1, 2, 4):
+            rows = list(jaccard.token_rows(column, n))
+            assert [len(r) for r in rows] == [len(shingles(t, n)) for t in texts]
+            seen = {}
+            for row, text in zip(rows, texts, strict=True):
+                assert seen.setdefault(frozenset(shingles(text, n)), row.tobytes()) == row.tobytes()
+            assert len(set(seen.values())) == len(seen)
+
+
 def test_summary_keeps_what_is_frequent():
     draw = np.random.default_rng(2)
     summary = jaccard.Summary(50)
