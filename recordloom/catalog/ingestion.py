@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from recordloom.catalog.registry import query
 from recordloom.catalog.tables import COLUMNS, plain, sql_statement, sql_structured
 from recordloom.operators.records import build_records
+from recordloom.operators.skew import lookup_join
 from recordloom.session import fresh_folder
 from recordloom.streaming.incremental import ingest, ingested
 
 EVENTS = COLUMNS["events"]
+# The name of a table's files in the inbox.
+PART_NAME = r"(\w+)-\d+\.csv"
 
 
 def _judged(batch):
@@ -59,25 +63,34 @@ def incremental_split(spark, sf):
        UNION ALL SELECT 'broken.csv', 0, 0, NULL, 0"""
 )
 def incremental_csv(spark, sf):
-    """Files of several entities, one without a header, taken in by two runs, the second of which adds one file."""
+    """Tables in many files each, one file without a header, taken in by two runs, the second of which adds a table.
+
+    Spark writes a file per partition, in the order of the rows; numbers per file become
+    numbers per table by the sizes of the files before.
+    """
     base = fresh_folder(spark, "inbox")
     rows = {
         "customer": plain(spark, sf, "customer").select(
+            "c_custkey",
             F.col("c_custkey").alias("number"),
             F.when(F.col("c_mktsegment") == "BUILDING", "N/A").otherwise(F.col("c_mktsegment")).alias("note"),
         ),
-        "conversations": plain(spark, sf, "conversations").select(F.col("conv_id").alias("number"), F.col("text").alias("note")),
-        "more": plain(spark, sf, "supplier").select(F.col("s_suppkey").alias("number"), F.col("s_name").alias("note")),
+        "conversations": plain(spark, sf, "conversations").select(
+            "conv_id", "turn", F.col("conv_id").alias("number"), F.col("text").alias("note")
+        ),
+        "more": plain(spark, sf, "supplier").select("s_suppkey", F.col("s_suppkey").alias("number"), F.col("s_name").alias("note")),
     }
     runs = (["customer", "conversations"], ["more"])
     for number, names in enumerate(runs):
         for name in names:
-            # One file each, named like its entity.
+            keys = [c for c in rows[name].columns if c not in ("number", "note")]
+            parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
             staged = f"{base}/staged/{name}"
-            rows[name].coalesce(1).write.options(header=True, escape='"', quote='"').csv(staged)
-            place_file(spark, staged, f"{base}/inbox/{name}.csv")
+            ordered = rows[name].repartitionByRange(parts, *keys).sortWithinPartitions(*keys).drop(*keys)
+            ordered.write.options(header=True, escape='"', quote='"').csv(staged)
+            place_parts(spark, staged, f"{base}/inbox", name)
         if not number:
-            place_file(spark, None, f"{base}/inbox/broken.csv")
+            place_blank(spark, f"{base}/inbox/broken.csv")
         ingest(
             spark,
             f"{base}/inbox",
@@ -85,8 +98,20 @@ def incremental_csv(spark, sf):
             lambda table, run=number: table.withColumn("status", F.lit("ok")).withColumn("run", F.lit(run)),
             f"{base}/out",
             f"{base}/progress",
+            entity_pattern=PART_NAME,
         )
-    done = ingested(spark, f"{base}/out").select("source_file", "row_number", F.col("number").cast("bigint"), "note", "run")
+    done = ingested(spark, f"{base}/out").withColumn("entity", F.regexp_extract("source_file", PART_NAME, 1))
+    # One row per file.
+    sizes = done.groupBy("entity", "source_file").agg(F.count(F.lit(1)).alias("rows"))
+    before = W.partitionBy("entity").orderBy("source_file").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select("source_file", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    done = lookup_join(done, starts, ["source_file"], "inner").select(
+        F.concat("entity", F.lit(".csv")).alias("source_file"),
+        (F.col("start") + F.col("row_number")).alias("row_number"),
+        F.col("number").cast("bigint"),
+        "note",
+        "run",
+    )
     lost = ingested(spark, f"{base}/out", "unreadable").select(
         "source_file",
         F.lit(0).cast("bigint").alias("row_number"),
@@ -97,16 +122,22 @@ def incremental_csv(spark, sf):
     return done.unionByName(lost)
 
 
-def place_file(spark, written: str | None, path: str) -> None:
-    """The one part file of a folder, or a file of one empty line, under a name of its own."""
+def place_parts(spark, written: str, folder: str, name: str) -> None:
+    """The part files of a written table as ``<name>-<number>.csv``, in their order."""
     hadoop = spark._jvm.org.apache.hadoop.fs
-    target = hadoop.Path(path)
+    source, target = hadoop.Path(written), hadoop.Path(folder)
+    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    found = {f.getPath().getName(): f.getPath() for f in files.listStatus(source)}
+    for k, part in enumerate(sorted(n for n in found if n.startswith("part-"))):
+        files.rename(found[part], hadoop.Path(target, f"{name}-{k:05}.csv"))
+
+
+def place_blank(spark, path: str) -> None:
+    """A file of one empty line."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = target.getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(target.getParent())
-    if written is None:
-        out = files.create(target)
-        out.write(10)
-        out.close()
-    else:
-        parts = [f.getPath() for f in files.listStatus(hadoop.Path(written)) if f.getPath().getName().startswith("part-")]
-        files.rename(parts[0], target)
+    out = files.create(target)
+    out.write(10)
+    out.close()

@@ -371,10 +371,10 @@ def file_modes(spark, sf):
 )
 def folder_with_bad_file(spark, sf):
     """A file without a header is a failed file of the run; the others are processed."""
-    from recordloom.catalog.ingestion import place_file
+    from recordloom.catalog.ingestion import place_blank
 
     folder = csv_folder(spark, sf)
-    place_file(spark, None, f"{folder}/Broken.csv")
+    place_blank(spark, f"{folder}/Broken.csv")
     results = processing.process_folder(spark, folder).file_results
     return results.select(
         "source_file", "total_rows", "failed_rows", "success", F.col("error_message").isNotNull().alias("explained")

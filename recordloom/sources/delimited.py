@@ -188,14 +188,22 @@ def read_whitelist(
     return read_files(spark, files, typed), [w for w in wanted if w not in found]
 
 
-def folder_files(listing: DataFrame) -> dict[str, tuple[str, list[str]]]:
-    """Key → (file name, paths of its parts), in name order."""
+def folder_files(listing: DataFrame, entity_pattern: str | None = None) -> dict[str, tuple[str, list[str]]]:
+    """Key → (file name, paths of its parts), in name order.
+
+    Files whose whole names match ``entity_pattern`` are one entity under its first group
+    and share a header; they are read by one scan and keep their own names and row numbers.
+    """
     paths: dict[str, list[str]] = {}
+    entities: dict[str, tuple[str, list[str]]] = {}
     for name, path in sorted((r["file_name"], r["path"]) for r in listing.select("file_name", "path").collect()):
-        paths.setdefault(name, []).append(path)
+        if entity_pattern and (match := re.fullmatch(entity_pattern, name)):
+            entities.setdefault(match[1], (name, []))[1].append(path)
+        else:
+            paths.setdefault(name, []).append(path)
     stems = Counter(name.rsplit(".", 1)[0] for name in paths)
-    return {
-        stem if stems[stem] == 1 else name: (name, found)
+    return entities | {
+        stem if stems[stem] == 1 and stem not in entities else name: (name, found)
         for name, found in paths.items()
         for stem in [name.rsplit(".", 1)[0]]
     }

@@ -26,6 +26,7 @@ def ingest(
     pattern: str = "*.csv",
     max_files_per_trigger: int = 1000,
     multi_line: bool | None = None,
+    entity_pattern: str | None = None,
 ) -> None:
     """Process the files that arrived since the last call, then stop.
 
@@ -37,7 +38,8 @@ def ingest(
     Delimited files are only found by the stream and read by the reader of batch runs,
     so types, missing-value tokens and line breaks inside quotes come out alike.
     ``schema`` may then be one schema per entity (file stem) or None; ``build`` sees one
-    entity at a time. Files that cannot be read go to ``<output>/unreadable``.
+    entity at a time. Many files of one entity are best named alike: those that match
+    ``entity_pattern`` are read together. Files that cannot be read go to ``<output>/unreadable``.
     """
     stream = spark.readStream.option("pathGlobFilter", pattern).option("maxFilesPerTrigger", max_files_per_trigger)
     if file_format == "parquet":
@@ -63,7 +65,7 @@ def ingest(
 
     def write_delimited(batch: DataFrame, number: int) -> None:
         # At most max_files_per_trigger paths.
-        files = folder_files(batch.select("path", file_name_of(F.col("path")).alias("file_name")))
+        files = folder_files(batch.select("path", file_name_of(F.col("path")).alias("file_name")), entity_pattern)
         schemas = schema if isinstance(schema, Mapping) else {key: schema for key in files}
         errors: dict[str, str] = {}
         tables = read_files(spark, files, True, schemas, multi_line, errors)

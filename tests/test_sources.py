@@ -212,3 +212,26 @@ def test_ingested_files_read_like_batch_ones(spark, tmp_path):
     got = sorted(map(tuple, ingested(spark, str(tmp_path / "out")).select(columns).collect()))
     assert got == sorted(map(tuple, D.read_typed(spark, str(inbox / "A.csv")).select(columns).collect()))
     assert got == [(1, "two\nlines", "A.csv", 1), (2, None, "A.csv", 2), (3, "z", "A.csv", 3)]
+
+
+def test_files_of_one_entity_are_read_together(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    for part in range(3):
+        write_csv(inbox / f"pump-{part}.csv", ["k", "v"], [[10 * part + i, "x\ny" if part == 1 else f"v{i}"] for i in range(4)])
+    write_csv(inbox / "pump.csv", ["other"], [["z"]])
+    files = D.folder_files(D.list_files(spark, str(inbox)), r"(\w+)-\d+\.csv")
+    assert {key: len(paths) for key, (_, paths) in files.items()} == {"pump": 3, "pump.csv": 1}
+    calls = []
+
+    def build(table):
+        calls.append(table.columns[0])
+        return table.withColumn("status", F.lit("ok"))
+
+    out = str(tmp_path / "out")
+    ingest(spark, str(inbox), None, build, out, str(tmp_path / "state"), entity_pattern=r"(\w+)-\d+\.csv")
+    rows = ingested(spark, out).filter("k is not null").collect()
+    assert sorted(calls) == ["k", "other"]
+    assert sorted((r.source_file, r.row_number, r.k) for r in rows) == [
+        (f"pump-{p}.csv", i + 1, 10 * p + i) for p in range(3) for i in range(4)
+    ]
