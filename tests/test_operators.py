@@ -375,3 +375,22 @@ def test_type_counts_and_costs(spark):
     cost = Z.token_totals(rows, "s", "t").first()
     assert (cost["semantic_tokens"], cost["structured_tokens"]) == (3, 2)
     assert cost["total_cost"] == pytest.approx(3e-6 * 0.13 + 2e-6 * 0.02)
+
+
+@pytest.mark.parametrize("cells", [35, 4_000_000])
+def test_nearest_is_exact_however_rows_are_sliced(spark, monkeypatch, cells):
+    monkeypatch.setattr(S, "DISTANCE_CELLS", cells)
+    draw = np.random.default_rng(6)
+    points = draw.integers(0, 4, (300, 2, 3)).astype(float)
+    targets = draw.integers(0, 4, (7, 2, 3)).astype(float)
+    rows = lambda some: [(k, a.tolist(), b.tolist()) for k, (a, b) in enumerate(some)]
+    schema = "sem_vec array<double>, str_vec array<double>"
+    corpus = spark.createDataFrame(rows(points), f"rec_id long, {schema}").repartition(3)
+    queries = spark.createDataFrame(rows(targets), f"query_id long, {schema}")
+    found = S.nearest(corpus, queries, 5).collect()
+    got = {(r.query_id, r.stream, r["rank"]): (r.rec_id, r.distance) for r in found}
+    for q, target in enumerate(targets):
+        for s, name in enumerate(("semantic", "structured")):
+            gaps = ((points[:, s] - target[s]) ** 2).sum(axis=1)
+            for rank, k in enumerate(np.lexsort((np.arange(300), gaps))[:5], 1):
+                assert got[q, name, rank] == (k, gaps[k])
