@@ -3,11 +3,13 @@
 A run of ``K`` characters is a closed syncmer if its smallest inner run of ``S`` characters
 (by hash; the leftmost or rightmost of equal ones) is its first or its last. Whether a run
 is one depends on nothing around it, so an edit moves no anchor outside the edited place.
-A fingerprint lists the ``SIZE`` smallest hashes of the anchors, each with the place where
-it first occurs. Two fingerprints are compared by the smallest hashes of both: an anchor
-counts as common if its places in the texts differ as most common anchors' places do. The
-share of common anchors, as an estimate of twice the common part over both texts, is the
-likeness.
+A fingerprint lists the smallest hashes of the anchors, each with the place where it first
+occurs: all of them up to ``SIZE``, beyond that ``SIZE`` and one more for every ``STEP``
+anchors, so that a long text has an anchor every few hundred characters. Two fingerprints
+are compared by the smallest hashes that both lists are sure to cover; common anchors count
+along the longest chain in which their places rise in both texts, so that text put in or
+taken out between them costs nothing else. The share of common anchors, as an estimate of
+twice the common part over both texts, is the likeness.
 
 Null texts are empty; two texts without characters have likeness 1, and one of them has
 likeness 0 with any other. A text of fewer than ``K`` characters has one anchor, itself.
@@ -19,7 +21,7 @@ are not read. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,9 +31,8 @@ from pyspark.sql.window import Window
 
 from recordloom.llm.common import by_arrow, partitions, small_batches, table, utf8, with_range
 
-K, S, SIZE = 14, 6, 32
+K, S, SIZE, STEP = 14, 6, 32, 64
 FURTHEST = 0xFFFFFF
-SLACK = 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -84,8 +85,9 @@ def fingerprint(text: str) -> str:
     """Sixteen hexadecimal digits per anchor: ten of its hash, six of its place; ascending."""
     hashes, places = anchors(text)
     hashes, first = np.unique(hashes >> np.uint64(24), return_index=True)
-    places = np.minimum(places[first[:SIZE]], FURTHEST)
-    return "".join(f"{h:010x}{p:06x}" for h, p in zip(hashes[:SIZE].tolist(), places.tolist(), strict=True))
+    size = SIZE + max(0, len(hashes) - SIZE) // STEP
+    places = np.minimum(places[first[:size]], FURTHEST)
+    return "".join(f"{h:010x}{p:06x}" for h, p in zip(hashes[:size].tolist(), places.tolist(), strict=True))
 
 
 def _listed(print_: str) -> dict[str, int]:
@@ -98,15 +100,22 @@ def likeness(a: str, b: str) -> float:
     one, two = _listed(a), _listed(b)
     if not one or not two:
         return 0.0
-    smallest = sorted(one.keys() | two.keys())[:SIZE]
-    shifts = [one[h] - two[h] for h in smallest if h in one and h in two]
-    if not shifts:
-        return 0.0
-    usual = Counter(s // SLACK for s in shifts).most_common(1)[0][0] * SLACK + SLACK // 2
-    share = sum(abs(s - usual) <= 2 * SLACK for s in shifts) / len(smallest)
+    # A list of fewer than SIZE anchors has them all.
+    covered = min((len(x) for x in (one, two) if len(x) >= SIZE), default=len(one) + len(two))
+    smallest = sorted(one.keys() | two.keys())[:covered]
+    share = chain([(one[h], two[h]) for h in smallest if h in one and h in two]) / len(smallest)
     return 2 * share / (1 + share)
 
 
+def chain(places: list[tuple[int, int]]) -> int:
+    """The most pairs of places that rise in both texts."""
+    ends: list[int] = []
+    for _, place in sorted(places, key=lambda p: (p[0], -p[1])):
+        at = bisect_left(ends, place)
+        ends[at : at + 1] = [place]
+    return len(ends)
+
+
 def edited(text: str, following: str) -> str:
     """The last quarter replaced by the first as many characters of the following text."""
     n = len(text) // 4
