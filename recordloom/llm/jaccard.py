@@ -34,6 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordloom.llm.bloom import fixed_filter, key_of, passed
 from recordloom.llm.common import by_arrow, stored, table, utf8
 from recordloom.llm.simhash import _loose_links, components, linked, loose, mixed, set_links, wide_print
 
@@ -255,15 +256,20 @@ def with_signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return by_arrow(texts, run, "doc_id long, n long, digest binary, print binary, cells array<long>")
 
 
-def token_sets(docs: DataFrame, words: int) -> DataFrame:
-    """cell, id and print (the set of tokens) of rows with a text."""
+def token_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
+    """cell, id and print (the set of tokens) of ``members`` (doc_id, id, cell).
+
+    A filter of fixed size over the members' ids keeps nearly all other texts from being shuffled.
+    """
+    blocks = docs.sparkSession.sparkContext.broadcast(fixed_filter(members, "doc_id"))
 
     def run(batches) -> Iterator[list[tuple]]:
-        for rows in rows_with_tokens(batches, words):
-            yield [(c, i, own.tobytes()) for c, i, own in rows]
+        wanted = (b.filter(pa.array(passed(blocks.value, b.column(0).to_numpy().view(np.uint64)))) for b in batches)
+        for rows in rows_with_tokens(wanted, words):
+            yield [(doc_id, own.tobytes()) for _, doc_id, own in rows]
 
-    texts = docs.select("cell", "id", utf8(F.col("text")).alias("text"))
-    return by_arrow(texts, run, "cell long, id long, print binary")
+    texts = docs.where("doc_id is not null").select(key_of("doc_id").alias("key"), "doc_id", utf8(F.col("text")).alias("text"))
+    return by_arrow(texts, run, "doc_id long, print binary").join(members, "doc_id").select("cell", "id", "print")
 
 
 def similar_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -285,8 +291,7 @@ def similar_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     groups = components(linked(rows, loose(percent / 100), _loose_links))
     members = groups.union(groups.select(F.col("component").alias("id"), "component").distinct())
     members = members.select(F.col("id").alias("doc_id"), "id", F.col("component").alias("cell"))
-    texts = docs.select("doc_id", "text").join(members, "doc_id")
-    found = components(set_links(stored(token_sets(texts, words)), percent / 100))
+    found = components(set_links(stored(token_sets(docs, stored(members), words)), percent / 100))
     classes = one.select("digest", "id").join(found, "id", "left")
     classes = classes.select("digest", F.coalesce("component", "id").alias("class"))
     return signed.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(classes, "digest", "left").select(

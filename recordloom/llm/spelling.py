@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm.common import by_arrow, partitions, stored, table
+from recordloom.llm.bloom import bits_of, blocks_of
+from recordloom.llm.common import partitions, stored, table
 from recordloom.llm.simhash import mixed
 
 FILTER_BYTES = 64_000_000
@@ -40,7 +41,6 @@ LETTERS = "[A-Za-zÀ-ÿ]"
 BASE = 0x9E3779B97F4A7C15
 INVERSE = np.uint64(pow(BASE, -1, 1 << 64))
 MIX = np.uint64(0xD6E8FEB86659FD93)
-ONE, SIX_BITS = np.uint64(1), np.uint64(63)
 
 
 def final(raw: np.ndarray, length: int) -> np.ndarray:
@@ -68,18 +68,6 @@ def word_keys(words: list[str], length: int) -> np.ndarray:
     return final((letter_hashes(code_points(words, length)) * powers(length)).sum(1), length)
 
 
-def bits_of(keys: np.ndarray) -> np.ndarray:
-    """The four bits of a key within its block; the block is that of the upper half."""
-    out = ONE << (keys & SIX_BITS)
-    for shift in (6, 12, 18):
-        out |= ONE << ((keys >> np.uint64(shift)) & SIX_BITS)
-    return out
-
-
-def blocks_of(keys: np.ndarray, blocks: int) -> np.ndarray:
-    return (((keys >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)).astype(np.int64)
-
-
 class Shard:
     """The filter of the words of one length, or of those of its slices that a pass holds."""
 
