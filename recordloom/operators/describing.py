@@ -49,7 +49,7 @@ def batch_prompts(
     row_json = X.json_text(F.col("json_data"))
     member = F.struct("row_number", row_json.alias("row_json"))
     blocks = F.transform(
-        F.array_sort(F.collect_list(member)),
+        F.sort_array(F.collect_list(member)),
         lambda m, i: F.concat(F.lit("\n--- Row "), (i + 1).cast("string"), F.lit(" ---\n"), m["row_json"]),
     )
     return (

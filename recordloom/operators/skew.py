@@ -67,7 +67,7 @@ def nested_lists(
         item_chunk(dealt_by, F.coalesce("_chunks", F.lit(1)).cast("bigint")).alias("chunk"),
         item.alias("_item"),
     )
-    gathered = F.array_sort(F.collect_list("_item")).alias(result)
+    gathered = F.sort_array(F.collect_list("_item")).alias(result)
     if everyone is None:
         return items.groupBy(*keys, "chunk").agg(gathered)
     # Listed keys join the exchange as rows without an item, one for each of their chunks.
