@@ -11,8 +11,10 @@ row.
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -28,6 +30,7 @@ from recordloom.sinks import envelopes as E
 from recordloom.sources.delimited import folder_files, list_files, read_files, read_typed
 
 ROW = ["source_file", "row_number"]
+CLOCK = "started timestamp, seconds double"
 MODES = ("auto", "simple", "optimized", "folder")
 OUTPUT_MODES = ("separate", "consolidated")
 
@@ -41,18 +44,46 @@ class Job:
     # Every outcome of every run, and the latest one of each row.
     ledger: DataFrame
     outcomes: DataFrame
+    # When each run started and the seconds it took; None for one that was killed before it said so.
+    clock: DataFrame
     unreadable: Mapping[str, str] = field(default_factory=dict)
+    # File name → rows per call.
+    sizes: Mapping[str, int] = field(default_factory=dict)
 
     @property
     def file_results(self) -> DataFrame:
-        """The results per file, with the calls of all runs."""
+        """The results per file, with the calls of all runs and the mode the file was last processed in."""
         results = summarizing.file_results(self.outcomes, self.unreadable)
         calls = self.ledger.groupBy("source_file").agg(F.sum("calls").alias("_calls"))
-        return results.join(calls, "source_file", "left").withColumn("calls", F.coalesce("_calls", "calls")).drop("_calls")
+        results = results.join(calls, "source_file", "left").withColumn("calls", F.coalesce("_calls", "calls")).drop("_calls")
+        # As many rows as there are files.
+        sizes = self.outcomes.sparkSession.createDataFrame(list(self.sizes.items()), "source_file string, batch_size int")
+        mode = F.when(F.col("batch_size") == 1, "simple").when(F.col("batch_size") > 1, "optimized")
+        return results.join(sizes, "source_file", "left").withColumn("mode", mode)
+
+    @property
+    def run_results(self) -> DataFrame:
+        """For each run: rows it dealt with, calls, seconds, rows per second and per call."""
+        dealt = self.ledger.groupBy("run").agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("status").isin(summarizing.PROCESSED)).alias("processed_rows"),
+            F.sum("calls").alias("calls"),
+        )
+        return self.clock.join(dealt, "run", "left").select(
+            "run",
+            "started",
+            "seconds",
+            *[F.coalesce(c, F.lit(0)).alias(c) for c in ("rows", "processed_rows", "calls")],
+            summarizing.rows_per_second(F.coalesce("processed_rows", F.lit(0)), F.col("seconds")).alias("rows_per_second"),
+            P.ratio(F.coalesce("processed_rows", F.lit(0)), F.col("calls")).alias("rows_per_call"),
+        )
 
     @property
     def totals(self) -> DataFrame:
-        return summarizing.folder_totals(self.file_results)
+        """The totals over all files, with the seconds of all runs."""
+        seconds = self.clock.agg(F.coalesce(F.sum("seconds"), F.lit(0.0))).first()[0]
+        totals = summarizing.folder_totals(self.file_results).withColumn("seconds", F.lit(seconds))
+        return totals.withColumn("rows_per_second", summarizing.rows_per_second(F.col("processed_rows"), F.col("seconds")))
 
 
 def _files(spark: SparkSession, folder: str):
@@ -188,14 +219,17 @@ def process_to(
             parts.append(process_table(rows, sizes[key], describer, on_error))
         if not parts:
             break
-        folder = f"{output}/outcomes/run={max(committed_runs(spark, output), default=-1) + 1}"
+        number, started, clock = max(committed_runs(spark, output), default=-1) + 1, datetime.now(UTC), time.monotonic()
+        folder = f"{output}/outcomes/run={number}"
         union_records(parts).write.mode("overwrite").parquet(folder)
+        took = spark.createDataFrame([(started, time.monotonic() - clock)], CLOCK)
+        took.write.mode("overwrite").parquet(f"{output}/clock/run={number}")
         if on_error == "stop" and last is not None:
             # As many names as there are files; their later rows wait for the next call.
             failed = spark.read.parquet(folder).filter(F.col("status") == "failed")
             stopped |= {r["source_file"] for r in failed.select("source_file").distinct().collect()}
-    job = read_job(spark, output, unreadable)
-    write_outputs(job, {names[key]: size for key, size in sizes.items()}, output_mode)
+    job = read_job(spark, output, unreadable, {names[key]: size for key, size in sizes.items()})
+    write_outputs(job, output_mode)
     return job
 
 
@@ -213,27 +247,32 @@ def _stretches(lengths: Mapping[str, int], rows_per_commit: int | None) -> list[
     return [(at + 1, at + rows_per_commit) for at in range(0, most, rows_per_commit)]
 
 
-def read_job(spark: SparkSession, output: str, unreadable: Mapping[str, str] | None = None) -> Job:
+def read_job(
+    spark: SparkSession, output: str, unreadable: Mapping[str, str] | None = None, sizes: Mapping[str, int] | None = None
+) -> Job:
     """The state of an output folder: its committed runs and the latest outcome of every row."""
-    outcomes = ledger(spark, output)
+    outcomes, runs = ledger(spark, output), committed_runs(spark, output)
     if outcomes is None:
         raise FileNotFoundError(f"no committed run in {output}")
-    return Job(output, committed_runs(spark, output), outcomes, latest(outcomes), dict(unreadable or {}))
+    numbers = spark.createDataFrame([(n,) for n in runs], "run int")
+    path, files = _files(spark, f"{output}/clock")
+    clock = spark.createDataFrame([], f"{CLOCK}, run int")
+    if files.exists(path):
+        clock = spark.read.schema(f"{CLOCK}, run int").parquet(f"{output}/clock")
+    return Job(output, runs, outcomes, latest(outcomes), numbers.join(clock, "run", "left"), dict(unreadable or {}), dict(sizes or {}))
 
 
-def write_outputs(job: Job, sizes: Mapping[str, int], output_mode: str = "separate") -> None:
-    """Records, failed rows and the summary of the latest outcomes, in place of earlier ones.
-
-    ``sizes``: rows per call by file name, for the metadata of the envelopes.
-    """
+def write_outputs(job: Job, output_mode: str = "separate") -> None:
+    """Records, failed rows, results per run and the summary of the latest outcomes, in place of earlier ones."""
     done = job.outcomes.filter(F.col("status").isin(summarizing.PROCESSED))
     lost = job.outcomes.filter(F.col("status") == "failed")
     if output_mode == "separate":
-        size = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])[F.col("source_file")]
+        size = F.create_map(*[F.lit(x) for pair in job.sizes.items() for x in pair])[F.col("source_file")]
         E.write_envelopes(E.envelopes(job.outcomes, size), f"{job.output}/processed", "overwrite")
     else:
         fields = [*ROW, "source_type", "json_data", "semantic_statement", "combined_text"]
         E.write_consolidated(done.select(*fields), f"{job.output}/consolidated", "overwrite")
     failed = lost.select(*ROW, "error_type", "error_message", "retry_count", F.col("json_data").alias("row_data"))
     E.write_json(failed, f"{job.output}/failed", "overwrite")
+    E.write_json(job.run_results, f"{job.output}/summary/runs", "overwrite")
     E.write_summary(job.file_results, job.totals, f"{job.output}/summary", "overwrite")

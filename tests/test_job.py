@@ -59,6 +59,10 @@ def test_stopped_run_goes_on_where_it_ended(spark, folder, tmp_path):
     assert (totals.total_rows, totals.processed_rows, totals.failed_files) == (49, 49, 0)
     # Calls of both runs: two stretches and the batch that failed, then eight batches; one for the vendors.
     assert totals.total_calls == 2 + 1 + 8 + 1
+    runs = {r.run: r for r in second.run_results.collect()}
+    assert [(runs[k].rows, runs[k].processed_rows, runs[k].calls) for k in (0, 1, 2)] == [(12, 12, 3), (10, 0, 1), (37, 37, 8)]
+    assert all(r.seconds > 0 and r.started for r in runs.values()) and runs[2].rows_per_second > 0
+    assert totals.seconds == pytest.approx(sum(r.seconds for r in runs.values()))
 
 
 def test_part_of_a_killed_run_does_not_count(spark, folder, tmp_path):
@@ -70,6 +74,10 @@ def test_part_of_a_killed_run_does_not_count(spark, folder, tmp_path):
     assert job.ledger(spark, str(output)).count() == 2
     done = job.process_to(spark, str(folder), str(output), mode="optimized")
     assert done.runs == [0, 1] and done.outcomes.count() == 49
+    # A run that was killed before it noted its time still counts.
+    shutil.rmtree(output / "clock" / "run=0")
+    again = job.read_job(spark, str(output))
+    assert {r.run: r.seconds is None for r in again.run_results.collect()} == {0: True, 1: False}
 
 
 def test_failed_rows_are_kept_or_tried_again(spark, folder, tmp_path):
@@ -85,6 +93,8 @@ def test_failed_rows_are_kept_or_tried_again(spark, folder, tmp_path):
     assert [r["row_data"]["Name"] for r in listed] == ["Pump 30"]
     files = {r.source_file: r for r in spark.read.json(f"{output}/summary/files").collect()}
     assert (files["Pumps.csv"].processed_rows, files["Pumps.csv"].failed_rows) == (46, 1)
+    assert (files["Pumps.csv"].mode, files["Pumps.csv"].batch_size) == ("optimized", 10)
+    assert spark.read.json(f"{output}/summary/runs").count() == 3
     envelope = spark.read.json(f"{output}/processed").filter("processed = 'Pumps_processed.json'").first()
     assert (envelope.metadata.total_records, envelope.metadata.failed_records, envelope.metadata.batch_size) == (46, 1, 10)
 
