@@ -337,6 +337,36 @@ def process_folder(spark, sf):
     return run.totals.withColumn("rows_per_call", F.round("rows_per_call", 6))
 
 
+@query(
+    """SELECT 'orders' AS entity, count(*) AS total_rows, count(*) AS processed_rows, true AS several_files,
+         CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders
+       UNION ALL SELECT 'customer', count(*), count(*), true, CAST(sum(c_custkey) AS BIGINT) FROM customer"""
+)
+def folder_of_parts(spark, sf):
+    """Tables in many files each, processed as one entity each: results per file, summed up."""
+    from recordloom.catalog.ingestion import PART_NAME, place_parts
+
+    def write(folder):
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        for name, key in (("orders", "o_orderkey"), ("customer", "c_custkey")):
+            cells = _dated(plain(spark, sf, name))
+            _csv(cells.repartitionByRange(parts, key), f"{folder}/staged/{name}")
+            place_parts(spark, f"{folder}/staged/{name}", f"{folder}/inbox", name)
+
+    folder = _filled(spark, "parts", write)
+    run = processing.process_folder(spark, f"{folder}/inbox", entity_pattern=PART_NAME)
+    entity_of = F.regexp_extract("source_file", PART_NAME, 1).alias("entity")
+    data = F.col("json_data")
+    key = F.coalesce(F.element_at(data, "o_orderkey"), F.element_at(data, "c_custkey")).cast("bigint")
+    keys = run.outcomes.groupBy(entity_of).agg(F.sum(key).alias("keys"))
+    results = run.file_results.groupBy(entity_of).agg(
+        F.sum("total_rows").alias("total_rows"),
+        F.sum("processed_rows").alias("processed_rows"),
+        (F.count(F.lit(1)) > 1).alias("several_files"),
+    )
+    return results.join(keys, "entity")
+
+
 # Bytes of a file of the folder: its header and, for each row, its cells and separators.
 _SIZED_SQL = "sized AS (" + " UNION ALL ".join(
     f"SELECT '{k}.csv' AS source_file, count(*) AS n, (sum("

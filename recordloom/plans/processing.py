@@ -90,11 +90,12 @@ def process_folder(
     pattern: str = "*.csv",
     schemas: Mapping[str, T.StructType] | None = None,
     multi_line: bool | None = None,
+    entity_pattern: str | None = None,
     **options,
 ) -> Run:
     """All files of a folder; one that cannot be read is a failed file of the run, not its end."""
     unreadable: dict[str, str] = {}
-    tables = read_folder(spark, folder, pattern, True, schemas, multi_line, unreadable)
+    tables = read_folder(spark, folder, pattern, True, schemas, multi_line, unreadable, entity_pattern)
     if not tables:
         raise FileNotFoundError(f"no readable {pattern} in {folder} {unreadable or ''}")
     return process_tables(tables, unreadable=unreadable, **options)

@@ -167,15 +167,18 @@ def read_folder(
     schemas: Mapping[str, T.StructType] | None = None,
     multi_line: bool | None = None,
     errors: dict[str, str] | None = None,
+    entity_pattern: str | None = None,
 ) -> dict[str, DataFrame]:
     """One DataFrame per file of the folder, keyed by entity type (the file stem), in name order.
 
     Files of one stem and different endings are keyed by their whole names. Entities
-    differ in schema, so each is its own scan; the driver only sees the file list.
+    differ in schema, so each is its own scan; the driver only sees the file list. Many
+    files of one entity, told by ``entity_pattern`` as in ``folder_files``, are one scan.
     ``schemas`` by stem and ``multi_line`` spare lookups over large files. A file that
     cannot be read ends the call, or is listed in ``errors`` (name → message) if given.
     """
-    return read_files(spark, folder_files(list_files(spark, folder, pattern)), typed, schemas, multi_line, errors)
+    files = folder_files(list_files(spark, folder, pattern), entity_pattern)
+    return read_files(spark, files, typed, schemas, multi_line, errors)
 
 
 def read_whitelist(
