@@ -281,6 +281,7 @@ def similar_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """
     if not 50 < percent <= 100:
         raise ValueError("percent must be over 50")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stored(with_signatures(docs, words, percent))
     one = signed.where("n > 0 and doc_id is not null").groupBy("digest")
     one = stored(one.agg(F.min("doc_id").alias("id"), F.first("print").alias("print"), F.first("cells").alias("cells")))
