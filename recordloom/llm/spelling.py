@@ -34,7 +34,7 @@ from recordloom.llm.simhash import mixed
 
 FILTER_BYTES = 64_000_000
 # Words of a slice, and bits that a filter has for each.
-SLICE_WORDS, BITS = 1 << 16, 24
+SLICE_WORDS, BITS = 1 << 13, 24
 # Code points whose edits are generated at once.
 CHUNK = 1 << 17
 LETTERS = "[A-Za-zÀ-ÿ]"
