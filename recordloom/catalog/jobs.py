@@ -67,7 +67,7 @@ def job_outputs(spark, sf):
     job.process_to(spark, folder, output, **settings)
     job.process_to(spark, folder, output, **settings, retry_failed=False)
     files = spark.read.json(f"{output}/summary/files")
-    lost = spark.read.json(f"{output}/failed").groupBy("source_file").agg(F.count(F.lit(1)).alias("lost"))
+    lost = spark.read.schema("source_file string").json(f"{output}/failed").groupBy("source_file").agg(F.count(F.lit(1)).alias("lost"))
     records = read_processed(spark, f"{output}/processed").groupBy("source_type").agg(F.count(F.lit(1)).alias("listed_records"))
     found = files.withColumn("source_type", F.regexp_replace("source_file", r"\.csv$", "")).join(records, "source_type", "left")
     return found.join(lost, "source_file", "left").select(
