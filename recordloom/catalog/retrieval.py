@@ -273,7 +273,8 @@ ENCODERS = (hashing_encoder(DIMENSIONS), hashing_encoder(DIMENSIONS, "field "))
 
 
 def entity_index(spark, sf):
-    return build_search_index(entity_records(spark, sf), *ENCODERS)
+    """The tables are a file each, the largest with most of the rows."""
+    return build_search_index(entity_records(spark, sf), *ENCODERS, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 @query(
