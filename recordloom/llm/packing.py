@@ -1,7 +1,7 @@
 """Operator 2: best-fit packing of token pieces into sequences, improved by local search.
 
-Documents longer than a sequence are cut into full pieces and a last, shorter one. Full
-pieces are sequences by themselves. The others are dealt at random to shards of a bounded
+Documents longer than a sequence are cut into a first piece, which may be shorter, and full
+ones after it. Full pieces are sequences by themselves. The others are dealt at random to shards of a bounded
 number of pieces; a shard is packed best-fit, longest piece first, and then improved: a
 fuller sequence takes a piece from an emptier one, or swaps one of its pieces for one or
 two longer ones of it. Each such exchange raises the sum of the squared fills, and emptied
@@ -29,7 +29,7 @@ SHARD_PIECES = 16_384
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFrame:
-    """The pieces of at most ``size`` ids that each text and its end id are cut into."""
+    """The pieces of ``size`` ids, the first maybe shorter, that each text and its end id are cut into."""
 
     def cut(batches) -> Iterator[list[tuple]]:
         encoder, end = Encoder(tokenizer), end_id.to_bytes(4, "little")
@@ -37,8 +37,11 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFrame
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 ids = encoder.encode(text) + end
-                for k, at in enumerate(range(0, len(ids), 4 * size)):
-                    part = ids[at : at + 4 * size]
+                # What full pieces leave over comes first; ids take four bytes.
+                first = len(ids) % (4 * size) or 4 * size
+                for k, end_at in enumerate(range(first, len(ids) + 1, 4 * size)):
+                    at = max(0, end_at - 4 * size)
+                    part = ids[at:end_at]
                     out.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)))
             yield out
 

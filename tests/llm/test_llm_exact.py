@@ -96,6 +96,18 @@ def test_packing(spark, docs):
     assert len(places) <= -(-sum(map(len, ids.values())) // 1024) + 2
 
 
+@pytest.mark.parametrize("n", [1, 1023, 1024, 1025, 2048, 2500, 4097])
+def test_only_the_first_piece_is_shorter(spark, n):
+    # One id for each " a", and the end id.
+    rows = spark.createDataFrame([(7, " a" * (n - 1))], "doc_id long, text string")
+    cut = packing.pieces(rows, public_tokenizers.path("byte_bpe_50k.json"), 2, 1024).collect()
+    full = (n - 1) // 1024
+    starts = [0, *range(n - 1024 * full, n, 1024)]
+    assert [(r.piece, r.start, r.length) for r in sorted(cut)] == [
+        (k, at, end - at) for k, (at, end) in enumerate(zip(starts, [*starts[1:], n], strict=True))
+    ]
+
+
 def test_exchanges_empty_bins():
     draw = np.random.default_rng(5)
     for _ in range(5):
