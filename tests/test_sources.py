@@ -12,6 +12,7 @@ from recordloom.operators.records import build_records
 from recordloom.plans import processing
 from recordloom.sinks import envelopes as E
 from recordloom.sources import delimited as D
+from recordloom.sources.columnar import read_table
 from recordloom.streaming.incremental import ingest, ingested
 
 
@@ -235,3 +236,22 @@ def test_files_of_one_entity_are_read_together(spark, tmp_path):
     assert sorted((r.source_file, r.row_number, r.k) for r in rows) == [
         (f"pump-{p}.csv", i + 1, 10 * p + i) for p in range(3) for i in range(4)
     ]
+
+
+def test_parts_of_a_parquet_folder_count_on(spark, tmp_path):
+    from recordloom.catalog import QUERIES
+
+    turns = [(c, t, ("system", "user", "assistant")[t], f"turn {c}.{t}") for c in range(15) for t in range(3)]
+    for k in range(3):
+        part = spark.createDataFrame(turns[15 * k : 15 * k + 15], "conv_id long, turn int, role string, text string")
+        part.coalesce(1).write.parquet(f"{tmp_path}/written/{k}")
+        (tmp_path / "conversations.parquet").mkdir(exist_ok=True)
+        (found,) = (tmp_path / "written" / str(k)).glob("part-*.parquet")
+        (tmp_path / "conversations.parquet" / f"part-{k}.parquet").write_bytes(found.read_bytes())
+    rows = read_table(spark, f"{tmp_path}/conversations.parquet", "conversations").orderBy("conv_id", "turn").collect()
+    assert [r["row_number"] for r in rows] == list(range(1, 46))
+    assert {r["source_file"] for r in rows} == {"conversations.parquet"}
+    # A batch that goes on in the next file is one batch, and no position is taken twice.
+    answered = QUERIES["parse_responses"](spark, str(tmp_path)).collect()
+    places = sorted((r["batch_id"], r["position"]) for r in answered)
+    assert places == [(n // 8, n % 8 + 1) for n, t in enumerate(turns) if t[2] != "assistant"]
