@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 
 from recordloom.functions import text as X
 from recordloom.operators.numbering import batch_id
-from recordloom.operators.skew import lookup_join
 from recordloom.session import written
 
 Describer = Callable[[list[dict]], list[str]]
@@ -245,7 +244,8 @@ def _booked(outcomes: list[tuple], calls: int) -> list[tuple]:
 def _stopped(described: DataFrame) -> DataFrame:
     failures = described.filter(F.col("status") == "failed")
     first = failures.groupBy("source_file").agg(F.min("batch_id").alias("_stop"))
-    joined = lookup_join(described, first, ["source_file"], "left")
+    # One row per file at most: sent whole, so that the rows of a large file stay spread.
+    joined = described.join(F.broadcast(first), "source_file", "left")
     later = F.col("batch_id") > F.col("_stop")
     never_tried = {c: F.when(~F.coalesce(later, F.lit(False)), F.col(c)) for c in ("statement", "error_type", "error_message")}
     zeroed = {c: F.when(later, F.lit(0)).otherwise(F.col(c)) for c in ("calls", "retry_count")}

@@ -8,6 +8,7 @@ from recordloom.operators import describing as D
 from recordloom.operators import mapping as M
 from recordloom.operators import numbering as N
 from recordloom.operators import profiling as G
+from recordloom.operators import records as O
 from recordloom.operators import searching as S
 from recordloom.operators import summarizing as Z
 from recordloom.operators.embedding import embedded, hashing_encoder
@@ -394,3 +395,38 @@ def test_nearest_is_exact_however_rows_are_sliced(spark, monkeypatch, cells):
             gaps = ((points[:, s] - target[s]) ** 2).sum(axis=1)
             for rank, k in enumerate(np.lexsort((np.arange(300), gaps))[:5], 1):
                 assert got[q, name, rank] == (k, gaps[k])
+
+
+def exchanges_by_file(rows) -> int:
+    """Exchanges of the rows that have ``json_data`` by their file alone."""
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    return plan.count("hashpartitioning(source_file")
+
+
+@pytest.fixture()
+def no_guessing(spark):
+    """Joins as they are written: nothing is sent whole because it happens to be small."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def test_ordinals_leave_records_where_they_are(spark, no_guessing):
+    rows = spark.range(1, 5).select(F.lit("a.csv").alias("source_file"), F.col("id").alias("row_number"))
+    rows = rows.unionByName(spark.range(1, 3).select(F.lit("b.csv").alias("source_file"), F.col("id").alias("row_number")))
+    numbered = O.with_ordinal(rows)
+    # One exchange counts the rows of each file.
+    assert exchanges_by_file(numbered) == 1
+    assert sorted(r["ordinal"] for r in numbered.collect()) == list(range(6))
+
+
+def test_stopping_leaves_described_rows_where_they_are(spark, no_guessing):
+    rows = records(spark, {"a": 9, "b": 4})
+    done = D.describe(rows, refusing(5), 2, "stop")
+    assert exchanges_by_file(done) == 1
+    status = {(r["source_file"], r["row_number"]): r["status"] for r in done.collect()}
+    assert [status["a.csv", n] for n in range(1, 10)] == ["ok"] * 4 + ["failed"] * 2 + ["pending"] * 3
+    assert {status["b.csv", n] for n in range(1, 5)} == {"ok"}
