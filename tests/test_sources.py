@@ -255,3 +255,13 @@ def test_parts_of_a_parquet_folder_count_on(spark, tmp_path):
     answered = QUERIES["parse_responses"](spark, str(tmp_path)).collect()
     places = sorted((r["batch_id"], r["position"]) for r in answered)
     assert places == [(n // 8, n % 8 + 1) for n, t in enumerate(turns) if t[2] != "assistant"]
+
+
+def test_mapping_is_written_compressed(spark, monkeypatch):
+    from recordloom.catalog import QUERIES
+
+    folders, write = [], E.write_json
+    monkeypatch.setattr(E, "write_json", lambda rows, folder, *a, **k: (folders.append(folder), write(rows, folder, *a, **k)))
+    assert QUERIES["mapping_json_roundtrip"](spark, "/root/testdata/sf0.001").count() > 0
+    files = spark.read.format("binaryFile").load(folders).select("path").collect()
+    assert files and all(r["path"].endswith(".json.gz") for r in files)
