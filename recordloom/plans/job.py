@@ -26,6 +26,7 @@ from recordloom.operators import profiling, summarizing
 from recordloom.operators.describing import Describer
 from recordloom.operators.records import rename_headers, union_records
 from recordloom.plans.processing import file_modes, process_table
+from recordloom.session import fresh_folder
 from recordloom.sinks import envelopes as E
 from recordloom.sources.delimited import folder_files, list_files, read_files, read_typed
 
@@ -190,8 +191,8 @@ def process_to(
 
     ``mode``: ``simple`` (one row per call), ``optimized`` (``batch_size`` rows), ``auto``
     (chosen per file) or ``folder`` (as optimized). ``rows_per_commit`` commits the ledger
-    after so many rows of each file, which bounds what a killed run loses; each commit
-    reads the files again. ``output_mode``: ``separate`` envelopes per source, or one
+    after so many rows of each file, which bounds what a killed run loses; the files are
+    read once and kept by commit until the session ends. ``output_mode``: ``separate`` envelopes per source, or one
     ``consolidated`` table of records with their source.
     """
     if mode not in MODES or output_mode not in OUTPUT_MODES:
@@ -205,21 +206,24 @@ def process_to(
         tables = {key: rename_headers(t, header_mapping) for key, t in tables.items()}
     # The stretches of one call do not overlap, so only what earlier calls did has to be left out.
     earlier = ledger(spark, output)
+    if rows_per_commit:
+        tables = {key: _by_commit(t, rows_per_commit) for key, t in tables.items()}
     lengths = _lengths(tables) if rows_per_commit else {}
     stopped: set[str] = set()
+    number = max(committed_runs(spark, output), default=-1)
     for first, last in _stretches(lengths, rows_per_commit):
         parts = []
         for key, table in tables.items():
             if names[key] in stopped or first > max(1, lengths.get(key, 1)):
                 continue
-            rows = table if last is None else table.filter(F.col("row_number").between(first, last))
+            rows = table if last is None else table.filter(F.col("_commit") == (first - 1) // rows_per_commit).drop("_commit")
             if earlier is not None:
                 # The rows on the left: a hot file's rows are split, and a short ledger is sent whole.
-                rows = rows.join(settled(earlier, retry_failed).select(*ROW), ROW, "left_anti").select(*table.columns)
+                rows = rows.join(settled(earlier, retry_failed).select(*ROW), ROW, "left_anti").select(*rows.columns)
             parts.append(process_table(rows, sizes[key], describer, on_error))
         if not parts:
             break
-        number, started, clock = max(committed_runs(spark, output), default=-1) + 1, datetime.now(UTC), time.monotonic()
+        number, started, clock = number + 1, datetime.now(UTC), time.monotonic()
         folder = f"{output}/outcomes/run={number}"
         union_records(parts).write.mode("overwrite").parquet(folder)
         took = spark.createDataFrame([(started, time.monotonic() - clock)], CLOCK)
@@ -233,6 +237,15 @@ def process_to(
     return job
 
 
+def _by_commit(table: DataFrame, rows_per_commit: int) -> DataFrame:
+    """``table`` stored by the commit that its rows are part of, so that a commit reads its own rows only."""
+    folder = fresh_folder(table.sparkSession, "commits")
+    placed = table.withColumn("_commit", F.floor((F.col("row_number") - 1) / rows_per_commit))
+    # By ranges of rows: a commit is in few files, and one of many rows in several.
+    placed.repartitionByRange("row_number").write.partitionBy("_commit").parquet(folder)
+    return table.sparkSession.read.schema(placed.schema).parquet(folder)
+
+
 def _lengths(tables: Mapping[str, DataFrame]) -> dict[str, int]:
     """The number of rows of every table, a number per file."""
     counts = [t.agg(F.lit(key).alias("key"), F.max("row_number").alias("n")) for key, t in tables.items()]

@@ -134,3 +134,21 @@ def test_command_line(spark, folder, tmp_path, capsys):
     main(["search", index, "Pump 31", "--alpha", "0.7", "-k", "3"])
     shown = capsys.readouterr().out
     assert "Pumps.csv" in shown and "optimized (batch_size=5)" in shown and "EQ-" in shown
+
+
+def test_a_commit_reads_its_own_rows_only(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("ID,Name\n" + "".join(f"{n},name {n}\n" for n in range(1, 26)))
+    plans, process = [], job.process_table
+
+    def watched(rows, *settings):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return process(rows, *settings)
+
+    monkeypatch.setattr(job, "process_table", watched)
+    done = job.process_to(spark, str(tmp_path / "in"), str(tmp_path / "out"), mode="optimized", batch_size=5, rows_per_commit=10)
+    assert [(r["run"], r["row_number"]) for r in done.outcomes.orderBy("row_number").collect()] == [
+        ((n - 1) // 10, n) for n in range(1, 26)
+    ]
+    assert len(plans) == 3
+    assert all("csv" not in p and "PartitionFilters: [isnotnull(_commit" in p for p in plans)
