@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from recordloom.llm.common import by_arrow, partitions, shared_folder, small_batches, table, utf8, with_range
-from recordloom.llm.tokens import Encoder
+from recordloom.llm.tokens import encoder_of
 
 MAGIC = b"IDP1"
 KINDS = {"byte": 1, "bit": 2}
@@ -83,7 +83,7 @@ def write_ids(
     n = shards or partitions(docs.sparkSession)
 
     def chunks(batches) -> Iterator[list[tuple]]:
-        encoder, end = Encoder(tokenizer), struct.pack("<I", end_id)
+        encoder, end = encoder_of(tokenizer), struct.pack("<I", end_id)
         shard, chunk, done, buffer, starts = None, 0, 0, bytearray(), []
 
         def flush(size: int):

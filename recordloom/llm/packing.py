@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm.common import by_arrow, small_batches, stored, table, utf8
-from recordloom.llm.tokens import Encoder
+from recordloom.llm.tokens import encoder_of
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 SHARD_PIECES = 16_384
@@ -32,7 +32,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFrame
     """The pieces of ``size`` ids, the first maybe shorter, that each text and its end id are cut into."""
 
     def cut(batches) -> Iterator[list[tuple]]:
-        encoder, end = Encoder(tokenizer), end_id.to_bytes(4, "little")
+        encoder, end = encoder_of(tokenizer), end_id.to_bytes(4, "little")
         for batch in small_batches(batches):
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):

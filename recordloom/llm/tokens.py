@@ -2,9 +2,9 @@
 
 The library cuts a text into words before it looks for merges, so the ids of a text are
 those of its words, one after another. Here the words are cut with the file's own rule,
-and the library's model encodes each distinct word once and keeps it in the task. Texts
-with special tokens, with U+001C to U+001F or with letters past Latin Extended-B go to the
-library as they are.
+and the library's model encodes each distinct word once and keeps it in the Python worker,
+which runs many tasks. Texts with special tokens, with U+001C to U+001F or with letters
+past Latin Extended-B go to the library as they are.
 """
 
 from __future__ import annotations
@@ -13,8 +13,9 @@ import json
 import os
 import re
 from array import array
+from functools import lru_cache
 
-# Words and space-separated units that a task keeps; past them it starts anew.
+# Words and space-separated units that a worker keeps per file; past them it starts anew.
 KEPT_WORDS, KEPT_UNITS = 500_000, 700_000
 # Letters and numbers up to U+024F, and the word rules of the two kinds of files.
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
@@ -59,10 +60,15 @@ class Encoder:
             self.kind, self.rule = "bare", re.compile(BARE_WORDS)
 
     def _word(self, word: str) -> bytes:
-        shown = word if word.isascii() and word.isalnum() else word.encode().decode("latin-1").translate(self.letters)
+        if word.isascii() and word.isprintable():  # of these only the space has another letter
+            shown = word.replace(" ", self.letters[32])
+        else:
+            shown = "".join(map(self.letters.__getitem__, word.encode()))
         return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def _unit(self, unit: str) -> bytes:
+        if unit.isascii() and (unit[1:] if unit[0] == " " else unit).isalpha():  # one word by either rule
+            return self.words.get(unit) or self._word(unit)
         out = []
         for word in self.rule.findall(unit):
             ids = self.words.get(word)
@@ -104,3 +110,9 @@ class Encoder:
             for unit in set(units).difference(known):
                 known[unit] = self._unit(unit)
             return b"".join(map(known.__getitem__, units))
+
+
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> Encoder:
+    """The worker's one encoder of a tokenizer file: a task finds the words that earlier ones have met."""
+    return Encoder(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import zlib
 from array import array
@@ -10,12 +11,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from llm_rows import PROSE, SCHEMA
 from tokenizers import Tokenizer
 
-from recordloom.llm import binary_ids, licenses, packing, repeats, secrets, simhash, syncmers
+from recordloom.llm import binary_ids, licenses, packing, repeats, secrets, simhash, syncmers, tokens
 from recordloom.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -108,6 +110,21 @@ def test_only_the_first_piece_is_shorter(spark, n):
     ]
 
 
+def test_tasks_of_a_worker_share_an_encoder(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+
+    def run(batches):
+        for batch in batches:
+            encoder = tokens.encoder_of(path)
+            known = len(encoder.units)
+            encoder.encode("some words of a text")
+            yield pa.RecordBatch.from_pydict({"worker": [os.getpid()], "known": [known]})
+
+    found = spark.range(0, 16, 1, 16).mapInArrow(run, "worker long, known long").collect()
+    # Only the first task of a worker, if any, finds the encoder empty.
+    assert sum(r["known"] == 0 for r in found) <= len({r["worker"] for r in found}) < 16
+
+
 def test_exchanges_empty_bins():
     draw = np.random.default_rng(5)
     for _ in range(5):
