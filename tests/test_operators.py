@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from recordloom.operators import describing as D
@@ -9,6 +10,7 @@ from recordloom.operators import mapping as M
 from recordloom.operators import numbering as N
 from recordloom.operators import profiling as G
 from recordloom.operators import records as O
+from recordloom.operators import resolving as R
 from recordloom.operators import searching as S
 from recordloom.operators import summarizing as Z
 from recordloom.operators.embedding import embedded, hashing_encoder
@@ -224,6 +226,16 @@ def test_encoder_is_reproducible_and_whole_text(spark):
     assert first[4] != first[5]
 
 
+def test_encoder_keeps_a_bounded_number_of_words():
+    encode = hashing_encoder(16)()
+    buckets = next(c.cell_contents for c in encode.__closure__ if isinstance(c.cell_contents, dict))
+    most = 0
+    for k in range(40):
+        encode([" ".join(f"w{k}x{i}" for i in range(10_000))])
+        most = max(most, len(buckets))
+    assert most <= 120_000
+
+
 def test_index_and_text_search(spark):
     rows = spark.createDataFrame(
         [
@@ -264,6 +276,22 @@ def test_resolution_order(spark):
     assert got == {"Pump A": ("2", "exact"), "pump b": ("4", "contained"), "Ghost": ("Ghost", "unresolved")}
 
 
+def test_names_are_exchanged_once_and_few_names_leave_the_texts_where_they_are(spark, monkeypatch):
+    listed = spark.createDataFrame([(i, f"name {i % 7}" * 9, f"text {i} " * 30, i) for i in range(50)], "id int, name string, text string, row int")
+    names = listed.select("name").union(spark.createDataFrame([("text 7 " * 12,), ("lost " * 12,), (None,), (None,)], "n string"))
+    got = resolve_names(names, "name", listed, "name", "text", "id", "row")
+    want = {f"name {i % 7}" * 9: (str(i), "exact") for i in range(50)}
+    want |= {"text 7 " * 12: ("7", "contained"), "lost " * 12: ("lost " * 12, "unresolved"), None: (None, "unresolved")}
+    assert sorted(map(str, got.collect())) == sorted(str(Row(name=n, record_id=r, how=h)) for n, (r, h) in want.items())
+    plans = []
+    written = R.written
+    monkeypatch.setattr(R, "written", lambda df, purpose: plans.append((purpose, df)) or written(df, purpose))
+    found = containing_texts(names, "name", listed, "text", "id")
+    plan = dict(plans)["anchors"]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert found.count() == 1
+
+
 @pytest.fixture()
 def chain(spark):
     bom = spark.createDataFrame([("E1", "M1", "Seal"), ("E1", "M2", None), ("E1", "M1", "Seal"), ("E2", "M3", None)], "Equipment_ID string, Material_ID string, Notes string")
