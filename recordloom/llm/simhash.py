@@ -11,9 +11,11 @@ links of a spanning forest leave the task, so that a group of copies costs rows
 proportion to its size. Cells past ``CELL`` rows are dealt to several tasks as pairs of
 blocks. Components come from the links by repeated star contraction.
 
-For larger distances (``deduplicated``) the cells are shingles: of a set of n, the first
-ones in a common order, so many that sets of the similarity are sure to share one. Wide
-prints only sort out what can't be similar; the rest is decided by the sets themselves.
+Near copies by sets (``deduplicated``) come from the same join over the counts, verified
+by the sets of shingles. What differs in more bits and yet is similar follows exactly: the
+cells are shingles, of a set of n the first ones in a common order, so many that sets of the
+similarity are sure to share one. Wide prints only sort out what can't be similar; the rest
+is decided by the sets themselves. Cells whose texts the first join has linked are left out.
 
 Null and empty texts have the fingerprint zero and link like any other. Repeated rows and
 ties share a component, whose id is its smallest doc_id; rows with a null doc_id get a
@@ -465,7 +467,7 @@ def wide_cells(
 
 
 def wide_prints(docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Other columns of ``docs``, ``id`` (a hash of the set of shingles), ``print`` and ``cells``."""
+    """Other columns of ``docs``, ``id`` (a hash of the set of shingles), ``fp`` (the fingerprint), ``print`` and ``cells``."""
     others = [c for c in docs.columns if c != "text"]
     known = docs.sparkSession.sparkContext.broadcast(frequent(docs, words))
 
@@ -473,14 +475,16 @@ def wide_prints(docs: DataFrame, words: int, similarity: float) -> DataFrame:
         for batch in small_batches(batches, 64):
             out = []
             for *mine, text in zip(*(batch[c] for c in [*others, "text"]), strict=True):
-                hashes = np.unique(shingle_hashes(text, words))
+                found = shingle_hashes(text, words)
+                hashes = np.unique(found)
                 id_ = signed(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
                 cells_ = wide_cells(hashes, similarity, known.value) if len(hashes) else np.zeros(0, np.uint64)
-                out.append((*mine, id_, wide_print(hashes, similarity).tobytes(), cells_.view(np.int64).tolist()))
+                wide = wide_print(hashes, similarity).tobytes()
+                out.append((*mine, id_, signed(majority(found)), wide, cells_.view(np.int64).tolist()))
             yield out
 
     schema = ", ".join(f"{c} {t}" for c, t in docs.dtypes if c != "text")
-    schema += ", id long, print binary, cells array<long>"
+    schema += ", id long, fp long, print binary, cells array<long>"
     return by_arrow(docs.select(*others, utf8(F.col("text")).alias("text")), run, schema)
 
 
@@ -502,8 +506,9 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
 def deduplicated(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row of ``docs`` for each group of near copies, the one with the smallest doc_id.
 
-    Near copies share ``similarity`` of their distinct shingles. Loose links lead to groups
-    that hold all near copies of their members; the sets of shingles are then compared within
+    Near copies share ``similarity`` of their distinct shingles. Fingerprints within three bits
+    are found by the grid join, and their sets of shingles compared. For the others loose links
+    lead to groups that hold all near copies of their members; the sets are then compared within
     the groups. Of repeated rows one stays. A null doc_id is the largest.
     """
     key = [
@@ -513,16 +518,28 @@ def deduplicated(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Da
     keyed = docs.select(*key, "text")
     least = F.min(F.struct("__k1", "__k2")).alias("least")
     prints = wide_prints(keyed, words, similarity).groupBy("id")
-    one = stored(prints.agg(least, F.first("print").alias("print"), F.first("cells").alias("cells")))
-    cells_ = one.select(F.explode("cells").alias("cell"), "id")
-    # Most shingles are in one text only; prints go along with the others.
-    shared = stored(cells_.groupBy("cell").count().where("count > 1").select("cell"))
+    prints = prints.agg(least, F.min("fp").alias("fp"), F.first("print").alias("print"), F.first("cells").alias("cells"))
+    one = stored(prints)
+
+    def verified(members: DataFrame) -> DataFrame:
+        """Links of the ids that share a ``cell`` by their sets of shingles."""
+        wanted = one.join(members, "id").select("id", "cell", "least.__k1", "least.__k2")
+        texts = keyed.join(wanted, ["__k1", "__k2"]).select("cell", "id", "text")
+        return stored(set_links(stored(shingle_sets(texts, words)), similarity))
+
+    near = near_groups(one.where(F.size("cells") > 0).select(F.col("id").alias("doc_id"), "fp"))
+    near = stored(near.select(F.col("doc_id").alias("id"), F.col("component_id").alias("cell")))
+    several = near.groupBy("cell").count().where("count > 1")
+    close = verified(near.join(several, "cell", "left_semi"))
+    cells_ = one.select(F.explode("cells").alias("cell"), "id").join(components(close), "id", "left")
+    cells_ = cells_.select("cell", "id", F.coalesce("component", "id").alias("group"))
+    # Most shingles are in one text only, or in texts that are linked already; prints go along with the others.
+    shared = cells_.groupBy("cell").agg(F.min("group").alias("low"), F.max("group").alias("high"))
+    shared = stored(shared.where("low < high").select("cell"))
     rows = cells_.join(shared, "cell").join(one.select("id", "print"), "id").select("cell", "id", "print")
     loosely = components(linked(rows, loose(similarity), _loose_links))
     members = loosely.union(loosely.select(F.col("component").alias("id"), "component").distinct())
-    wanted = one.join(members, "id").select("id", F.col("component").alias("cell"), "least.__k1", "least.__k2")
-    texts = keyed.join(wanted, ["__k1", "__k2"]).select("cell", "id", "text")
-    found = components(set_links(stored(shingle_sets(texts, words)), similarity))
+    found = components(close.union(verified(members.select("id", F.col("component").alias("cell")))))
     groups = one.join(found, "id", "left").groupBy(F.coalesce("component", "id").alias("component"))
     kept = groups.agg(F.min("least").alias("least")).select("least.__k1", "least.__k2")
     others = [c for c, t in docs.dtypes if c not in ("doc_id", "text") and "map<" not in t and "variant" not in t]

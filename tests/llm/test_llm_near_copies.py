@@ -67,3 +67,18 @@ def test_all_sets_at_the_threshold_share_a_cell(known):
         for one in (np.unique(part), np.unique(other)):
             cells = [simhash.wide_cells(x, 0.8, *known) for x in (whole, one)]
             assert np.intersect1d(*cells).size
+
+
+def test_near_copies_come_from_the_grid_join(spark, monkeypatch):
+    words = [f"word{i}" for i in range(5000)]
+    texts = [" ".join(words), " ".join([*words, "more"]), " ".join(words[::-1]), "", " ".join(words[:20]), " ".join(words[:21])]
+    seen, asked = [], []
+    near, linked = simhash.near_groups, simhash.linked
+    monkeypatch.setattr(simhash, "near_groups", lambda prints, radius=3: seen.append(near(prints, radius)) or seen[-1])
+    monkeypatch.setattr(simhash, "linked", lambda rows, *more: asked.append(rows) or linked(rows, *more))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    # 0 and 1 differ in few bits of their fingerprints, 4 and 5 in many: those are left to the shingles.
+    assert sorted(r.doc_id for r in simhash.deduplicated(docs).collect()) == [0, 2, 3, 4]
+    groups = [r.component_id for r in seen[0].collect()]
+    assert len(groups) == 5 and len(set(groups)) == 4
+    assert asked[-1].select("id").distinct().count() == 2
