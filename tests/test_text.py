@@ -28,6 +28,16 @@ def test_float_text_is_python_str(spark):
     assert not wrong, wrong[:10]
 
 
+def test_long_float_texts_are_not_formatted_thrice(spark):
+    # Noise of products, a carry into the next power, negatives, all ranges of notation.
+    values = [0.07 / 1000, -0.07 / 1000, 33078.94 * 1000, 84197.04 * 1000, 9.999999999999999e7, -1234567.8901234567, 0.30000000000000004,
+              1.2345678901234567e-4, -1.2345678901234567e-5, 9007199254740994.0, -8.419704e15, 2.0**-44, 2.0**-10, 1e-9, 1e-10, 1e-100]
+    assert "format_string" not in X.float_text("v")
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(2)
+    got = df.select("v", F.expr(X.float_text("v")).alias("t")).collect()
+    assert len(got) == len(values) and [r["t"] for r in got] == [str(r["v"]) for r in got]
+
+
 def test_integral_text(spark):
     df = spark.createDataFrame([(29.0,), (1.5,), (None,), (-3.0,)], "v double")
     assert [r[0] for r in df.select(F.expr(X.integral_text("v"))).collect()] == ["29", "1.5", None, "-3"]
