@@ -159,11 +159,15 @@ def describe(
     if on_error == "stop":
         # The outcome feeds both the first failure and the rows: store it, call once.
         described = _stopped(written(described, "described"))
-    return _finished(described, on_error)
+    finished = _finished(described, on_error)
+    placed = [c for c in records.columns if c in finished.columns]
+    return finished.select(*placed, *[c for c in finished.columns if c not in placed])
 
 
 def _run(records, describer, batch_size, on_error, attempts, partitions) -> DataFrame:
     keyed = records.withColumn("batch_id", batch_id(F.col("row_number"), batch_size))
+    # The texts are made anew from the outcome, so earlier ones need not be built nor travel.
+    keyed = keyed.drop("semantic_statement", "combined_text")
     gathered = keyed.repartition(partitions, "source_file", "batch_id").sortWithinPartitions(
         "source_file", "batch_id", "row_number"
     )
@@ -199,7 +203,7 @@ def _group_edges(table: pa.Table) -> list[int]:
 
 
 def _outcomes(table: pa.Table, edges: list[int], describer, on_error, attempts) -> Iterator[pa.RecordBatch]:
-    rows = [dict(r) if r is not None else {} for r in table["json_data"].to_pylist()]
+    rows = _dicts(table["json_data"].combine_chunks())
     results = []
     for start, end in zip(edges, edges[1:]):
         results += _settle(rows[start:end], describer, on_error, attempts)
@@ -212,6 +216,21 @@ def _outcomes(table: pa.Table, edges: list[int], describer, on_error, attempts)
     yield from table.combine_chunks().to_batches()
 
 
+def _dicts(maps: pa.MapArray) -> list[dict]:
+    """Every row of a text map as a dictionary, an empty one for null. Keys and values are converted in one go."""
+    if not len(maps):
+        return []
+    offsets = maps.offsets.to_numpy()
+    first, last = int(offsets[0]), int(offsets[-1])
+    keys = maps.keys.slice(first, last - first).to_numpy(zero_copy_only=False).tolist()
+    values = maps.items.slice(first, last - first).to_numpy(zero_copy_only=False).tolist()
+    at = (offsets - first).tolist()
+    rows = [dict(zip(keys[a:b], values[a:b])) for a, b in zip(at, at[1:])]
+    if maps.null_count:
+        return [row if valid else {} for row, valid in zip(rows, maps.is_valid().to_pylist())]
+    return rows
+
+
 def _settle(rows: list[dict], describer, on_error: str, attempts: int, earlier: int = 0) -> list[tuple]:
     """Outcome tuples of one batch; the calls made are booked on its first row."""
     error = None
