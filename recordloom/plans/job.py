@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 import time
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +26,7 @@ from recordloom.operators import profiling, summarizing
 from recordloom.operators.describing import Describer
 from recordloom.operators.records import rename_headers, union_records
 from recordloom.plans.processing import file_modes, process_table
-from recordloom.session import fresh_folder
+from recordloom.session import fresh_folder, written
 from recordloom.sinks import envelopes as E
 from recordloom.sources.delimited import folder_files, list_files, read_files, read_typed
 
@@ -277,11 +277,13 @@ def read_job(
 
 def write_outputs(job: Job, output_mode: str = "separate") -> None:
     """Records, failed rows, results per run and the summary of the latest outcomes, in place of earlier ones."""
+    # Every output is made from the latest outcomes: they are found once and stored.
+    job = replace(job, outcomes=written(job.outcomes, "outcomes"))
     done = job.outcomes.filter(F.col("status").isin(summarizing.PROCESSED))
     lost = job.outcomes.filter(F.col("status") == "failed")
     if output_mode == "separate":
         size = F.create_map(*[F.lit(x) for pair in job.sizes.items() for x in pair])[F.col("source_file")]
-        E.write_envelopes(E.envelopes(job.outcomes, size), f"{job.output}/processed", "overwrite")
+        E.write_envelopes(E.envelopes(job.outcomes, size, stored=True), f"{job.output}/processed", "overwrite")
     else:
         fields = [*ROW, "source_type", "json_data", "semantic_statement", "combined_text"]
         E.write_consolidated(done.select(*fields), f"{job.output}/consolidated", "overwrite")

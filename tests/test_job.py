@@ -152,3 +152,16 @@ def test_a_commit_reads_its_own_rows_only(spark, tmp_path, monkeypatch):
     ]
     assert len(plans) == 3
     assert all("csv" not in p and "PartitionFilters: [isnotnull(_commit" in p for p in plans)
+
+
+def test_outputs_share_the_latest_outcomes(spark, folder, tmp_path, monkeypatch):
+    plans = []
+    monkeypatch.setattr(
+        job.E, "write_json", lambda rows, *a, kept=job.E.write_json, **k: plans.append(rows._jdf.queryExecution().optimizedPlan().toString()) or kept(rows, *a, **k)
+    )
+    done = job.process_to(spark, str(folder), str(tmp_path / "out"), mode="optimized", batch_size=5, describer=refusing("Pump 13"))
+    # No output ranks the outcomes of all runs for itself.
+    assert len(plans) == 4 and not any("Window" in p for p in plans)
+    assert {k for k, (s, _) in statuses(done).items() if s == "failed"} == {13}
+    listed = [json.loads(line) for f in (tmp_path / "out" / "failed").glob("*.json") for line in f.read_text().splitlines()]
+    assert [(r["source_file"], r["row_number"]) for r in listed] == [("Pumps.csv", 13)]
