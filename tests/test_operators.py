@@ -1,6 +1,7 @@
 """Describer policies, skew handling, search and mapping against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -91,6 +92,37 @@ def test_outcomes_do_not_depend_on_partitions(spark):
     assert one == many
 
 
+def test_rows_reach_the_describer_without_their_old_texts(spark):
+    old = {c: F.concat(F.lit("old "), "row_number") for c in ("semantic_statement", "combined_text")}
+    rows = records(spark, {"A": 4}).withColumns(old)
+    out = D.describe(rows, refusing(3), 2, "split")
+    assert [r["combined_text"] for r in out.orderBy("row_number").collect()] == ["row 1 | v: 1", "row 2 | v: 2", None, "row 4 | v: 4"]
+    (sent,) = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "MapInArrow" in line]
+    assert "combined_text" not in sent and "semantic_statement" not in sent and "json_data" in sent
+    assert [c for c in out.columns if c in rows.columns] == rows.columns
+
+
+def test_many_short_names_take_one_pass(spark):
+    rng = np.random.default_rng(4)
+    texts = [(i, None if i % 9 == 0 else "".join(rng.choice(list("abA \u00e9\U0001f600"), rng.integers(0, 70)))) for i in range(60)]
+    names = [("".join(rng.choice(list("abA \u00e9"), rng.integers(0, 5))),) for _ in range(40)] + [(None,), ("A" * 50,)]
+    names += [(t[k : k + 20],) for k, (_, t) in enumerate(texts[:40]) if t]
+    names, texts_of = spark.createDataFrame(names, "n string"), spark.createDataFrame(texts, "i int, t string").repartition(3)
+    found = containing_texts(names, "n", texts_of, "t", "i", block_chars=40)
+    # However many the names, short ones go through the texts once.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    wanted = {r["n"].lower() for r in names.collect() if r["n"]}
+    got = [tuple(r) for r in found.collect()]
+    assert sorted(got) == sorted((n, i) for n in wanted for i, t in texts if t and n in t.lower())
+
+
+def test_text_maps_become_dictionaries():
+    held = [[("a", "1"), ("b", None)], None, [], [("a", "x")], [("b", "\u00e9"), ("c", "")]]
+    maps = pa.array(held * 3, pa.map_(pa.string(), pa.string()))
+    want = [dict(m or []) for m in held * 3]
+    assert D._dicts(maps) == want and D._dicts(maps.slice(3, 7)) == want[3:10] and D._dicts(maps.slice(0, 0)) == []
+
+
 def test_prompts_and_responses(spark):
     rows = records(spark, {"A": 3})
     prompts = {r["batch_id"]: r["prompt"] for r in D.batch_prompts(rows, 2, "H", "T").collect()}
