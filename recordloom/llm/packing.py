@@ -28,11 +28,14 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 SHARD_PIECES = 16_384
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFrame:
-    """The pieces of ``size`` ids, the first maybe shorter, that each text and its end id are cut into."""
+def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, kept: int | None = None) -> DataFrame:
+    """The pieces of ``size`` ids, the first maybe shorter, that each text and its end id are cut into.
+
+    ``kept`` bounds the words that a worker's encoder keeps.
+    """
 
     def cut(batches) -> Iterator[list[tuple]]:
-        encoder, end = encoder_of(tokenizer), end_id.to_bytes(4, "little")
+        encoder, end = encoder_of(tokenizer, kept), end_id.to_bytes(4, "little")
         for batch in small_batches(batches):
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
@@ -156,8 +159,10 @@ def packed(cut: DataFrame, size: int, tolerance: int = 8) -> DataFrame:
     return full.unionByName(loose[0]).unionByName(loose[1])
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, size: int = 1024) -> DataFrame:
-    return packed(pieces(docs, tokenizer, end_id, size), size)
+def pack_documents(
+    docs: DataFrame, tokenizer: str, end_id: int = 2, size: int = 1024, kept: int | None = None
+) -> DataFrame:
+    return packed(pieces(docs, tokenizer, end_id, size, kept), size)
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,8 @@ def _letters() -> dict[int, str]:
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, without special tokens added."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, kept: int | None = None) -> None:
+        self.kept_words, self.kept_units = kept or KEPT_WORDS, kept or KEPT_UNITS
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -73,7 +74,7 @@ class Encoder:
         for word in self.rule.findall(unit):
             ids = self.words.get(word)
             if ids is None:
-                if len(self.words) >= KEPT_WORDS:
+                if len(self.words) >= self.kept_words:
                     self.words.clear()
                 ids = self.words[word] = self._word(word)
             out.append(ids)
@@ -105,7 +106,7 @@ class Encoder:
         try:
             return b"".join(map(known.__getitem__, units))
         except KeyError:
-            if len(known) >= KEPT_UNITS:
+            if len(known) >= self.kept_units:
                 known.clear()
             for unit in set(units).difference(known):
                 known[unit] = self._unit(unit)
@@ -113,6 +114,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder_of(path: str) -> Encoder:
-    """The worker's one encoder of a tokenizer file: a task finds the words that earlier ones have met."""
-    return Encoder(path)
+def encoder_of(path: str, kept: int | None = None) -> Encoder:
+    """The worker's one encoder of a tokenizer file: a task finds the words that earlier ones have met.
+
+    ``kept`` words and as many units stay in the worker; fewer take less memory and more time.
+    """
+    return Encoder(path, kept)
