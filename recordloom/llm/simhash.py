@@ -42,8 +42,8 @@ CELL = 2048
 WIDE = 4
 # Sets below it are compared by parities. Bytes of sets that one side of a task holds.
 SMALL, SET_BYTES = 300, 16_000_000
-# Rows whose shingles are counted for the order of shingles, and how many are kept as frequent.
-SAMPLE, FREQUENT = 10_000, 500_000
+# Counters of how frequent shingles are, how many of them are in one row, and shingles that are counted at once.
+COUNTERS, BLOCK, PENDING = 1 << 20, 1 << 14, 1 << 20
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 # Six groups of two-bit segments: 12, 10, 10, 12, 10 and 10 bits.
 GROUPS = ((0, 12), (12, 22), (22, 32), (32, 44), (44, 54), (54, 64))
@@ -429,23 +429,42 @@ def set_links(rows: DataFrame, similarity: float) -> DataFrame:
     return by_arrow(_dealt(rows, load), run, "a long, b long")
 
 
-def frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that are frequent in about ``SAMPLE`` rows of ``docs``, ascending, and their counts.
+def frequent(docs: DataFrame, words: int) -> np.ndarray:
+    """How many shingles of all rows of ``docs``, each once per row, fall on each of ``COUNTERS`` counters.
 
     They only set the order of shingles, so that a passage of many texts makes few cells.
     """
-    share = max(1, math.ceil(docs.count() / SAMPLE))
-    some = docs.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).select(utf8(F.col("text")).alias("text"))
 
     def run(batches) -> Iterator[list[tuple]]:
+        counters, pending, n = np.zeros(COUNTERS, np.int64), [], 0
         for batch in small_batches(batches, 64):
-            yield [(h,) for t in batch["text"] for h in np.unique(shingle_hashes(t, words)).view(np.int64).tolist()]
-
-    counted = by_arrow(some, run, "hash long").groupBy("hash").count().where("count > 2")
-    rows = counted.orderBy(F.desc("count"), "hash").limit(FREQUENT).collect()
-    hashes = np.array([r["hash"] for r in rows], np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    return hashes[order], np.array([r["count"] for r in rows], np.int64)[order]
+            for text in batch["text"]:
+                pending.append(counter_of(np.unique(shingle_hashes(text, words))))
+                n += len(pending[-1])
+            if n >= PENDING:
+                counters += np.bincount(np.concatenate(pending), minlength=COUNTERS)
+                pending, n = [], 0
+        if n:
+            counters += np.bincount(np.concatenate(pending), minlength=COUNTERS)
+        blocks = counters.reshape(-1, BLOCK)
+        yield [(k, blocks[k].tobytes()) for k in np.flatnonzero(blocks.any(axis=1)).tolist()]
+
+    def added(rows: pa.Table) -> pa.Table:
+        total = np.zeros(BLOCK, np.int64)
+        for raw in rows["counts"]:
+            total += np.frombuffer(raw.as_buffer(), np.int64)
+        return pa.table({"block": rows["block"].slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    schema = "block long, counts binary"
+    parts = by_arrow(docs.select(utf8(F.col("text")).alias("text")), run, schema)
+    out = np.zeros((COUNTERS // BLOCK, BLOCK), np.int64)
+    for row in parts.groupBy("block").applyInArrow(added, schema).collect():
+        out[row["block"]] = np.frombuffer(row["counts"], np.int64)
+    return out.reshape(-1)
+
+
+def counter_of(hashes: np.ndarray) -> np.ndarray:
+    return (mixed(hashes, 600) % np.uint64(COUNTERS)).astype(np.int64)
 
 
 def wide_cells(
@@ -469,7 +488,7 @@ def wide_cells(
 def wide_prints(docs: DataFrame, words: int, similarity: float) -> DataFrame:
     """Other columns of ``docs``, ``id`` (a hash of the set of shingles), ``fp`` (the fingerprint), ``print`` and ``cells``."""
     others = [c for c in docs.columns if c != "text"]
-    known = docs.sparkSession.sparkContext.broadcast(frequent(docs, words))
+    counters = docs.sparkSession.sparkContext.broadcast(frequent(docs, words))
 
     def run(batches) -> Iterator[list[tuple]]:
         for batch in small_batches(batches, 64):
@@ -478,7 +497,8 @@ def wide_prints(docs: DataFrame, words: int, similarity: float) -> DataFrame:
                 found = shingle_hashes(text, words)
                 hashes = np.unique(found)
                 id_ = signed(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
-                cells_ = wide_cells(hashes, similarity, known.value) if len(hashes) else np.zeros(0, np.uint64)
+                known = hashes, counters.value[counter_of(hashes)]
+                cells_ = wide_cells(hashes, similarity, known) if len(hashes) else np.zeros(0, np.uint64)
                 wide = wide_print(hashes, similarity).tobytes()
                 out.append((*mine, id_, signed(majority(found)), wide, cells_.view(np.int64).tolist()))
             yield out

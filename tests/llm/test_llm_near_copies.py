@@ -82,3 +82,16 @@ def test_near_copies_come_from_the_grid_join(spark, monkeypatch):
     groups = [r.component_id for r in seen[0].collect()]
     assert len(groups) == 5 and len(set(groups)) == 4
     assert asked[-1].select("id").distinct().count() == 2
+
+
+def test_frequent_shingles_come_from_all_rows(spark):
+    docs = spark.range(0, 25_000, 1, 4).selectExpr(
+        "id as doc_id",
+        "concat('a', id, ' b', id, ' c', id, if(id % 50 = 0, ' one two three', ''), if(id % 2000 = 7, ' four five six', '')) as text",
+    )
+    counters = simhash.frequent(docs, 3)
+    seen = [int(counters[simhash.counter_of(simhash.shingle_hashes(x, 3))[0]]) for x in ("one two three", "four five six")]
+    # Other shingles may share a counter, a few of them.
+    assert 500 <= seen[0] < 510 and 13 <= seen[1] < 23
+    shingles = 3 * 500 + 3 * 13 + 25_000
+    assert counters.sum() == shingles
