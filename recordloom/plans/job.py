@@ -10,6 +10,7 @@ row.
 
 from __future__ import annotations
 
+import math
 import re
 import time
 from collections.abc import Mapping
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 from recordloom.functions import planning as P
 from recordloom.operators import profiling, summarizing
 from recordloom.operators.describing import Describer
-from recordloom.operators.records import rename_headers, union_records
+from recordloom.operators.records import build_records, rename_headers, union_records
 from recordloom.plans.processing import file_modes, process_table
 from recordloom.session import fresh_folder, written
 from recordloom.sinks import envelopes as E
@@ -34,6 +35,8 @@ ROW = ["source_file", "row_number"]
 CLOCK = "started timestamp, seconds double"
 MODES = ("auto", "simple", "optimized", "folder")
 OUTPUT_MODES = ("separate", "consolidated")
+# Rows of one file or task of a commit, where it has more of them.
+FILE_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -206,50 +209,75 @@ def process_to(
         tables = {key: rename_headers(t, header_mapping) for key, t in tables.items()}
     # The stretches of one call do not overlap, so only what earlier calls did has to be left out.
     earlier = ledger(spark, output)
-    if rows_per_commit:
-        tables = {key: _by_commit(t, rows_per_commit) for key, t in tables.items()}
-    lengths = _lengths(tables) if rows_per_commit else {}
+    by_commit = _by_commit(tables, rows_per_commit, describer) if rows_per_commit else None
+    lengths = dict.fromkeys(tables, 0) | _lengths(by_commit) if rows_per_commit else {}
     stopped: set[str] = set()
     number = max(committed_runs(spark, output), default=-1)
     for first, last in _stretches(lengths, rows_per_commit):
-        parts = []
-        for key, table in tables.items():
-            if names[key] in stopped or first > max(1, lengths.get(key, 1)):
-                continue
-            rows = table if last is None else table.filter(F.col("_commit") == (first - 1) // rows_per_commit).drop("_commit")
-            if earlier is not None:
-                # The rows on the left: a hot file's rows are split, and a short ledger is sent whole.
-                rows = rows.join(settled(earlier, retry_failed).select(*ROW), ROW, "left_anti").select(*rows.columns)
-            parts.append(process_table(rows, sizes[key], describer, on_error))
+        active = [key for key in tables if names[key] not in stopped and first <= max(1, lengths.get(key, 1))]
+        if last is None:
+            parts = [process_table(_open(tables[key], earlier, retry_failed), sizes[key], describer, on_error) for key in active]
+        else:
+            rows = by_commit.filter(F.col("_commit") == (first - 1) // rows_per_commit).drop("_commit")
+            rows, tasks = _open(rows, earlier, retry_failed), _tasks(spark, len(active) * rows_per_commit)
+            parts = []
+            # Files of one size go through the describer together.
+            for size in sorted({sizes[key] for key in active}):
+                alike = rows.filter(F.col("_key").isin([key for key in active if sizes[key] == size])).drop("_key")
+                parts.append(process_table(alike, size, describer, on_error, None, tasks, True))
         if not parts:
             break
         number, started, clock = number + 1, datetime.now(UTC), time.monotonic()
         folder = f"{output}/outcomes/run={number}"
-        union_records(parts).write.mode("overwrite").parquet(folder)
-        took = spark.createDataFrame([(started, time.monotonic() - clock)], CLOCK)
-        took.write.mode("overwrite").parquet(f"{output}/clock/run={number}")
+        outcomes = union_records(parts)
+        outcomes.write.mode("overwrite").parquet(folder)
+        took = F.lit(started).alias("started"), F.lit(time.monotonic() - clock).alias("seconds")
+        spark.range(0, 1, 1, 1).select(*took).write.mode("overwrite").parquet(f"{output}/clock/run={number}")
         if on_error == "stop" and last is not None:
-            # As many names as there are files; their later rows wait for the next call.
-            failed = spark.read.parquet(folder).filter(F.col("status") == "failed")
-            stopped |= {r["source_file"] for r in failed.select("source_file").distinct().collect()}
+            # A batch of each file at most, as those after it are pending; later rows wait for the next call.
+            failed = spark.read.schema(outcomes.schema).parquet(folder).filter(F.col("status") == "failed")
+            stopped |= {r["source_file"] for r in failed.select("source_file").collect()}
     job = read_job(spark, output, unreadable, {names[key]: size for key, size in sizes.items()})
     write_outputs(job, output_mode)
     return job
 
 
-def _by_commit(table: DataFrame, rows_per_commit: int) -> DataFrame:
-    """``table`` stored by the commit that its rows are part of, so that a commit reads its own rows only."""
-    folder = fresh_folder(table.sparkSession, "commits")
-    placed = table.withColumn("_commit", F.floor((F.col("row_number") - 1) / rows_per_commit))
-    # By ranges of rows: a commit is in few files, and one of many rows in several.
-    placed.repartitionByRange("row_number").write.partitionBy("_commit").parquet(folder)
-    return table.sparkSession.read.schema(placed.schema).parquet(folder)
+def _open(rows: DataFrame, earlier: DataFrame | None, retry_failed: bool) -> DataFrame:
+    """The rows that no earlier call has settled."""
+    if earlier is None:
+        return rows
+    # The rows on the left: a hot file's rows are split, and a short ledger is sent whole.
+    return rows.join(settled(earlier, retry_failed).select(*ROW), ROW, "left_anti").select(*rows.columns)
 
 
-def _lengths(tables: Mapping[str, DataFrame]) -> dict[str, int]:
-    """The number of rows of every table, a number per file."""
-    counts = [t.agg(F.lit(key).alias("key"), F.max("row_number").alias("n")) for key, t in tables.items()]
-    return {r["key"]: r["n"] or 0 for r in union_records(counts).collect()}
+def _by_commit(tables: Mapping[str, DataFrame], rows_per_commit: int, describer: Describer | None) -> DataFrame:
+    """The records of all ``tables`` with their ``_key``, stored by the commit that they are part of.
+
+    A commit reads its own rows only, and plans one scan.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    folder = fresh_folder(spark, "commits")
+    records = union_records([build_records(t).withColumn("_key", F.lit(key)) for key, t in tables.items()])
+    if describer is not None:
+        # Made anew from what the describer says.
+        records = records.withColumns(dict.fromkeys(("semantic_statement", "combined_text"), F.lit(None).cast("string")))
+    at = F.col("row_number") - 1
+    placed = records.withColumn("_commit", F.floor(at / rows_per_commit))
+    # A commit of few rows is in one file, and one of many rows in several.
+    dealt = placed.repartition("_commit", F.floor(at / FILE_ROWS))
+    dealt.write.partitionBy("_commit").parquet(folder)
+    return spark.read.schema(placed.schema).parquet(folder)
+
+
+def _tasks(spark: SparkSession, rows: int) -> int:
+    """Tasks for a commit of so many rows: all cores, and more if there are many rows."""
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(most, max(spark.sparkContext.defaultParallelism, math.ceil(rows / FILE_ROWS)))
+
+
+def _lengths(by_commit: DataFrame) -> dict[str, int]:
+    """The last row number of every table that has rows, a number per file."""
+    return {r["_key"]: r["n"] for r in by_commit.groupBy("_key").agg(F.max("row_number").alias("n")).collect()}
 
 
 def _stretches(lengths: Mapping[str, int], rows_per_commit: int | None) -> list[tuple[int, int | None]]:

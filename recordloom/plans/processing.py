@@ -44,17 +44,19 @@ def process_table(
     describer: Describer | None = None,
     on_error: str = "split",
     header_mapping: Mapping[str, str] | None = None,
+    partitions: int | None = None,
+    built: bool = False,
 ) -> DataFrame:
-    """Outcome rows of one numbered table.
+    """Outcome rows of one numbered table, or of records ``built`` from several.
 
     Without a ``describer`` the statement is the built-in template: expressions
     only, one call booked per batch, nothing can fail.
     """
     if header_mapping:
         table = rename_headers(table, header_mapping)
-    records = build_records(table)
+    records = table if built else build_records(table)
     if describer is not None:
-        return describe(records, describer, batch_size, on_error)
+        return describe(records, describer, batch_size, on_error, partitions=partitions)
     position = F.pmod(F.col("row_number") - 1, F.lit(batch_size))
     return records.select(
         "*",

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recordloom.__main__ import main
+from recordloom.operators import describing
 from recordloom.operators.describing import template_describer
 from recordloom.plans import job
 
@@ -165,3 +166,17 @@ def test_outputs_share_the_latest_outcomes(spark, folder, tmp_path, monkeypatch)
     assert {k for k, (s, _) in statuses(done).items() if s == "failed"} == {13}
     listed = [json.loads(line) for f in (tmp_path / "out" / "failed").glob("*.json") for line in f.read_text().splitlines()]
     assert [(r["source_file"], r["row_number"]) for r in listed] == [("Pumps.csv", 13)]
+
+
+def test_a_commit_describes_its_files_together(spark, folder, tmp_path, monkeypatch):
+    asked, written = [], describing.written
+    monkeypatch.setattr(describing, "written", lambda rows, purpose: asked.append(rows) or written(rows, purpose))
+    settings = {"mode": "optimized", "batch_size": 5, "describer": template_describer, "on_error": "stop"}
+    done = job.process_to(spark, str(folder), str(tmp_path / "out"), rows_per_commit=30, **settings)
+    assert len(asked) == 2 and done.runs == [0, 1]
+    assert statuses(done) == {k: ("ok", 0 if k <= 30 else 1) for k in range(1, 48)}
+    assert statuses(done, "Vendors.csv") == {1: ("ok", 0), 2: ("ok", 0)}
+    whole = job.process_to(spark, str(folder), str(tmp_path / "whole"), **settings)
+    columns = [c for c in whole.outcomes.columns if c not in ("run", "json_data")]
+    rows = [sorted(x.outcomes.select(*columns, F.to_json("json_data")).collect()) for x in (done, whole)]
+    assert rows[0] == rows[1] and {r.seconds > 0 for r in done.run_results.collect()} == {True}
