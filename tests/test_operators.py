@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordloom.operators import describing as D
 from recordloom.operators import mapping as M
@@ -490,3 +491,51 @@ def test_stopping_leaves_described_rows_where_they_are(spark, no_guessing):
     status = {(r["source_file"], r["row_number"]): r["status"] for r in done.collect()}
     assert [status["a.csv", n] for n in range(1, 10)] == ["ok"] * 4 + ["failed"] * 2 + ["pending"] * 3
     assert {status["b.csv", n] for n in range(1, 5)} == {"ok"}
+
+
+@pytest.mark.parametrize(("sellers", "kind"), [([1, 2, 300, 70_000, 2**40, None], "long"), (["b", "a", "é", "Z", "", None], "string"), ([], "long")])
+def test_nested_vendors_travel_as_places(spark, monkeypatch, sellers, kind):
+    owners = spark.createDataFrame([(k, f"o{k}") for k in range(6)], "o long, o_name string")
+    held = spark.createDataFrame([(k, p) for k in range(5) for p in range(k + 3)] + [(0, 0), (1, None)], "o long, p long")
+    bought = spark.createDataFrame([(p, s) for p in range(6) for s in sellers[p % 3 :]] + [(0, s) for s in sellers], f"p long, s {kind}")
+    parts = spark.createDataFrame([(p, f"part {p}") for p in range(1, 9)], "p long, part_name string")
+    # A name that is missing, one that is null and two for one vendor.
+    names = spark.createDataFrame([(s, n) for s, n in zip(sellers, ("x", None, "y")) if s is not None] + [(s, "again") for s in sellers[:1]], f"s {kind}, s_name string")
+
+    def nested(most):
+        return M.nested_mapping(owners, held, bought, parts, names, "o", "o_name", "p", "s", "s_name", most)
+
+    for most in (None, 2):
+        packed = nested(most)
+        plan = packed._jdf.queryExecution().optimizedPlan().toString()
+        assert "vendor_name" not in plan.split("\n", 1)[1]
+        with monkeypatch.context() as m:
+            m.setattr(M, "MOST_LINKS", 3)
+            rows = sorted(packed.collect())
+        with monkeypatch.context() as m:
+            m.setattr(M, "MOST_VENDORS", -1)
+            plain = nested(most)
+            assert "vendor_name" in plain._jdf.queryExecution().optimizedPlan().toString().split("\n", 1)[1]
+            assert rows == sorted(plain.collect()) and len(rows) >= 6
+        assert packed.dtypes == plain.dtypes
+        assert any(e.vendors for r in rows for e in r.materials) == bool(sellers)
+
+
+def test_packed_places():
+    draw = np.random.default_rng(1)
+    lists = [np.unique(draw.integers(0, 2**31 - 1, n)).tolist() for n in (0, 1, 5, 300, 0)] + [[0], [0, 127, 255, 16_510, 2**31 - 1], [0, 0, 3]]
+    kept = {}
+
+    class Rows:
+        schema = T.StructType([T.StructField("v", T.ArrayType(T.IntegerType()))])
+
+        def mapInArrow(self, run, schema):
+            kept["run"] = run
+
+    M._packed(Rows(), "v")
+    batch = pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int32()))], names=["v"])
+    (packed,) = kept["run"]([batch.slice(1)])
+    places, ends = M._numbers(packed.column(0))
+    assert [places[a:b].tolist() for a, b in zip(ends, ends[1:])] == lists[1:]
+    assert [len(x) for x in packed.column(0).to_pylist()][-3:] == [1, 11, 3]
+    assert M._numbers(pa.array([b"", b""]))[1].tolist() == [0, 0, 0]
